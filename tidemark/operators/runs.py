@@ -142,6 +142,23 @@ def missing_dates(log: DataFrame, feeds: DataFrame, start: str, end: str) -> Dat
     return expected.join(done.distinct(), ["table_id", "run_dt"], "left_anti")
 
 
+def load_outcomes(arrived: DataFrame, start: str, end: str) -> DataFrame:
+    """``table_id, run_dt, rows_read, status`` for every feed and date of a window.
+
+    ``arrived``: ``table_id, run_dt`` per source row.  A source without rows is
+    SKIPPED.
+    """
+    counts = arrived.groupBy("table_id", "run_dt").agg(F.count(F.lit(1)).alias("rows_read"))
+    feeds = arrived.select("table_id").distinct()
+    expected = feeds.withColumn("run_dt", F.explode(backfill_dates(start, end)))
+    return expected.join(counts, ["table_id", "run_dt"], "left").select(
+        "table_id",
+        "run_dt",
+        F.coalesce("rows_read", F.lit(0)).alias("rows_read"),
+        F.when(F.col("rows_read").isNull(), "SKIPPED").otherwise("SUCCESS").alias("status"),
+    )
+
+
 def backfill_dates(start: str, end: str, limit: int = MAX_BACKFILL_DAYS) -> Column:
     """The array of dates from start to end, both included; more than ``limit`` is an error."""
     from datetime import date

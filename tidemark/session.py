@@ -38,6 +38,7 @@ def local_session(
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in {**RUNTIME_SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
