@@ -1,4 +1,4 @@
-"""Exact money: whole cents as bigint while computing, rounded half up."""
+"""Money: doubles in the raw zone, whole cents as bigint where amounts are added up."""
 
 from __future__ import annotations
 
@@ -7,18 +7,10 @@ from pyspark.sql import functions as F
 
 
 def cents(amount: Column) -> Column:
-    """A two-decimal amount as whole cents."""
+    """A two-decimal amount as whole cents, which sum the same in any order."""
     return F.round(amount * 100).cast("bigint")
 
 
 def amount(whole_cents: Column) -> Column:
     """Cents back to the double that lands in the raw zone."""
     return whole_cents / F.lit(100.0)
-
-
-def half_up(numerator: str, denominator: str) -> Column:
-    """``numerator / denominator`` rounded half up in integers.
-
-    Both are SQL expressions over bigint columns, non-negative and positive.
-    """
-    return F.expr(f"(2 * ({numerator}) + ({denominator})) div (2 * ({denominator}))")

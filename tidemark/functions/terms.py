@@ -32,7 +32,7 @@ LOAN_STATUS_DEFAULT = "RESTRUCTURED"
 FREQUENCIES = ["QUARTERLY", "WEEKLY", "MONTHLY", "MONTHLY"]
 REPAYMENT_TYPES = ["BULLET", "INTEREST_ONLY", "EMI"]
 MAX_INSTALLMENTS = 36
-DISBURSED_PERCENT = 95
+DISBURSED_SHARE = 0.95
 # --------------------------------------------------------------------------
 
 
@@ -67,25 +67,25 @@ def product_code(number: Column, slot: Column) -> Column:
     )
 
 
-def balance_cents(number: Column) -> Column:
-    return _power_of_ten_cents(3, number, 25)
+def balance(number: Column) -> Column:
+    return _power_of_ten(3, number, 25)
 
 
-def sanction_cents(number: Column) -> Column:
-    return _power_of_ten_cents(4, number, 20)
+def sanction(number: Column) -> Column:
+    return _power_of_ten(4, number, 20)
 
 
-def _power_of_ten_cents(base: int, number: Column, steps: int) -> Column:
-    return F.round(F.pow(F.lit(10.0), base + (number % 100) / steps) * 100).cast("bigint")
+def _power_of_ten(base: int, number: Column, steps: int) -> Column:
+    return F.round(F.pow(F.lit(10.0), base + (number % 100) / steps), 2)
 
 
 def loan_status(number: Column) -> Column:
     return band(number % 100, LOAN_STATUS_BANDS, LOAN_STATUS_DEFAULT)
 
 
-def rate_tenths(number: Column) -> Column:
-    """Yearly interest in tenths of a percent, 8.0 to 19.9."""
-    return number % 120 + 80
+def interest_rate(number: Column) -> Column:
+    """Yearly percent, 8.0 to 19.9."""
+    return F.round(8 + (number % 120) / 10, 2)
 
 
 def tenure_months(number: Column) -> Column:

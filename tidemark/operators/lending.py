@@ -5,8 +5,8 @@ row blow-up (one client, up to four loans, up to 36 installments each) never
 passes through a shuffle.  Input is a frame with ``id bigint`` and ``dt date``,
 the numeric client id and the business date of its feed.
 
-Amounts are computed in whole cents and land as doubles, as the raw zone
-declares them; half cents round up.
+Raw amounts are doubles rounded to two places.  They are computed once per
+account or loan, before the rows multiply, and are added up in whole cents.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import terms
 from tidemark.functions.keys import branch_code, hash_key, in_hash_sample, padded, pick
-from tidemark.functions.money import amount, cents, half_up
+from tidemark.functions.money import amount, cents
 from tidemark.schemas import raw_columns
 
 REPAYMENT_RATE = 0.8
@@ -79,7 +79,7 @@ def accounts(
     slots = F.explode(F.sequence(F.lit(1), F.when(_id() % 2 == 0, 2).otherwise(1)))
     slot = F.col("slot")
     sequence = (_id() - first_id) * 2 + slot + (first_seq - 1)
-    balance = ids.select("id", "dt", terms.balance_cents(_id()).alias("balance"), slots.alias("slot"))
+    balance = ids.select("id", "dt", terms.balance(_id()).alias("balance"), slots.alias("slot"))
     return balance.select(
         "id",
         "dt",
@@ -89,8 +89,8 @@ def accounts(
         F.concat(branch_code(_id()), F.lit("LN"), padded(sequence, seq_width)).alias("AccountID"),
         terms.product_code(_id(), slot).alias("ProductID"),
         F.when(slot == 1, "LOAN_PRIMARY").otherwise("LOAN_SECONDARY").alias("AccountType"),
-        amount(F.col("balance")).alias("ClearBalance"),
-        amount(half_up("balance * (id % 10)", "100L")).alias("FreezeAmount"),
+        F.col("balance").alias("ClearBalance"),
+        F.round(F.col("balance") * (_id() % 10) / 100, 2).alias("FreezeAmount"),
         terms.account_status(_id()).alias("AccountStatus"),
         *_audit(_id(), _day_start()),
     )
@@ -104,12 +104,13 @@ def loans(accounts_df: DataFrame) -> DataFrame:
         "dt",
         "OurBranchID",
         "AccountID",
-        terms.sanction_cents(_id()).alias("sanction"),
-        terms.rate_tenths(_id()).alias("tenths"),
+        terms.sanction(_id()).alias("sanction"),
+        terms.interest_rate(_id()).alias("rate"),
         terms.tenure_months(_id()).alias("Tenure"),
         series.alias("LoanSeries"),
     )
-    interest = half_up("sanction * tenths * Tenure", "12000L")
+    sanction = F.col("sanction")
+    interest = F.round(sanction * F.col("rate") / 100 * F.col("Tenure") / 12, 2)
     return based.select(
         "id",
         "dt",
@@ -117,19 +118,17 @@ def loans(accounts_df: DataFrame) -> DataFrame:
         "AccountID",
         "LoanSeries",
         _dt().alias("SanctionDate"),
-        amount(F.col("sanction")).alias("SanctionAmount"),
+        sanction.alias("SanctionAmount"),
         _dt().alias("DisbursementDate"),
-        amount(half_up(f"sanction * {terms.DISBURSED_PERCENT}", "100L")).alias(
-            "DisbursementAmount"
-        ),
+        F.round(sanction * terms.DISBURSED_SHARE, 2).alias("DisbursementAmount"),
         terms.loan_status(_id()).alias("LoanStatus"),
-        (F.col("tenths") / F.lit(10.0)).alias("InterestRate"),
-        amount(interest).alias("InterestAmount"),
+        F.col("rate").alias("InterestRate"),
+        interest.alias("InterestAmount"),
         "Tenure",
         terms.frequency(_id()).alias("Frequency"),
         terms.repayment_type(_id()).alias("RepaymentType"),
-        amount(F.col("sanction")).alias("OutstandingPrincipal"),
-        amount(interest).alias("OutstandingInterest"),
+        sanction.alias("OutstandingPrincipal"),
+        interest.alias("OutstandingInterest"),
         F.lit(0).alias("DPD"),
         F.lit(False).alias("IsNPS"),
         F.lit(False).alias("ParFlag"),
@@ -154,22 +153,15 @@ def installment_terms(
     interest ``i`` of each, and the disbursement day ``d0``.  Computed once per
     loan, before anything is exploded.
     """
-    return (
-        loans_df.withColumns(
-            {
-                "n": F.least(F.lit(max_installments), tenure).cast("int"),
-                "amount_cents": cents(principal),
-                "rate_e4": F.round(yearly_percent * 10000).cast("bigint"),
-                "d0": first_day.cast("date"),
-            }
-        )
-        .withColumns(
-            {
-                "p": half_up("amount_cents", "cast(n as bigint)"),
-                "i": half_up("amount_cents * rate_e4", "12000000L"),
-            }
-        )
-        .drop("rate_e4")
+    count = F.least(F.lit(max_installments), tenure).cast("int")
+    return loans_df.withColumns(
+        {
+            "n": count,
+            "amount_cents": cents(principal),
+            "d0": first_day.cast("date"),
+            "p": cents(F.round(principal / count, 2)),
+            "i": cents(F.round(principal * yearly_percent / 100 / 12, 2)),
+        }
     )
 
 

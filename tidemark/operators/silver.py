@@ -6,6 +6,8 @@ The rules become one ``select``; nothing but the final de-duplication shuffles.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,27 +62,62 @@ def masked(value: Column, data_type: str, salt: str) -> Column:
     return F.lit(None).cast(data_type)
 
 
-def checked(df: DataFrame, rules: Sequence[ColumnRule], salt: str = "") -> DataFrame:
-    """The configured columns plus ``reject_reasons``.
+_DAY_LIKE = {"date", "timestamp", "timestamp_ntz"}
+_WIDENING = {("int", "bigint"), ("int", "double"), ("float", "double")}
 
-    A row is rejected for a required value that is missing (``null:<column>``) or
-    any value that cannot be cast (``cast:<column>``).
+
+def _cast_can_fail(source_type: str, target_type: str) -> bool:
+    """Whether a cast may turn a value into NULL.
+
+    Checks that cannot fail are left out of the plan, which otherwise would
+    evaluate every source expression once more per row.
     """
-    outputs, reasons = [], []
+    target_type = target_type.lower().replace(" ", "")
+    if source_type == target_type or target_type == "string":
+        return False
+    if source_type in _DAY_LIKE and target_type in _DAY_LIKE:
+        return False
+    return (source_type, target_type) not in _WIDENING
+
+
+def _projection(
+    df: DataFrame, rules: Sequence[ColumnRule], salt: str
+) -> tuple[list[Column], list[tuple[str, Column]]]:
+    """Output columns, and what makes a row unfit: reason and condition."""
+    kinds = dict(df.dtypes)
+    outputs, faults = [], []
     for rule in (r for r in rules if r.active):
         raw = derived_value(rule)
         typed = raw.try_cast(rule.data_type)
-        lost = raw.isNotNull() & typed.isNull()
-        reasons.append(F.when(lost, F.lit(f"cast:{rule.target}")))
+        if _cast_can_fail(kinds[rule.source], rule.data_type):
+            faults.append((f"cast:{rule.target}", raw.isNotNull() & typed.isNull()))
         if not rule.nullable:
-            reasons.append(F.when(raw.isNull(), F.lit(f"null:{rule.target}")))
+            faults.append((f"null:{rule.target}", raw.isNull()))
         shown = masked(typed, rule.data_type, salt) if rule.pii else typed
         outputs.append(shown.alias(rule.target))
-    return df.select(*outputs, F.array_compact(F.array(*reasons)).alias(REASONS))
+    return outputs, faults
+
+
+def checked(df: DataFrame, rules: Sequence[ColumnRule], salt: str = "") -> DataFrame:
+    """The configured columns plus ``reject_reasons``.
+
+    A row is rejected for a required value that is missing (``null:<column>``) or
+    any value that cannot be cast (``cast:<column>``).
+    """
+    outputs, faults = _projection(df, rules, salt)
+    reasons = [F.when(fault, F.lit(reason)) for reason, fault in faults]
+    listed = F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
+    return df.select(*outputs, listed.alias(REASONS))
 
 
-def accepted(checked_df: DataFrame) -> DataFrame:
-    return checked_df.where(F.size(REASONS) == 0).drop(REASONS)
+def accepted(df: DataFrame, rules: Sequence[ColumnRule], salt: str = "") -> DataFrame:
+    """The configured columns of the rows without a fault.
+
+    A plain conjunction, so that null checks reach the scan.
+    """
+    outputs, faults = _projection(df, rules, salt)
+    fit = df.where(reduce(and_, [~fault for _, fault in faults])) if faults else df
+    return fit.select(*outputs)
 
 
 def rejected(checked_df: DataFrame) -> DataFrame:
@@ -100,7 +137,7 @@ def silver(
     ``transform`` is the per-table hook that runs before the rules.
     """
     source = df.transform(transform) if transform else df
-    return latest_per_key(accepted(checked(source, rules, salt)), key, newest_first)
+    return latest_per_key(accepted(source, rules, salt), key, newest_first)
 
 
 _TRANSFORMS: dict[str, Callable[[DataFrame], DataFrame]] = {}

@@ -186,8 +186,9 @@ def sampled(rate: float, salt: str, *parts: str) -> str:
     return f"substr(md5(concat_ws('|', '{salt}', {text})), 1, {len(cut)}) < '{cut}'"
 
 
-def half_up(numerator: str, denominator: str) -> str:
-    return f"((2 * ({numerator}) + ({denominator})) // (2 * ({denominator})))"
+def rounded(amount: str) -> str:
+    """SQL of a double rounded to cents as Spark does it: half up on its decimal text."""
+    return f"CAST(CAST(CAST({amount} AS VARCHAR) AS DECIMAL(20,2)) * 100 AS BIGINT)"
 
 
 IDS_SQL = f"""ids AS (
@@ -217,7 +218,7 @@ CLIENTS_SQL = f"""clients AS (
 def accounts_sql(seq_width: int = 4) -> str:
     return f"""slots AS (
   SELECT id, dt, slot, 2 * (id - 1) + slot AS seq,
-    CAST(round(pow(10.0, 3 + (id % 100) / 25.0) * 100) AS BIGINT) AS balance
+    {rounded("pow(10.0, 3 + (id % 100) / 25.0)")} AS balance
   FROM ids, unnest(generate_series(1, CASE WHEN id % 2 = 0 THEN 2 ELSE 1 END)) AS s(slot)),
 accounts AS (
   SELECT id, dt, slot,
@@ -230,7 +231,7 @@ accounts AS (
          ELSE ['GL001', 'BL001', 'PL002'][(id + 3) % 3 + 1] END AS "ProductID",
     CASE WHEN slot = 1 THEN 'LOAN_PRIMARY' ELSE 'LOAN_SECONDARY' END AS "AccountType",
     balance AS balance_cents,
-    {half_up("balance * (id % 10)", "100")} AS freeze_cents,
+    {rounded("balance / 100.0 * (id % 10) / 100")} AS freeze_cents,
     CASE WHEN id % 50 = 0 THEN 'CLOSED' WHEN id % 25 = 0 THEN 'DORMANT'
          WHEN id % 15 = 0 THEN 'FROZEN' ELSE 'ACTIVE' END AS "AccountStatus",
     {_DAY_START} AS "CreatedAt", {_USER} AS "CreatedBy", {_DAY_START} AS "LastUpdatedAt"
@@ -239,7 +240,7 @@ accounts AS (
 
 LOANS_SQL = f"""series AS (
   SELECT a.id, a.dt, a."OurBranchID", a."AccountID", CAST(n AS INTEGER) AS "LoanSeries",
-    CAST(round(pow(10.0, 4 + (id % 100) / 20.0) * 100) AS BIGINT) AS sanction,
+    {rounded("pow(10.0, 4 + (id % 100) / 20.0)")} AS sanction,
     id % 120 + 80 AS tenths,
     CAST(id % 360 + 12 AS INTEGER) AS "Tenure",
     "CreatedAt", "CreatedBy", "LastUpdatedAt"
@@ -247,8 +248,8 @@ LOANS_SQL = f"""series AS (
     unnest(generate_series(1, CASE WHEN a.id % 3 = 0 THEN 2 ELSE 1 END)) AS s(n)),
 loans AS (
   SELECT *,
-    {half_up("sanction * 95", "100")} AS disbursed,
-    {half_up("sanction * tenths * Tenure", "12000")} AS interest,
+    {rounded("sanction / 100.0 * CAST(0.95 AS DOUBLE)")} AS disbursed,
+    {rounded('sanction / 100.0 * (tenths / 10.0) / 100 * "Tenure" / 12')} AS interest,
     CASE WHEN id % 100 < 60 THEN 'ACTIVE' WHEN id % 100 < 80 THEN 'CLOSED'
          WHEN id % 100 < 90 THEN 'NPA' WHEN id % 100 < 95 THEN 'WRITTEN_OFF'
          ELSE 'RESTRUCTURED' END AS "LoanStatus",
@@ -267,8 +268,8 @@ installments AS (
   SELECT t.id, t.dt, t."OurBranchID", t."AccountID", t."LoanSeries", t."LoanID",
     CAST(k AS INTEGER) AS "InstallmentNo",
     CAST(t.dt + to_months(CAST(k AS INTEGER)) AS DATE) AS "InstallmentDate",
-    {half_up("sanction", "n")} AS principal,
-    {half_up("sanction * tenths", "12000")} AS interest_due,
+    {rounded("sanction / 100.0 / n")} AS principal,
+    {rounded("sanction / 100.0 * (tenths / 10.0) / 100 / 12")} AS interest_due,
     "CreatedAt", "CreatedBy", "LastUpdatedAt"
   FROM terms t, unnest(generate_series(1, n)) AS s(k))"""
 
@@ -297,11 +298,11 @@ ORDER_TERMS_SQL = f"""terms AS (
   SELECT o_orderkey AS loan, CAST(o_orderdate AS DATE) AS d0,
     CAST(least(36, o_orderkey % 360 + 12) AS INTEGER) AS n,
     CAST(round(o_totalprice * 100) AS BIGINT) AS amount_cents,
-    (80 + o_orderkey % 120) * 1000 AS rate_e4
+    o_totalprice AS amount, 8 + (o_orderkey % 120) / 10.0 AS rate
   FROM orders),
 priced AS (
-  SELECT *, {half_up("amount_cents", "n")} AS p,
-    {half_up("amount_cents * rate_e4", "12000000")} AS i FROM terms),
+  SELECT *, {rounded("amount / n")} AS p,
+    {rounded("amount * rate / 100 / 12")} AS i FROM terms),
 schedule AS (
   SELECT t.*, CAST(k AS INTEGER) AS k, CAST(d0 + to_months(CAST(k AS INTEGER)) AS DATE) AS due_date
   FROM priced t, unnest(generate_series(1, n)) AS s(k))"""

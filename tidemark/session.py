@@ -19,6 +19,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # no Python call-site capture per column expression while plans are built
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
