@@ -58,16 +58,24 @@ def deliveries(spark, sf_dir):
 def _events(spark, sf_dir):
     """Drift log rows of all deliveries with the rows they concern."""
     target = table(spark, sf_dir, "events").schema
-    parts = []
+    logs, counts = [], []
     for batch, df in deliveries(spark, sf_dir).items():
         findings = drift.find_drift(df.schema, target)
+        run_id = f"run-{batch}"
         if findings:
-            log = drift.drift_log_rows(
-                spark, findings, f"run-{batch}", TABLE_ID, drift.EVOLVE, DETECTED_AT
+            logs.append(
+                drift.drift_log_rows(
+                    spark, findings, run_id, TABLE_ID, drift.EVOLVE, DETECTED_AT
+                )
             )
-            counted = df.agg(F.lit(f"run-{batch}").alias("run_id"), F.count("*").alias("records"))
-            parts.append(log.join(counted, "run_id").withColumn("batch", F.lit(batch)))
-    return union_all(parts)
+        counts.append(
+            df.agg(
+                F.lit(run_id).alias("run_id"),
+                F.lit(batch).alias("batch"),
+                F.count(F.lit(1)).alias("records"),
+            )
+        )
+    return union_all(logs).join(union_all(counts), "run_id")
 
 
 @query(
