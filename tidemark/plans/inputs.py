@@ -28,6 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores, if the scan has fewer splits than there are cores.
+
+    For plans that multiply every row many times: the supplied files are read by
+    one task each, and that task would then produce the whole output.  Input of
+    cluster size has splits enough and is left where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def day(column: str) -> Column:
     return F.col(column).cast("date")
 
@@ -36,7 +47,7 @@ def client_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, dt``: customers numbered from one, spread over a month of business dates."""
     number = (F.col("c_custkey") + 1).alias("id")
     dates = F.date_add(F.lit(FIRST_DAY).cast("date"), (F.col("id") % DAYS).cast("int"))
-    return table(spark, sf_dir, "customer").select(number).withColumn("dt", dates)
+    return spread(table(spark, sf_dir, "customer").select(number)).withColumn("dt", dates)
 
 
 def loans_of_clients(spark: SparkSession, sf_dir: str, seq_width: int = 4) -> DataFrame:
@@ -45,8 +56,12 @@ def loans_of_clients(spark: SparkSession, sf_dir: str, seq_width: int = 4) -> Da
 
 def order_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``loan`` and its installment terms, one per order."""
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("loan"), "o_totalprice", day("o_orderdate").alias("o_orderdate")
+    orders = spread(
+        table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").alias("loan"),
+            "o_totalprice",
+            day("o_orderdate").alias("o_orderdate"),
+        )
     )
     return lending.installment_terms(
         orders,

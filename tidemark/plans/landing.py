@@ -7,17 +7,20 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import cents
-from tidemark.operators import edits
+from tidemark.loading import load_plan_rows
+from tidemark.operators import defects, edits
 from tidemark.operators.dedup import as_of_batch, latest_per_key
 from tidemark.operators.joins import broadcast_if_small, union_all
 from tidemark.operators.reports import rows_per_date
 from tidemark.operators.runs import watermarks
 from tidemark.plans import inputs
-from tidemark.plans.inputs import table, with_sql
+from tidemark.plans.inputs import sampled, table, with_sql
 from tidemark.plans.registry import query
 from tidemark.session import work_path
 from tidemark.sinks import catalog, tables
-from tidemark.sources import landing
+from tidemark.sinks.daily_feed import land_day
+from tidemark.sinks.run_log import RunLog
+from tidemark.sources import config, landing
 from tidemark.streaming.arrivals import load_arrivals
 
 TABLE = "events"
@@ -310,3 +313,67 @@ def source_formats(spark, sf_dir):
             )
         )
     return union_all(parts)
+
+
+FIRST_DATE, SECOND_DATE = "2024-01-15", "2024-02-15"
+
+
+def _day_sql(run_dt: str) -> list[str]:
+    ids = f"""ids AS (SELECT c_custkey + 1 AS id, DATE '{run_dt}' AS dt FROM customer)"""
+    return [ids, *inputs.loans_sql()[1:], inputs.INSTALLMENTS_SQL]
+
+
+_REPAID = sampled(0.8, "repay", '"LoanID"', '"InstallmentNo"')
+_TWICE = sampled(defects.DUPLICATE_RATE, "duplicate", '"LoanID"')
+_DAY_COUNTS = f"""SELECT 't_Client' AS table_name, count(*) AS records FROM ids
+UNION ALL SELECT 't_AccountCustomer', count(*) FROM accounts
+UNION ALL SELECT 't_Loan', count(*) + count(*) FILTER (WHERE {_TWICE}) FROM loans
+UNION ALL SELECT 't_LoanInstallment', count(*) FROM installments"""
+
+
+@query(
+    f"""SELECT '{FIRST_DATE}' AS dt, * FROM ({with_sql(*_day_sql(FIRST_DATE))} {_DAY_COUNTS}
+  UNION ALL SELECT 't_AccountTrx', count(*) FROM loans)
+UNION ALL
+SELECT '{SECOND_DATE}', * FROM ({with_sql(*_day_sql(FIRST_DATE))} {_DAY_COUNTS}
+  UNION ALL SELECT 't_AccountTrx', count(*) + (SELECT count(*) FROM installments
+    WHERE "InstallmentDate" = DATE '{SECOND_DATE}' AND {_REPAID}) FROM loans)"""
+)
+def daily_landing(spark, sf_dir):
+    """Two business dates of the five-table feed; the second repays the first."""
+    root = work_path(spark, "days")
+    numbers = inputs.client_ids(spark, sf_dir).select("id")
+    for run_dt in (FIRST_DATE, SECOND_DATE):
+        land_day(numbers, root, run_dt, inputs.TODAY)
+    names = ["t_Client", "t_AccountCustomer", "t_Loan", "t_LoanInstallment", "t_AccountTrx"]
+    return union_all([rows_per_date(landing.landed(spark, root, n), n) for n in names])
+
+
+_LOADED = {"orders": "o_orderdate", "lineitem": "l_shipdate", "customer": None}
+
+
+@query(
+    "\nUNION ALL\n".join(
+        f"""SELECT '{name}' AS table_name, 'SUCCESS' AS status, count(*) AS rows_read,
+  count(*) AS rows_written FROM {name}"""
+        for name in _LOADED
+    )
+    + "\nUNION ALL SELECT 'absent', 'SKIPPED', 0, 0"
+)
+def audited_load(spark, sf_dir):
+    """Whole tables loaded from configuration rows, as the run log saw it."""
+    root, target = work_path(spark, "sources"), work_path(spark, "targets")
+    log = RunLog(spark, work_path(spark, "run-log"))
+    for name in _LOADED:
+        table(spark, sf_dir, name).write.parquet(f"{root}/{name}")
+    priorities = {name: n for n, name in enumerate([*_LOADED, "absent"], start=1)}
+    registry = (
+        config.table_config(spark, root, priorities=priorities)
+        .withColumn("source_path_pattern", F.concat(F.lit(f"{root}/"), "source_table_name"))
+        .withColumn("partition_cols", F.lit(None).cast("string"))
+    )
+    layers = config.process_config(registry, list(priorities)).withColumn(
+        "load_type", F.lit("FULL")
+    )
+    load_plan_rows(spark, log, registry, layers, FIRST_DATE, target)
+    return log.loads().select("table_name", "status", "rows_read", "rows_written")

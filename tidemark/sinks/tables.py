@@ -129,12 +129,17 @@ def upsert_partitions(
     existing = read_partitioned(spark, path, [d.isoformat() for d in days])
     staging = work_path(spark, "upsert")
     merged = upsert(existing, changes.select(*existing.columns), keys)
-    merged.write.partitionBy(by).parquet(staging)
-    staged = spark.read.schema(existing.schema).parquet(staging)
-    _overwrite_partitions(sized(staged, by), path, [by])
+    _copy_through(merged, staging, path, by)
     return days
 
 
+def _copy_through(df: DataFrame, staging: str, path: str, by: str) -> None:
+    """Writes at the target file size to the work folder, then copies file by file."""
+    sized(df, by).write.partitionBy(by).parquet(staging)
+    staged = df.sparkSession.read.schema(df.schema).parquet(staging)
+    _overwrite_partitions(staged, path, [by])
+
+
 def rewrite_partitions(
     spark: SparkSession,
     path: str,
@@ -149,9 +154,7 @@ def rewrite_partitions(
     """
     current = read_partitioned(spark, path, days)
     staging = work_path(spark, "rewrite")
-    current.transform(edit).write.partitionBy(by).parquet(staging)
-    staged = spark.read.schema(current.schema).parquet(staging)
-    _overwrite_partitions(sized(staged, by), path, [by])
+    _copy_through(current.transform(edit), staging, path, by)
 
 
 def compact(spark: SparkSession, path: str, days: Sequence[str], by: str = "dt") -> None:

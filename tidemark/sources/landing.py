@@ -152,17 +152,22 @@ def next_batches(batches: DataFrame) -> DataFrame:
 def next_batch(spark: SparkSession, root: str, dt: str, anchor: str = "t_Client") -> int:
     """The batch number all tables use for the next delivery of a date.
 
-    The anchor table decides; 1 if it has nothing for that date.
+    The anchor table decides; 1 if it has nothing for that date.  Only that
+    date's folder is listed.
     """
+    base = table_path(root, anchor)
     try:
-        files = inventory(spark, root, [anchor])
+        files = (
+            spark.read.format("binaryFile")
+            .option("basePath", base)
+            .option("pathGlobFilter", "*.parquet")
+            .load(f"{base}/dt={dt}")
+        )
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return 1
         raise
-    row = (
-        files.where(F.col("dt") == F.lit(dt).cast("date")).agg(F.max("batch").alias("batch")).first()
-    )
+    row = files.agg(F.max("batch").alias("batch")).first()
     return (row["batch"] or 0) + 1
 
 
