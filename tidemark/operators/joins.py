@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schemas import Relation
+from tidemark.session import staged
 
 BROADCAST_LIMIT_MB = 10
 _BROADCAST_ROWS = 200_000
@@ -20,8 +21,8 @@ def broadcast_if_small(
 ) -> DataFrame:
     """``broadcast(df)`` if its measured size is within the limit, else ``df``.
 
-    Runs one bounded job: at most ``max_rows + 1`` rows are looked at, so the
-    check itself stays cheap on a large frame.
+    Runs one bounded job that looks at ``max_rows + 1`` rows at most.  Hand in a
+    staged frame if computing it is expensive, since the check computes it too.
     """
     probe = (
         df.limit(max_rows + 1)
@@ -40,14 +41,14 @@ def orphan_rows(
 ) -> DataFrame:
     """Child rows without a parent.  A NULL key has no parent.
 
-    The missing keys are found first, from keys counted map-side; the rows are
-    then fetched by a second scan.  When the missing keys are few, which is
-    measured, they are broadcast and no child row is ever shuffled.  Otherwise
-    the keys with the most orphans are broadcast and the rest is joined by key,
-    so that no task gets more than a thousandth of the orphans of one key.
+    The missing keys are found first, from keys counted map-side, and staged; the
+    rows are then fetched by a second scan.  When the missing keys are few, which
+    is measured, they are broadcast and no child row is ever shuffled.  Otherwise
+    the thousand keys with the most orphans are broadcast and the rest is joined
+    by key, where no single key can hold more than a thousandth of the orphans.
     """
     names = list(keys)
-    missing = orphan_counts(child, parent, keys, parent_keys)
+    missing = staged(orphan_counts(child, parent, keys, parent_keys), "missing-keys")
     checked = broadcast_if_small(missing)
     if checked is not missing:
         return _matching(child, checked, names)

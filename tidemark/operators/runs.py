@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import broadcast_if_small
+from tidemark.session import staged
 
 MAX_BACKFILL_DAYS = 30
 TERMINAL = ["SUCCESS", "FAILED", "SKIPPED", "QUARANTINED"]
@@ -121,7 +122,7 @@ def upstream_ready(process_config: DataFrame, log: DataFrame, run_dt: str) -> Da
         .select(F.col("table_id").alias("upstream"), F.lit(True).alias("done"))
         .distinct()
     )
-    done = broadcast_if_small(done)
+    done = broadcast_if_small(staged(done, "finished-tables"))
     needs = process_config.select(
         "table_id",
         "process_type",

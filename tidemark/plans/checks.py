@@ -201,7 +201,7 @@ def ordered_after_shipping(spark, sf_dir):
 )
 def orphans_two_key(spark, sf_dir):
     """Loans without their account, by branch and account, after some ids were damaged."""
-    accounts = lending.accounts(inputs.client_ids(spark, sf_dir))
+    accounts = inputs.accounts_of_clients(spark, sf_dir)
     loans = lending.loans(accounts)
     damaged = defects.truncate(accounts, "AccountID", ["AccountID"], defects.NULL_RATE)
     orphans = joins.orphan_rows(loans, damaged, ["OurBranchID", "AccountID"])

@@ -47,21 +47,21 @@ def client_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, dt``: customers numbered from one, spread over a month of business dates."""
     number = (F.col("c_custkey") + 1).alias("id")
     dates = F.date_add(F.lit(FIRST_DAY).cast("date"), (F.col("id") % DAYS).cast("int"))
-    return spread(table(spark, sf_dir, "customer").select(number)).withColumn("dt", dates)
+    return table(spark, sf_dir, "customer").select(number).withColumn("dt", dates)
+
+
+def accounts_of_clients(spark: SparkSession, sf_dir: str, seq_width: int = 4) -> DataFrame:
+    return lending.accounts(spread(client_ids(spark, sf_dir)), seq_width=seq_width)
 
 
 def loans_of_clients(spark: SparkSession, sf_dir: str, seq_width: int = 4) -> DataFrame:
-    return lending.loans(lending.accounts(client_ids(spark, sf_dir), seq_width=seq_width))
+    return lending.loans(accounts_of_clients(spark, sf_dir, seq_width))
 
 
 def order_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``loan`` and its installment terms, one per order."""
-    orders = spread(
-        table(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").alias("loan"),
-            "o_totalprice",
-            day("o_orderdate").alias("o_orderdate"),
-        )
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("loan"), "o_totalprice", day("o_orderdate").alias("o_orderdate")
     )
     return lending.installment_terms(
         orders,

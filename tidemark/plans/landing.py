@@ -16,7 +16,7 @@ from tidemark.operators.runs import watermarks
 from tidemark.plans import inputs
 from tidemark.plans.inputs import sampled, table, with_sql
 from tidemark.plans.registry import query
-from tidemark.session import work_path
+from tidemark.session import staged, work_path
 from tidemark.sinks import catalog, tables
 from tidemark.sinks.daily_feed import land_day
 from tidemark.sinks.run_log import RunLog
@@ -131,7 +131,7 @@ def incremental_since_watermark(spark, sf_dir):
         inputs.day("ts").alias("run_dt"),
         F.when(F.col("value") > 480, "SUCCESS").otherwise("FAILED").alias("status"),
     )
-    marks = broadcast_if_small(watermarks(log, "event_type"))
+    marks = broadcast_if_small(staged(watermarks(log, "event_type"), "watermarks"))
     joined = _landed(spark, sf_dir).join(marks, "event_type", "left")
     fresh = joined.where(F.col("watermark").isNull() | (F.col("dt") > F.col("watermark")))
     return fresh.select("event_id", "event_type", "dt")

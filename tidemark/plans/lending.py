@@ -105,9 +105,7 @@ def client_rows(spark, sf_dir):
 )
 def account_fanout(spark, sf_dir):
     """One or two accounts per client."""
-    return lending.layout(
-        lending.accounts(inputs.client_ids(spark, sf_dir)), "t_AccountCustomer"
-    )
+    return lending.layout(inputs.accounts_of_clients(spark, sf_dir), "t_AccountCustomer")
 
 
 @query(
@@ -174,7 +172,8 @@ def segment_bands(spark, sf_dir):
 )
 def amortisation_schedule(spark, sf_dir):
     """Every installment of every loan: equal rounded shares."""
-    return lending.schedule(inputs.order_loans(spark, sf_dir)).select(
+    loans = inputs.spread(inputs.order_loans(spark, sf_dir))
+    return lending.schedule(loans).select(
         "loan", "k", "due_date", "principal_due", "interest_due"
     )
 
@@ -189,7 +188,8 @@ FROM schedule GROUP BY loan"""
 )
 def settled_schedule(spark, sf_dir):
     """Schedules whose last installment takes the rounding remainder, summed per loan."""
-    shares = lending.schedule(inputs.order_loans(spark, sf_dir), settle_remainder=True)
+    loans = inputs.spread(inputs.order_loans(spark, sf_dir))
+    shares = lending.schedule(loans, settle_remainder=True)
     return shares.groupBy("loan").agg(
         F.count(F.lit(1)).alias("installments"),
         F.sum("principal_due").alias("principal_cents"),

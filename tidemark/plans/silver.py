@@ -54,7 +54,7 @@ def silver_client(spark, sf_dir):
 )
 def silver_account(spark, sf_dir):
     """Accounts with the parts of their id and decimal balances."""
-    accounts = lending.accounts(inputs.client_ids(spark, sf_dir))
+    accounts = inputs.accounts_of_clients(spark, sf_dir)
     return _silver(_landed(accounts, "t_AccountCustomer"), "t_AccountCustomer")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What every job here relies on.  AQE supplies runtime coalescing, broadcast
 # conversion, skew-join splitting and REBALANCE splitting.
@@ -69,3 +69,14 @@ def work_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A path below the work folder that no other call gets."""
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the work folder and read back.
+
+    For a result that is used more than once: it is computed once, its lineage
+    ends in files that outlive an executor, and its size is known to the planner.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
