@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.loading import load_plan_rows
+from tidemark.loading import build_silver, load_plan_rows
+from tidemark.operators import silver
+from tidemark.schemas import natural_key
 from tidemark.sinks import tables
 from tidemark.sinks.daily_feed import client_range, land_day
 from tidemark.sinks.run_log import RunLog
@@ -53,6 +55,28 @@ def test_feed_is_landed_loaded_and_reloaded(spark, env):
     assert loan.join(acc, ["OurBranchID", "AccountID"], "left_anti").count() == 0
 
 
+def test_silver_from_bronze(spark, env, tmp_path):
+    land_day(client_range(spark, 1, 200), env.root, DAY, "2024-03-01")
+    columns = config.column_config(env.registry, config.rule_rows(spark))
+    wanted = env.registry.where("source_table_name in ('t_Client', 't_Loan')")
+    assert env.run(registry=wanted) == "SUCCESS"
+    run_id = env.log.start_etl_run("silver", "SILVER", DAY)
+    layer = {"load_type": "INCREMENTAL", "transform_module": None}
+    out = str(tmp_path / "silver")
+    for name in ("t_Client", "t_Loan"):
+        table = config.get_table_config(env.registry, name)
+        rules = silver.column_rules(config.get_input_column_config(env.registry, columns, name))
+        assert build_silver(
+            spark, env.log, run_id, table, layer, rules, natural_key(name), DAY, env.target, out, "s"
+        ) == "SUCCESS"
+    loans = spark.read.parquet(f"{out}/t_loan")
+    assert loans.count() == loans.select("LoanID").distinct().count() == 399
+    assert dict(loans.dtypes)["SanctionAmount"] == "decimal(15,2)"
+    clients = spark.read.parquet(f"{out}/t_client")
+    assert clients.count() == 200 and clients.where("length(ClientName) = 64").count() == 200
+    assert env.log.end_etl_run(run_id) == "SUCCESS"
+
+
 def test_empty_source_is_skipped(env):
     assert env.run() == "SUCCESS"
     assert {r.status for r in env.log.loads().collect()} == {"SKIPPED"}

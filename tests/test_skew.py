@@ -42,6 +42,17 @@ def test_latest_sends_one_row_per_key_and_task(hot, local, plan, rows):
     assert "Final" in text
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_rare_duplicates_give_the_same_rows(spark, hot, rows, monkeypatch, small):
+    nulls = spark.createDataFrame([(None, 1), (None, 2)], "k bigint, v bigint")
+    df = hot.unionByName(nulls)
+    if not small:
+        monkeypatch.setattr(dedup, "broadcast_if_small", lambda frame, **_: frame)
+    assert rows(dedup.latest_where_rare(df, ["k"], ["v"])) == rows(
+        dedup.latest_per_key(df, ["k"], ["v"])
+    )
+
+
 def test_counts(hot, local, rows):
     counts = collections.Counter(k for k, _ in local)
     assert rows(quality.duplicate_keys(hot, ["k"])) == sorted(

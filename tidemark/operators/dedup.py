@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import broadcast_if_small, matching
+from tidemark.session import staged
+
 
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], newest_first: Sequence[str | Column]
@@ -25,6 +28,30 @@ def latest_per_key(
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
+def latest_where_rare(
+    df: DataFrame, keys: Sequence[str], newest_first: Sequence[str | Column]
+) -> DataFrame:
+    """``latest_per_key`` for input in which few keys occur twice.
+
+    The repeated keys are found first and staged: only keys are shuffled, counted
+    map-side.  If they measure small they are broadcast; all other rows pass
+    without a shuffle or a sort, and only the copies are ranked.  If not, every
+    row is ranked.  Reads the input twice, so it pays off on scans, where whole
+    rows are many times wider than their key.
+    """
+    names = list(keys)
+    repeated = staged(
+        df.groupBy(*names).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select(*names),
+        "repeated-keys",
+    )
+    checked = broadcast_if_small(repeated)
+    if checked is repeated:
+        return latest_per_key(df, keys, newest_first)
+    single = matching(df, checked, names, "left_anti")
+    copies = latest_per_key(matching(df, checked, names), keys, newest_first)
+    return single.unionByName(copies)
+
+
 def as_of_batch(
     df: DataFrame, keys: Sequence[str], batch: int, batch_column: str = "batch",
     newest_first: Sequence[str | Column] = (),

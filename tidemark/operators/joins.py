@@ -51,15 +51,15 @@ def orphan_rows(
     missing = staged(orphan_counts(child, parent, keys, parent_keys), "missing-keys")
     checked = broadcast_if_small(missing)
     if checked is not missing:
-        return _matching(child, checked, names)
+        return matching(child, checked, names)
     heaviest = missing.orderBy(F.desc("orphans"), *names).limit(_HOT_KEYS)
-    others = _matching(missing, F.broadcast(heaviest), names, "left_anti")
-    return _matching(child, F.broadcast(heaviest), names).unionByName(
-        _matching(child, others, names)
+    others = matching(missing, F.broadcast(heaviest), names, "left_anti")
+    return matching(child, F.broadcast(heaviest), names).unionByName(
+        matching(child, others, names)
     )
 
 
-def _matching(
+def matching(
     df: DataFrame, wanted: DataFrame, keys: Sequence[str], how: str = "left_semi"
 ) -> DataFrame:
     """Rows whose key is in ``wanted`` (or is not, for an anti join); NULL equals NULL."""

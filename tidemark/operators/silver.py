@@ -12,7 +12,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.dedup import latest_per_key
+from tidemark.operators.dedup import latest_per_key, latest_where_rare
 from tidemark.schemas import DERIVED_SUBSTRINGS, ColumnRule
 
 REASONS = "reject_reasons"
@@ -131,13 +131,16 @@ def silver(
     newest_first: Sequence[str] = ("LastUpdatedAt", "batch"),
     salt: str = "",
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    rare_duplicates: bool = False,
 ) -> DataFrame:
     """Accepted rows, one per natural key, the newest kept.
 
-    ``transform`` is the per-table hook that runs before the rules.
+    ``transform`` is the per-table hook that runs before the rules.  For a wide
+    table on disk with few repeated keys, ``rare_duplicates`` shuffles keys only.
     """
     source = df.transform(transform) if transform else df
-    return latest_per_key(accepted(source, rules, salt), key, newest_first)
+    keep = latest_where_rare if rare_duplicates else latest_per_key
+    return keep(accepted(source, rules, salt), key, newest_first)
 
 
 _TRANSFORMS: dict[str, Callable[[DataFrame], DataFrame]] = {}

@@ -131,7 +131,9 @@ FROM orders"""
 def silver_orders(spark, sf_dir):
     """Orders renamed, typed and without the inactive column."""
     orders = table(spark, sf_dir, "orders")
-    return silver.silver(orders, ORDER_RULES, ["LoanNumber"], newest_first=("SanctionDate",))
+    return silver.silver(
+        orders, ORDER_RULES, ["LoanNumber"], newest_first=("SanctionDate",), rare_duplicates=True
+    )
 
 
 REJECT_RULES = [
