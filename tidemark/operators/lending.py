@@ -250,7 +250,10 @@ def _ledger_rows(
     principal: Column,
     interest: Column,
 ) -> DataFrame:
-    at = day.cast("timestamp") + F.expr(f"INTERVAL {hour} HOURS")
+    # by the wall clock, also on days that a time zone makes shorter or longer
+    at = F.make_timestamp(
+        F.year(day), F.month(day), F.day(day), F.lit(hour), F.lit(0), F.lit(0)
+    )
     checksum = F.crc32(F.col("AccountID"))
     return df.select(
         "OurBranchID",

@@ -25,6 +25,8 @@ RUNTIME_SETTINGS = {
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_local_folders: dict[str, str] = {}
+
 
 def local_session(
     cores: int | str = "*",
@@ -61,9 +63,10 @@ def work_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="tidemark-")
+    return _local_folders[application]
 
 
 def work_path(spark: SparkSession, name: str) -> str:
