@@ -77,6 +77,15 @@ def test_silver_from_bronze(spark, env, tmp_path):
     assert env.log.end_etl_run(run_id) == "SUCCESS"
 
 
+def test_csv_source(spark, env):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    df.write.option("header", True).csv(f"{env.root}/t_Client/dt={DAY}/batch=1")
+    registry = env.registry.where("table_id = 1").withColumn("source_format", F.lit("CSV"))
+    assert env.run(registry=registry) == "SUCCESS"
+    stored = env.bronze("t_client")
+    assert stored.columns[:2] == ["k", "v"] and stored.where("k = '2' and v is null").count() == 1
+
+
 def test_empty_source_is_skipped(env):
     assert env.run() == "SUCCESS"
     assert {r.status for r in env.log.loads().collect()} == {"SKIPPED"}

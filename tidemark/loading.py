@@ -62,7 +62,8 @@ def _source(spark: SparkSession, table: Mapping[str, Any], run_dt: str) -> DataF
     path = resolve_path(table["source_path_pattern"], table["source_table_name"], run_dt)
     base = path.split("/dt=")[0]
     try:
-        df = read_source(spark, table["source_format"], path, basePath=base)
+        # header matters to CSV only
+        df = read_source(spark, table["source_format"], path, basePath=base, header="true")
     except AnalysisException as error:
         if error.getCondition() in _NO_SOURCE:
             return None
