@@ -29,13 +29,15 @@ def land_day(
 
     All five tables get the batch number the client table is due for.  Repaid are
     installments of earlier dates that fall due on ``run_dt``; the scan for them
-    opens three years of folders at most.  Each table is written straight from
-    the exploded plan: computing it again is narrow and cheaper than keeping it.
-    Returns the rows landed per table.
+    opens three years of folders at most.  Only the client numbers are shuffled,
+    into as many parts as the largest table needs files; each table is then
+    written straight from the exploded plan, which is cheaper to compute again
+    than to keep.  Returns the rows landed per table.
     """
     spark = ids.sparkSession
     batch = next_batch(spark, root, run_dt)
-    dated = ids.select("id", F.lit(run_dt).cast("date").alias("dt"))
+    parts = _parts(ids.count(), spark.sparkContext.defaultParallelism)
+    dated = ids.select("id").repartition(parts).withColumn("dt", F.lit(run_dt).cast("date"))
     clients = lending.clients(dated, today)
     accounts = lending.accounts(dated, first_id, first_seq)
     loans = lending.loans(accounts)
@@ -60,11 +62,19 @@ def land_day(
         "t_AccountTrx": ledger,
     }
     return {
-        name: write_batch(lending.layout(df, name), root, name, run_dt, batch)
+        name: write_batch(
+            lending.layout(df, name), root, name, run_dt, batch, keep_layout=True
+        )
         for name, df in frames.items()
     }
 
 
+def _parts(clients: int, cores: int) -> int:
+    """Parts of at most 50,000 clients, whose installments fill a file of the target
+    size; smaller ones, down to 2,000, while there are idle cores."""
+    return max(1, -(-clients // 50_000), min(cores, -(-clients // 2_000)))
+
+
 def _due(spark: SparkSession, root: str, run_dt: str) -> DataFrame | None:
     """Installments landed so far that are due, or None before the first delivery."""
     try:

@@ -44,15 +44,25 @@ def sized(df: DataFrame, *by: str, total_bytes: int | None = None) -> DataFrame:
 
 
 def write_batch(
-    df: DataFrame, root: str, table: str, run_dt: str, batch: int, files: int | None = None
+    df: DataFrame,
+    root: str,
+    table: str,
+    run_dt: str,
+    batch: int,
+    files: int | None = None,
+    keep_layout: bool = False,
 ) -> int:
     """Writes one delivery to its own folder, replacing it; returns the rows there.
 
+    Laid out as that many files, or at the target size; ``keep_layout`` writes the
+    partitions as they are, for frames that were laid out before they fanned out.
     The rows are counted from the written footers, which also proves that the
     folder is readable.
     """
     folder = resolve_path(PATH_TEMPLATE, table, run_dt, batch, root.rstrip("/"))
-    laid_out = df.repartition(files) if files else df.hint("rebalance")
+    laid_out = df
+    if not keep_layout:
+        laid_out = df.repartition(files) if files else df.hint("rebalance")
     laid_out.write.mode("overwrite").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder).count()
 
