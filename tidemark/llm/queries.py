@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import ngram_join
+from tidemark.llm import language_id, line_dedup, ngram_join, packing
 from tidemark.llm.inputs import ship_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +33,31 @@ def query(sql: str | None = None):
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and linked component of every document; 3 words, similarity 0.9."""
     return ngram_join.linked_documents(table(spark, sf_dir, "documents"))
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the installed vocabulary files are; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query(line_dedup.SQL)
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated windows of three lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_repeats(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query()
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in sequences of at most 1024 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query()
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.predict(docs, language_id.fit(docs))
+    return found.select("doc_id", "held_out", "lang_pred", F.least(F.lit(1.0), "score").alias("score"), "margin", "accepted")
