@@ -108,7 +108,7 @@ WITH lines AS (
   SELECT doc_id, unnest(range(len(l))) AS pos, unnest(l) AS raw FROM lines
 ), marked AS (
   SELECT doc_id, pos, trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line
-  FROM numbered WHERE regexp_matches(raw, '[^\\x20\\x09-\\x0D]')
+  FROM numbered WHERE regexp_matches(raw, '[^\x20\x09-\x0D]')
 ), windows AS (
   SELECT doc_id, pos AS first, lead(pos, 2) OVER w AS last, line AS a,
          lead(line, 1) OVER w AS b, lead(line, 2) OVER w AS c
