@@ -36,7 +36,7 @@ from tidemark.llm.inputs import partitions
 from tidemark.session import staged
 
 BUCKETS = 1024
-SPARE = 2
+SPARE = 1
 TILE = 1 << 20  # n-grams of a tile of the product
 
 _PACKED = "bucket int, keys binary, docs binary, sizes binary"
@@ -302,7 +302,7 @@ def linked_documents(
         "ngram-sets",
     )
     names = rows.filter("doc_id <> set_id").select("doc_id", "set_id")
-    ends = found.filter("kind = 1").select("a", "b")
+    ends = found.filter("kind = 1").select("a", "b").distinct()
     for end in ("a", "b"):  # equal sets are one row of the product
         ends = ends.join(names.withColumnRenamed("doc_id", end), end, "left").withColumn(
             end, F.coalesce("set_id", end)
