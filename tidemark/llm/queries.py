@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, line_dedup, ngram_join, packing
+from tidemark.llm import decontamination, language_id, line_dedup, ngram_join, packing
 from tidemark.llm.inputs import ship_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,13 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@query(decontamination.SQL)
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and items of the benchmark in every document."""
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("n_near")
+
+
 @query()
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned outside the held-out fold."""
