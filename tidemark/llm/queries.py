@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language_id, line_dedup, ngram_join, packing
+from tidemark.llm import decontamination, language_id, line_dedup, ngram_join, packing, quality_rules, secret_scan, toxicity
 from tidemark.llm.inputs import ship_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,29 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_documents(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base verdict and the learned verdict of every document."""
+    found = quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "rule",
+    )
+
+
+@query()
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document and how widely they are owned."""
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """Where the installed vocabulary files are; the operators take any path."""
     import public_tokenizers
