@@ -9,32 +9,29 @@ what would be left.
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tidemark.llm.inputs import partitions
 from tidemark.session import staged
 
 END = 2
 SHARD = 8192  # pieces that are packed together
-WORDS = 1 << 18  # words whose ids a worker keeps
-RUN = 1 << 21  # characters that are tokenised together
-SPECIAL = "<|endoftext|>"
-
-# The blanks of Unicode, as the tokenizer's own pattern sees them.  A word takes one
-# blank before it along; longer runs of blanks are words of their own.
-_BLANK = "\t-\r \x85\xa0" + "".join(
-    map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
-)
-_WORD = re.compile(f"[{_BLANK}]+(?![^{_BLANK}])| ?[^{_BLANK}]+|[{_BLANK}]+")
+# How byte-level vocabulary files of this kind cut a text before merging
+CUT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 @dataclass(frozen=True)
@@ -46,55 +43,52 @@ class Capacity:
     weights: tuple[float, float, float] = (1.0, 0.0, 1e-6)
 
 
-class WordTokenizer:
-    """Ids of whole texts, as bytes of 32-bit numbers.
-
-    The byte-level tokenizer never joins across the bounds of ``_WORD``, so each
-    distinct word is encoded once and looked up afterwards.
-    """
+def _byte_of() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+@lru_cache(maxsize=4)
+def encoder(path: str) -> Callable[[str], list[int]]:
+    """Ids of whole texts with the vocabulary file of the tokenizers library at ``path``.
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        words = [[] if SPECIAL in text else _WORD.findall(text) for text in texts]
-        if len(self.known) > WORDS:
-            self.known.clear()
-        new = list(set().union(*words) - self.known.keys())
-        self.known.update(zip(new, self._ids(new), strict=True))
-        for text, own in zip(texts, words, strict=True):
-            yield self._ids([text])[0] if SPECIAL in text else b"".join(map(self.known.__getitem__, own))
+    If its merges are numbered in their order, merging by the smallest id is the same as
+    merging by rule, which a faster library does; else tokenizers itself is used.
+    """
+    content = json.loads(Path(path).read_text())
+    vocabulary, merges = content["model"]["vocab"], content["model"]["merges"]
+    pairs = ["".join(x if isinstance(x, list) else x.split(" ")) for x in merges]
+    cut = content.get("pre_tokenizer") or {}
+    like = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
+    if like and not content.get("normalizer") and all(vocabulary[x] == 256 + k for k, x in enumerate(pairs)):
+        special = {x["content"]: x["id"] for x in content.get("added_tokens", [])}
+        byte = _byte_of()
+        ranks = {bytes(byte[c] for c in x): k for x, k in vocabulary.items() if x not in special}
+        fast = tiktoken.Encoding("own", pat_str=CUT, mergeable_ranks=ranks, special_tokens=special)
+
+        def encode(text: str) -> list[int]:
+            if any(x in text for x in special):
+                return fast.encode(text, allowed_special="all")
+            return fast.encode_ordinary(text)
+
+        return encode
+    slow = Tokenizer.from_file(path)
+    return lambda text: slow.encode(text, add_special_tokens=False).ids
 
 
 def _pieces(path: str, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(path)
-        end = np.array([END], "<u4").tobytes()
+        encode = encoder(path)
         for batch in batches:
-            ids, texts = (c.to_pylist() for c in batch.columns)
             out: list[tuple] = []
-            at = 0
-            while at < len(texts):
-                last, size = at, 0
-                while last < len(texts) and (last == at or size < RUN):
-                    size += len(texts[last] or "")
-                    last += 1
-                group = [text or "" for text in texts[at:last]]
-                for doc, encoded in zip(ids[at:last], tokenizer.encode(group), strict=True):
-                    encoded += end
-                    n = len(encoded) // 4
-                    first = (n - 1) % most + 1
-                    bounds = [0, *range(first, n + 1, most)]
-                    for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-                        out.append((doc, k, a, b - a, zlib.crc32(encoded[4 * a : 4 * b])))
-                at = last
+            for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids = array("I", [*encode(text or ""), END]).tobytes()
+                n = len(ids) // 4
+                bounds = [0, *range((n - 1) % most + 1, n + 1, most)]
+                for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+                    out.append((doc, k, a, b - a, zlib.crc32(ids[4 * a : 4 * b])))
             columns = list(zip(*out, strict=True)) if out else [[]] * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
