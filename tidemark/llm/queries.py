@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language_id, line_dedup, ngram_join, packing, quality_rules, secret_scan, toxicity
+from tidemark.llm import decontamination, html_text, language_id, line_dedup, ngram_join, packing, quality_rules, secret_scan, toxicity
 from tidemark.llm.inputs import ship_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeats(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
+@query()
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
 @query()
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 1024 tokens."""
