@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, html_text, language_id, line_dedup, ngram_join, packing, quality_rules, secret_scan, toxicity
+from tidemark.llm import decontamination, html_text, language_id, line_dedup, ngram_join, packing, quality_rules, secret_scan, suffix_dedup, toxicity
 from tidemark.llm.inputs import ship_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@query()
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without byte strings that occur before."""
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """Where the installed vocabulary files are; the operators take any path."""
     import public_tokenizers
