@@ -170,7 +170,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, sl
         .agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
     close = (
-        near.filter("gap <> 0").select("doc_id", "window_id").distinct()
+        near.select("doc_id", "window_id").distinct()
         .join(phrases, ["doc_id", "window_id"], "left_anti")
         .groupBy("doc_id")
         .agg(F.count("*").alias("n_near"))

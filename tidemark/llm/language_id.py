@@ -8,7 +8,6 @@ apart, so that a long text keeps leaning on the dictionary and not on itself.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,9 +29,11 @@ SEARCH = dict(
     window_log=18, hash_log=16, chain_log=17, search_log=4, min_match=3,
     strategy=zstandard.STRATEGY_GREEDY, write_content_size=False,
 )
+# a few words need the best parse, or their code lengths tie
+SHORT = 256
+SHORT_SEARCH = SEARCH | dict(search_log=6, strategy=zstandard.STRATEGY_BTULTRA2)
 NARROW = 1  # bytes between the best and the second language that are too few
 
-_LETTER = re.compile(r"[^\W\d_]")
 # ASCII other than letters is a blank; bytes of other characters stay
 _PLAIN = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -48,13 +49,17 @@ class Model:
 
     dictionaries: dict[str, bytes]
 
-    def compressors(self) -> list[tuple[str, zstandard.ZstdCompressor]]:
+    def compressors(self) -> list[tuple[str, zstandard.ZstdCompressor, zstandard.ZstdCompressor]]:
+        """Language, compressor of blocks and compressor of short texts."""
         out = []
-        search = zstandard.ZstdCompressionParameters(**SEARCH)
         for lang, content in self.dictionaries.items():
-            shared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            shared.precompute_compress(compression_params=search)
-            out.append((lang, zstandard.ZstdCompressor(compression_params=search, dict_data=shared)))
+            both = []
+            for search in (SEARCH, SHORT_SEARCH):
+                search = zstandard.ZstdCompressionParameters(**search)
+                shared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                shared.precompute_compress(compression_params=search)
+                both.append(zstandard.ZstdCompressor(compression_params=search, dict_data=shared))
+            out.append((lang, *both))
         return out
 
 
@@ -88,14 +93,14 @@ def fit(docs: DataFrame) -> Model:
 
 def classify(text: str | None, compressors) -> tuple[str, float, int]:
     """``language, score, margin`` of one text; the margin is in compressed bytes."""
-    if not text or not compressors or not _LETTER.search(text):
+    if not text or not compressors or not any(map(str.isalpha, text)):
         return UNDETERMINED, 0.0, 0
     plain = normalised(text)
     sizes = np.zeros(len(compressors), np.int64)
     for at in range(0, len(plain), BLOCK):
         block = plain[at : at + BLOCK]
-        for k, (_, compressor) in enumerate(compressors):
-            sizes[k] += len(compressor.compress(block))
+        for k, (_, usual, thorough) in enumerate(compressors):
+            sizes[k] += len((thorough if len(plain) <= SHORT else usual).compress(block))
     best = int(sizes.argmin())
     rest = np.delete(sizes, best)
     margin = int(rest.min() - sizes[best]) if len(rest) else int(sizes[best])

@@ -199,7 +199,7 @@ def _found(kind, key, doc, start, stop) -> pa.RecordBatch:
     )
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _meet(batches: Iterator[pa.RecordBatch], crowd: int) -> Iterator[pa.RecordBatch]:
     """Reduce side: covered spans, and distinct stretches that share an anchor."""
     parts = []
     for batch in batches:
@@ -218,7 +218,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count = np.repeat(np.diff(np.append(first, len(rows))), np.diff(np.append(first, len(rows))))
     rows, count = rows[count > 1], count[count > 1]
     yield _found(
-        np.where(count > CROWD, CROWDED, LATER).astype(np.int32),
+        np.where(count > crowd, CROWDED, LATER).astype(np.int32),
         rows["key"].view(np.int64) if len(rows) else np.zeros(0, np.int64),
         rows["doc"],
         rows["start"],
@@ -337,7 +337,7 @@ def merge(transforms: list[Transform], bases: np.ndarray, depth: int = MATCH):
     return places[own_order()], interval
 
 
-def repeated(rows: np.ndarray, data: np.ndarray) -> np.ndarray:
+def repeated(rows: np.ndarray, data: np.ndarray, shard: int = SHARD) -> np.ndarray:
     """Which windows of a group of stretches occur before: ``doc, start`` of each."""
     sizes = rows["size"].astype(np.int64)
     bounds = np.concatenate([[0], np.cumsum(sizes)])
@@ -350,7 +350,7 @@ def repeated(rows: np.ndarray, data: np.ndarray) -> np.ndarray:
     codes = symbol_codes(letters, string, ends)
     cuts = [0]
     while cuts[-1] < len(rows):  # shards of whole strings
-        full = np.searchsorted(begins, begins[cuts[-1]] + SHARD)
+        full = np.searchsorted(begins, begins[cuts[-1]] + shard)
         cuts.append(int(max(cuts[-1] + 1, full)))
     limits = np.append(begins, len(string))
     bases = limits[cuts[:-1]]
@@ -431,14 +431,16 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def repeated_spans(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def repeated_spans(docs: DataFrame, buckets: int = BUCKETS, crowd: int = CROWD) -> DataFrame:
     """``doc_id, start, stop``: byte spans that repeat earlier ones; they may overlap."""
     spark = docs.sparkSession
     parts = partitions(spark)
     buckets = max(buckets, 4 * parts)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     met = staged(
-        docs.mapInArrow(_anchored(buckets), _PACKED).repartition(parts, "bucket").mapInArrow(_meet, _FOUND),
+        docs.mapInArrow(_anchored(buckets), _PACKED)
+        .repartition(parts, "bucket")
+        .mapInArrow(lambda batches: _meet(batches, crowd), _FOUND),
         "suffix-anchors",
     )
     wanted = (
@@ -457,7 +459,7 @@ def repeated_spans(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     return spans.select(F.col("doc").alias("doc_id"), "start", "stop")
 
 
-def without_repeats(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def without_repeats(docs: DataFrame, buckets: int = BUCKETS, crowd: int = CROWD) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row of ``docs``.
 
     ``docs`` needs ``doc_id`` (distinct, not null) and ``text``; other columns are not read.
@@ -466,7 +468,7 @@ def without_repeats(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     documents the smallest stays whole.  An empty table gives no rows.
     """
     spans = (
-        repeated_spans(docs, buckets)
+        repeated_spans(docs, buckets, crowd)
         .groupBy("doc_id")
         .agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
         .withColumnRenamed("doc_id", "__doc")
