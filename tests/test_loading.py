@@ -67,7 +67,7 @@ def test_silver_from_bronze(spark, env, tmp_path):
         table = config.get_table_config(env.registry, name)
         rules = silver.column_rules(config.get_input_column_config(env.registry, columns, name))
         assert build_silver(
-            spark, env.log, run_id, table, layer, rules, natural_key(name), DAY, env.target, out, "s"
+            spark, env.log, run_id, table, layer, rules, natural_key(name), DAY, env.target, out, salt="s"
         ) == "SUCCESS"
     loans = spark.read.parquet(f"{out}/t_loan")
     assert loans.count() == loans.select("LoanID").distinct().count() == 399

@@ -101,7 +101,7 @@ def apply_policy(df: DataFrame, target: T.StructType, policy: str = DEFAULT_POLI
     if policy == QUARANTINE:
         reason = "; ".join(f"{f.event}:{f.column}:{f.data_type}" for f in findings)
         parked = df.select(
-            F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("payload"),
+            F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}).alias("payload"),
             F.lit(reason).alias("drift_reason"),
         )
         return DriftOutcome(None, parked, findings)

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from tidemark.operators.quality import require_single
 from tidemark.operators.runs import TERMINAL, run_rollup
 from tidemark.schemas import ALLOWED_VALUES, METADATA_SCHEMAS
+from tidemark.sinks.tables import compact
 
 
 def _event_schema(table: str) -> T.StructType:
@@ -47,6 +48,7 @@ class RunLog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._opened: dict[str, tuple[str, datetime]] = {}
 
     # ---- events --------------------------------------------------------
     def _append(self, table: str, stage: int, **values) -> None:
@@ -54,18 +56,42 @@ class RunLog:
         row = {"stage": stage, "at": now, "updated_at": now, **values}
         schema = _event_schema(table)
         df = self.spark.createDataFrame([tuple(row.get(n) for n in schema.fieldNames())], schema)
-        df.coalesce(1).write.mode("append").parquet(f"{self.root}/{table}")
-
-    def events(self, table: str) -> DataFrame:
+        df = df.withColumn("day", F.lit(self._day(table, values)))
+        df.coalesce(1).write.mode("append").partitionBy("day").parquet(f"{self.root}/{table}")
+
+    def _day(self, table: str, values: dict) -> str:
+        """The folder of an entry's events: its business date, kept from its start."""
+        key = values[self._KEY[table]]
+        if values.get("run_dt"):
+            self._opened[key] = (str(values["run_dt"]), values.get("started_at"))
+        elif key not in self._opened:  # opened by another process
+            row = require_single(
+                self.events(table).where((F.col(self._KEY[table]) == key) & (F.col("stage") == 0)),
+                f"entry {key}",
+            )
+            self._opened[key] = (str(row["run_dt"]), _aware(row["started_at"]))
+        return self._opened[key][0]
+
+    def events(self, table: str, run_dt: str | None = None) -> DataFrame:
+        """All events, or those of one business date: only its folder is read."""
         schema = _event_schema(table)
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
+            stored = self.spark.read.schema(
+                T.StructType([*schema.fields, T.StructField("day", T.StringType())])
+            ).parquet(f"{self.root}/{table}")
+            if run_dt is not None:
+                stored = stored.where(F.col("day") == str(run_dt))
+            return stored.drop("day")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def state(self, table: str) -> DataFrame:
+    def compact(self, table: str, run_dt: str) -> None:
+        """Puts the small files of a past business date together."""
+        compact(self.spark, f"{self.root}/{table}", [run_dt], "day")
+
+    def state(self, table: str, run_dt: str | None = None) -> DataFrame:
         """One row per run or table entry in the layout of the metadata table.
 
         A later event's value replaces an earlier one; NULL leaves it alone.
@@ -74,17 +100,24 @@ class RunLog:
         order = F.struct("stage", "at")
         columns = [c for c in METADATA_SCHEMAS[table].fieldNames() if c != key]
         return (
-            self.events(table)
+            self.events(table, run_dt)
             .groupBy(key)
             .agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in columns])
             .select(*METADATA_SCHEMAS[table].fieldNames())
         )
 
-    def runs(self) -> DataFrame:
-        return self.state(self.MASTER)
+    def runs(self, run_dt: str | None = None) -> DataFrame:
+        return self.state(self.MASTER, run_dt)
+
+    def loads(self, run_dt: str | None = None) -> DataFrame:
+        return self.state(self.LOG, run_dt)
 
-    def loads(self) -> DataFrame:
-        return self.state(self.LOG)
+    def version(self, table_id: int, process_type: str) -> int:
+        """How many successful loads a table has had: its version before the next one."""
+        events = self.events(self.LOG)
+        mine = (F.col("table_id") == table_id) & (F.col("process_type") == process_type)
+        done = events.where("stage = 2 AND status = 'SUCCESS'").select("log_id")
+        return events.where("stage = 0").where(mine).join(done, "log_id", "left_semi").count()
 
     # ---- runs ----------------------------------------------------------
     def start_etl_run(
@@ -113,12 +146,12 @@ class RunLog:
         A run without any table entry is an error.  While an entry is open the
         run stays STARTED and has no end time.
         """
-        rollup = run_rollup(self.loads().where(F.col("run_id") == run_id))
-        totals = require_single(rollup, f"table entries of run {run_id}")
-        started = require_single(
-            self.events(self.MASTER).where((F.col("run_id") == run_id) & (F.col("stage") == 0)),
-            f"run {run_id}",
-        )["started_at"]
+        run_dt = self._day(self.MASTER, {"run_id": run_id})
+        # the run of an entry is in its opening event; only its date is folded
+        opened = self.events(self.LOG, run_dt).where("stage = 0").where(F.col("run_id") == run_id)
+        mine = self.loads(run_dt).join(opened.select("log_id"), "log_id", "left_semi")
+        totals = require_single(run_rollup(mine), f"table entries of run {run_id}")
+        started = self._opened[run_id][1]
         now = datetime.now(timezone.utc)
         closed = totals["status"] != "STARTED"
         self._append(
@@ -127,7 +160,7 @@ class RunLog:
             success_count=totals["success_count"], failed_count=totals["failed_count"],
             skipped_count=totals["skipped_count"], error_message=error_message,
             finished_at=now if closed else None,
-            duration_seconds=float(int((now - _aware(started)).total_seconds()))
+            duration_seconds=float(int((now - started).total_seconds()))
             if closed
             else None,
         )
@@ -175,15 +208,15 @@ class RunLog:
         """Closes a table entry with its outcome and duration."""
         if status not in TERMINAL:
             raise ValueError(f"{status!r} does not close a table entry")
-        opened = self.events(self.LOG).where((F.col("log_id") == log_id) & (F.col("stage") == 0))
-        started = require_single(opened, f"log entry {log_id}")["started_at"]
+        self._day(self.LOG, {"log_id": log_id})
+        started = self._opened[log_id][1]
         now = datetime.now(timezone.utc)
         self._append(
             self.LOG, 2,
             log_id=log_id, status=status, rows_read=rows_read, rows_written=rows_written,
             delta_version_after=delta_version_after, error_message=error_message,
             error_stacktrace=error_stacktrace, finished_at=now, heartbeat_at=now,
-            duration_seconds=int((now - _aware(started)).total_seconds()),
+            duration_seconds=int((now - started).total_seconds()),
         )
 
 

@@ -13,14 +13,24 @@ import math
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.dedup import upsert
 from tidemark.operators.quality import assert_all
 from tidemark.operators.silver import REASONS
-from tidemark.session import work_path
-from tidemark.sources.landing import PATH_TEMPLATE, read_partitioned, resolve_path, table_path
+from tidemark.operators.drift import conform
+from tidemark.session import remove_folder, work_path
+from tidemark.sources.landing import (
+    PATH_TEMPLATE,
+    SCHEMA_NOTE,
+    read_partitioned,
+    resolve_path,
+    table_path,
+    table_schema,
+)
 
 TARGET_FILE_MB = 128
 
@@ -75,6 +85,8 @@ def land(df: DataFrame, root: str, table: str) -> str:
 
 
 def _overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    if not by:
+        raise ValueError("a dynamic overwrite without partition columns would replace the table")
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -83,6 +95,50 @@ def _overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     )
 
 
+def widened(known: T.StructType | None, more: T.StructType) -> T.StructType:
+    """The known columns and then new ones; a column of another type is an error."""
+    if known is None:
+        return more
+    kinds = {f.name.lower(): f.dataType for f in known.fields}
+    for f in more.fields:
+        if kinds.get(f.name.lower(), f.dataType) != f.dataType:
+            raise ValueError(f"{f.name}: {f.dataType.simpleString()} is not what the table has")
+    return T.StructType([*known.fields, *[f for f in more.fields if f.name.lower() not in kinds]])
+
+
+def note_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Keeps the table's columns next to its data, for every later read."""
+    row = spark.createDataFrame([(schema.json(),)], "value string")
+    row.coalesce(1).write.mode("overwrite").text(f"{path}/{SCHEMA_NOTE}")
+
+
+def _grow_schema(df: DataFrame, path: str) -> T.StructType:
+    """The table's columns with those of ``df``; noted if they are more than before."""
+    known = table_schema(df.sparkSession, path)
+    return widened(known, T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]))
+
+
+def _drop_uncovered(
+    spark: SparkSession, path: str, by: Sequence[str], where: Column, covered: DataFrame
+) -> None:
+    """Removes the partitions that ``where`` selects and ``covered`` does not name.
+
+    A listing on the cluster; the driver sees the folders that are to go.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    if not set(by) <= set(files.columns):  # nothing was ever written
+        return
+    kinds = dict(covered.dtypes)
+    there = files.select(
+        *[F.col(c).cast(kinds[c]).alias(c) for c in by],
+        F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"),
+    )
+    same = [F.col(f"there.{c}").eqNullSafe(F.col(f"covered.{c}")) for c in by]
+    stale = there.where(where).alias("there").join(covered.distinct().alias("covered"), same, "left_anti")
+    for row in stale.select("folder").distinct().collect():
+        remove_folder(spark, row["folder"])
+
+
 def replace_predicate(template: str, run_dt: str) -> str:
     """The configured predicate for a business date, which must be a date."""
     return template.format(run_dt=date.fromisoformat(run_dt).isoformat())
@@ -94,15 +150,51 @@ def load_bronze(
     partition_cols: Sequence[str] = ("dt",),
     replace_where: str | None = None,
 ) -> None:
-    """Replaces the partitions the frame covers.  Running it twice changes nothing.
-
-    With ``replace_where`` a row outside the predicate fails the job before
-    anything is committed, as it would otherwise replace a partition nobody
-    asked for.  An empty frame replaces nothing; report such a load SKIPPED.
+    """Replaces what the load covers.  Running it twice changes nothing.
+
+    Without ``replace_where`` that is the partitions of the frame.  With it, exactly the
+    rows of the predicate: a row of the frame outside it fails the job before anything
+    is committed, and rows of the table inside it go even if the frame has none for
+    their partition.  A predicate over other columns than the partitions', or a table
+    without any, is rewritten as a whole from the work folder.  A load that names
+    neither is refused, as it would replace the table.
     """
-    if replace_where:
-        df = assert_all(df, F.expr(replace_where), f"row outside replace_where: {replace_where}")
-    _overwrite_partitions(sized(df, *partition_cols), path, list(partition_cols))
+    by = list(partition_cols)
+    if not by and not replace_where:
+        raise ValueError("an incremental load needs partition columns or replace_where")
+    spark = df.sparkSession
+    schema = _grow_schema(df, path)
+    if not replace_where:
+        _overwrite_partitions(sized(df, *by), path, by)
+        note_schema(spark, path, schema)
+        return
+    where = F.expr(replace_where)
+    df = assert_all(df, where, f"row outside replace_where: {replace_where}")
+    if by and _names_only(spark, schema, by, replace_where):
+        _overwrite_partitions(sized(df, *by), path, by)
+        note_schema(spark, path, schema)
+        _drop_uncovered(spark, path, by, where, df.select(*by))
+        return
+    rows = conform(df, schema)
+    if table_schema(spark, path) is not None:
+        rest = read_partitioned(spark, path, schema=schema)
+        rows = rest.where(~F.coalesce(where, F.lit(False))).unionByName(rows)
+    staging = work_path(spark, "replaced")
+    rows.write.parquet(staging)
+    full_refresh(spark.read.schema(schema).parquet(staging), path, by)
+    remove_folder(spark, staging)
+
+
+def _names_only(spark: SparkSession, schema: T.StructType, by: Sequence[str], where: str) -> bool:
+    """Whether a predicate names no column but these."""
+    keys = T.StructType([f for f in schema.fields if f.name in by])
+    try:
+        spark.createDataFrame([], keys).where(where).schema  # noqa: B018 - resolves the names
+    except AnalysisException as error:
+        if (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            return False
+        raise
+    return True
 
 
 def full_refresh(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
@@ -111,13 +203,17 @@ def full_refresh(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)
+    note_schema(df.sparkSession, path, df.schema)
 
 
 def append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
+    """Adds rows; columns that the table does not have yet are added to it."""
+    schema = _grow_schema(df, path)
     writer = df.write.mode("append")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)
+    note_schema(df.sparkSession, path, schema)
 
 
 def touched_dates(df: DataFrame, column: str = "dt") -> list[date]:
@@ -130,24 +226,36 @@ def upsert_partitions(
 ) -> list[date]:
     """Puts ``changes`` into the table by key, rewriting only the dates they touch.
 
-    The result is staged in the work folder first, because a job must not
-    overwrite what it reads.  Returns the dates.
+    The changes are computed once, into the work folder, and so is the result, because
+    a job must not overwrite what it reads.  Columns that only one side has are kept
+    and null in the other's rows; a changed type is an error.  Returns the dates.
     """
+    incoming, staging = work_path(spark, "changes"), work_path(spark, "upsert")
+    schema = _grow_schema(changes, path)
+    sized(changes, by).write.partitionBy(by).parquet(incoming)
+    changes = spark.read.schema(changes.schema).parquet(incoming)
     days = touched_dates(changes, by)
-    if not days:
-        return []
-    existing = read_partitioned(spark, path, [d.isoformat() for d in days])
-    staging = work_path(spark, "upsert")
-    merged = upsert(existing, changes.select(*existing.columns), keys)
-    _copy_through(merged, staging, path, by)
+    if days:
+        merged = conform(changes, schema)
+        if table_schema(spark, path) is not None:
+            existing = read_partitioned(spark, path, [d.isoformat() for d in days], schema=schema)
+            merged = upsert(existing, merged, keys)
+        _copy_through(merged, staging, path, by)
+        note_schema(spark, path, schema)
+    remove_folder(spark, incoming)
     return days
 
 
 def _copy_through(df: DataFrame, staging: str, path: str, by: str) -> None:
-    """Writes at the target file size to the work folder, then copies file by file."""
+    """Writes at the target file size to the work folder, then copies file by file.
+
+    The folder is removed once the copy has committed.
+    """
+    spark = df.sparkSession
     sized(df, by).write.partitionBy(by).parquet(staging)
-    staged = df.sparkSession.read.schema(df.schema).parquet(staging)
+    staged = spark.read.schema(df.schema).parquet(staging)
     _overwrite_partitions(staged, path, [by])
+    remove_folder(spark, staging)
 
 
 def rewrite_partitions(
@@ -159,16 +267,22 @@ def rewrite_partitions(
 ) -> None:
     """Copy-on-write for some dates of a table: UPDATE, DELETE and the like.
 
-    A date whose rows are all deleted is not emptied by the dynamic overwrite;
-    drop the partition instead.
+    All columns of the table are kept.  A date whose rows are all deleted is dropped.
     """
-    current = read_partitioned(spark, path, days)
+    edited = read_partitioned(spark, path, days).transform(edit)
+    schema = _grow_schema(edited, path)
     staging = work_path(spark, "rewrite")
-    _copy_through(current.transform(edit), staging, path, by)
+    sized(edited, by).write.partitionBy(by).parquet(staging)
+    staged = spark.read.schema(edited.schema).parquet(staging)
+    _overwrite_partitions(staged, path, [by])
+    note_schema(spark, path, schema)
+    wanted = F.col(by).isin(*[F.lit(d).cast(edited.schema[by].dataType) for d in days])
+    _drop_uncovered(spark, path, [by], wanted, staged.select(by))
+    remove_folder(spark, staging)
 
 
 def compact(spark: SparkSession, path: str, days: Sequence[str], by: str = "dt") -> None:
-    """Rewrites the files of some dates at the target size.  Rows are unchanged."""
+    """Rewrites the files of some dates at the target size.  Rows and columns are unchanged."""
     rewrite_partitions(spark, path, days, lambda df: df, by)
 
 

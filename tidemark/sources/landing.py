@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from datetime import date
 
@@ -15,6 +16,9 @@ from tidemark.operators.joins import union_all
 FORMATS = {"PARQUET": "parquet", "CSV": "csv", "JSON": "json", "DELTA": "delta"}
 PATH_TEMPLATE = "{root}/{table}/dt={run_dt}/batch={batch}"
 
+SCHEMA_NOTE = "_schema"  # readers of Parquet pass folders over that begin like this
+NO_SOURCE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 RUN_ID, INGESTED_AT, SOURCE_FILE = "_ingestion_run_id", "_ingested_at", "_source_file"
 
 
@@ -40,6 +44,28 @@ def landed(
     return reader.parquet(table_path(root, table))
 
 
+def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns of a table, or None if there is no table at ``path``.
+
+    Writers keep the schema next to the data, so that columns which came with a later
+    partition are known without opening files.  A root without that note (a landing
+    zone) is asked through the footers of all its files.
+    """
+    try:
+        noted = spark.read.text(f"{path}/{SCHEMA_NOTE}", wholetext=True).first()
+        if noted is not None:
+            return T.StructType.fromJson(json.loads(noted["value"]))
+    except AnalysisException as error:
+        if error.getCondition() not in NO_SOURCE:
+            raise
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path).schema
+    except AnalysisException as error:
+        if error.getCondition() in NO_SOURCE:
+            return None
+        raise
+
+
 def read_partitioned(
     spark: SparkSession,
     path: str,
@@ -49,8 +75,10 @@ def read_partitioned(
 ) -> DataFrame:
     """A partitioned Parquet root, optionally narrowed to dates and batches.
 
-    Both filters are on partition columns: folders outside are never opened.
+    Both filters are on partition columns: folders outside are never opened.  Without a
+    ``schema`` all columns of the table are read, also those that only some partitions have.
     """
+    schema = schema or table_schema(spark, path)
     df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     if dt is not None:
         days = [dt] if isinstance(dt, str) else list(dt)
