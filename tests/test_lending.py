@@ -59,7 +59,7 @@ def test_loan_amounts(ids):
 
 def test_installment_amounts(ids):
     loans = lending.loans(lending.accounts(ids))
-    first = lending.installments(loans).where("InstallmentNo = 1 and LoanSeries = 1")
+    first = lending.installments(loans, 36).where("InstallmentNo = 1 and LoanSeries = 1")
     for r in first.select("id", "PrincipalDue", "InterestDue", "InstallmentAmount").collect():
         sanction, n = half_up(10 ** (4 + (r.id % 100) / 20)), min(36, r.id % 360 + 12)
         assert r.PrincipalDue == half_up(sanction / n)
@@ -77,8 +77,9 @@ def test_account_ids_stay_unique(spark):
 
 def test_schedule_dates_and_shares(ids):
     loans = lending.loans(lending.accounts(ids.where("id = 29")))
-    rows = lending.installments(loans).orderBy("InstallmentNo").collect()
+    rows = lending.installments(loans, 36).orderBy("InstallmentNo").collect()
     assert len(rows) == 36
+    assert lending.installments(loans).count() == 29 % 360 + 12
     assert [r.InstallmentDate for r in rows[:3]] == [
         date(2024, 2, 29), date(2024, 3, 31), date(2024, 4, 30)
     ]
@@ -111,6 +112,20 @@ def test_due_scan_bounds_are_harmless(ids, rows):
         assert bounded == plain and plain
 
 
+def test_installment_48_of_a_long_loan_is_found(spark, rows):
+    ids = spark.createDataFrame([(48, date(2020, 1, 15))], "id bigint, dt date")
+    loans = lending.loans(lending.accounts(ids))
+    assert loans.first().Tenure == 60
+    for most in (None, 48, 60):
+        landed = lending.installments(loans, most)
+        due = lending.due_installments(landed, "2024-01-15", most)
+        assert {r.InstallmentNo for r in due.collect()} == {48}
+        assert lending.installment_due_on(
+            lending.loan_terms_of(loans, most), "2024-01-15"
+        ).select("k").distinct().first().k == 48
+    assert lending.due_installments(lending.installments(loans, 36), "2024-01-15", 36).isEmpty()
+
+
 def test_settled_schedule_adds_up(ids):
     terms = lending.loan_terms_of(lending.loans(lending.accounts(ids)))
     per_loan = lending.schedule(terms, settle_remainder=True).groupBy("LoanID", "amount_cents").agg(

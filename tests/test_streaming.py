@@ -20,6 +20,6 @@ def test_only_new_dates_are_loaded(spark, tmp_path, rows):
     # the second delivery of a date must not push out the first
     assert arrive(2) == ["2024-01-02"]
     assert rows(spark.read.parquet(target), "k", "_ingestion_run_id") == [
-        (1, "run-1"), (2, "run-2"), (3, "run-2")
+        (1, "run-1"), (2, "run-1"), (3, "run-2")
     ]
     assert load_arrivals(spark, root, "t", schema, target, offsets, "run-3") == []

@@ -80,6 +80,17 @@ def first_divisor(number: Column, rules: Sequence[tuple[int, str]], default: str
     return chain.otherwise(default)
 
 
+def by_remainder(
+    number: Column, rules: Sequence[tuple[int, int, str]], default: str
+) -> Column:
+    """The label of the first rule (divisor, remainder, label) that fits the number."""
+    chain = None
+    for divisor, remainder, label in rules:
+        hit = number % divisor == remainder
+        chain = F.when(hit, label) if chain is None else chain.when(hit, label)
+    return chain.otherwise(default)
+
+
 def band(number: Column, upper_bounds: Sequence[tuple[int, str]], default: str) -> Column:
     """The label of the first band whose exclusive upper bound exceeds the number."""
     chain = None

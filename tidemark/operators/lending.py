@@ -1,7 +1,7 @@
 """Lending dataflows: client -> account -> loan -> schedule -> ledger.
 
 All builders are narrow: they project and explode within a partition, so the
-row blow-up (one client, up to four loans, up to 36 installments each) never
+row blow-up (one client, up to four loans, as many installments as months) never
 passes through a shuffle.  Input is a frame with ``id bigint`` and ``dt date``,
 the numeric client id and the business date of its feed.
 
@@ -145,15 +145,16 @@ def installment_terms(
     yearly_percent: Column,
     tenure: Column,
     first_day: Column,
-    max_installments: int = terms.MAX_INSTALLMENTS,
+    max_installments: int | None = None,
 ) -> DataFrame:
     """Adds what all installments of a loan share, in cents.
 
-    ``n`` installments (tenure, capped), the flat principal share ``p`` and
+    ``n`` installments (the tenure, or ``max_installments`` at most), the flat principal share ``p`` and
     interest ``i`` of each, and the disbursement day ``d0``.  Computed once per
     loan, before anything is exploded.
     """
-    count = F.least(F.lit(max_installments), tenure).cast("int")
+    count = tenure if max_installments is None else F.least(F.lit(max_installments), tenure)
+    count = count.cast("int")
     return loans_df.withColumns(
         {
             "n": count,
@@ -207,7 +208,7 @@ def installment_due_on(with_terms: DataFrame, day: str) -> DataFrame:
     )
 
 
-def loan_terms_of(loans_df: DataFrame) -> DataFrame:
+def loan_terms_of(loans_df: DataFrame, max_installments: int | None = None) -> DataFrame:
     """``installment_terms`` for the loan layout."""
     return installment_terms(
         loans_df,
@@ -215,12 +216,13 @@ def loan_terms_of(loans_df: DataFrame) -> DataFrame:
         F.col("InterestRate"),
         F.col("Tenure"),
         F.col("DisbursementDate"),
+        max_installments,
     )
 
 
-def installments(loans_df: DataFrame) -> DataFrame:
+def installments(loans_df: DataFrame, max_installments: int | None = None) -> DataFrame:
     """The schedule of every loan in the landed layout, all still pending."""
-    return schedule(loan_terms_of(loans_df)).select(
+    return schedule(loan_terms_of(loans_df, max_installments)).select(
         "id",
         "dt",
         "OurBranchID",
@@ -282,17 +284,20 @@ def disbursements(loans_df: DataFrame, day: str | None = None) -> DataFrame:
     )
 
 
-def due_installments(landed: DataFrame, day: str) -> DataFrame:
+def due_installments(
+    landed: DataFrame, day: str, max_installments: int | None = None
+) -> DataFrame:
     """Landed installments due on ``day``.
 
-    The bounds on ``dt`` add nothing to the result (an installment falls due 1
-    to 36 months after its own ``dt``) but prune the scan to three years of
-    partitions instead of the whole history.
+    The bounds on ``dt`` add nothing to the result but prune the scan: an installment
+    falls due after its own ``dt``, and within as many months as the schedule was landed
+    with; give that number if there was one.
     """
     on = F.lit(day).cast("date")
-    return landed.where(
-        (_dt() >= F.add_months(on, -terms.MAX_INSTALLMENTS)) & (_dt() < on)
-    ).where(F.col("InstallmentDate") == on)
+    open_from = landed.where(_dt() < on)
+    if max_installments is not None:
+        open_from = open_from.where(_dt() >= F.add_months(on, -max_installments - 1))
+    return open_from.where(F.col("InstallmentDate") == on)
 
 
 def repayments(due: DataFrame, rate: float = REPAYMENT_RATE) -> DataFrame:

@@ -139,13 +139,15 @@ def upstream_ready(process_config: DataFrame, log: DataFrame, run_dt: str) -> Da
     )
 
 
-def missing_dates(log: DataFrame, feeds: DataFrame, start: str, end: str) -> DataFrame:
+def missing_dates(
+    log: DataFrame, feeds: DataFrame, start: str, end: str, limit: int = MAX_BACKFILL_DAYS
+) -> DataFrame:
     """Dates of the backfill window (inclusive) a feed has not loaded successfully.
 
-    ``feeds``: distinct ``table_id``.  The window is limited, so the expected
-    grid is feeds times at most 30 days.
+    ``feeds``: distinct ``table_id``.  A window of more than ``limit`` days is an error,
+    so the expected grid is feeds times ``limit`` at most.
     """
-    expected = feeds.withColumn("run_dt", F.explode(backfill_dates(start, end)))
+    expected = feeds.withColumn("run_dt", F.explode(backfill_dates(start, end, limit)))
     done = log.where(
         (F.col("status") == "SUCCESS")
         & F.col("run_dt").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
@@ -153,15 +155,23 @@ def missing_dates(log: DataFrame, feeds: DataFrame, start: str, end: str) -> Dat
     return expected.join(done.distinct(), ["table_id", "run_dt"], "left_anti")
 
 
-def load_outcomes(arrived: DataFrame, start: str, end: str) -> DataFrame:
+def load_outcomes(
+    arrived: DataFrame,
+    start: str,
+    end: str,
+    feeds: DataFrame | None = None,
+    limit: int = MAX_BACKFILL_DAYS,
+) -> DataFrame:
     """``table_id, run_dt, rows_read, status`` for every feed and date of a window.
 
-    ``arrived``: ``table_id, run_dt`` per source row.  A source without rows is
-    SKIPPED.
+    ``arrived``: ``table_id, run_dt`` per source row, of which only the window is
+    counted.  ``feeds``: the registered ``table_id``; all that ever arrived if left out.
+    A source without rows is SKIPPED.
     """
-    counts = arrived.groupBy("table_id", "run_dt").agg(F.count(F.lit(1)).alias("rows_read"))
-    feeds = arrived.select("table_id").distinct()
-    expected = feeds.withColumn("run_dt", F.explode(backfill_dates(start, end)))
+    window = F.col("run_dt").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    counts = arrived.where(window).groupBy("table_id", "run_dt").agg(F.count(F.lit(1)).alias("rows_read"))
+    feeds = arrived.select("table_id").distinct() if feeds is None else feeds
+    expected = feeds.withColumn("run_dt", F.explode(backfill_dates(start, end, limit)))
     return expected.join(counts, ["table_id", "run_dt"], "left").select(
         "table_id",
         "run_dt",

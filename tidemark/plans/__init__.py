@@ -1,6 +1,14 @@
 """The registered queries.  Importing this package fills the registry."""
 
-from tidemark.plans import checks, landing, lending, runs, schema_changes, silver  # noqa: F401
+from tidemark.plans import (  # noqa: F401
+    checks,
+    landing,
+    lending,
+    maintenance,
+    runs,
+    schema_changes,
+    silver,
+)
 from tidemark.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.terms import FEED_INSTALLMENTS
 from tidemark.operators import defects, joins, lending, quality, reports
 from tidemark.plans import inputs
 from tidemark.plans.inputs import day, sampled, table, with_sql
@@ -225,7 +226,7 @@ def orphans_four_key(spark, sf_dir):
     """Installments without their loan, counted per missing four-part key."""
     loans = inputs.loans_of_clients(spark, sf_dir)
     damaged = defects.truncate(loans, "LoanID", ["LoanID"], defects.NULL_RATE)
-    return joins.orphan_counts(lending.installments(loans), damaged, _FOUR)
+    return joins.orphan_counts(lending.installments(loans, FEED_INSTALLMENTS), damaged, _FOUR)
 
 
 @query(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.keys import hash_cut, in_hash_sample
 from tidemark.functions.money import cents
-from tidemark.functions.terms import FIRST_NAMES, LAST_NAMES, STATES
+from tidemark.functions.terms import FEED_INSTALLMENTS, FIRST_NAMES, LAST_NAMES, STATES
 from tidemark.operators import lending
 
 TODAY = "2024-03-01"
@@ -58,8 +58,10 @@ def loans_of_clients(spark: SparkSession, sf_dir: str, seq_width: int = 4) -> Da
     return lending.loans(accounts_of_clients(spark, sf_dir, seq_width))
 
 
-def order_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``loan`` and its installment terms, one per order."""
+def order_loans(
+    spark: SparkSession, sf_dir: str, max_installments: int | None = FEED_INSTALLMENTS
+) -> DataFrame:
+    """``loan`` and its installment terms, one per order; by default as the feed cuts them."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("loan"), "o_totalprice", day("o_orderdate").alias("o_orderdate")
     )
@@ -69,6 +71,7 @@ def order_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         8 + (F.col("loan") % 120) / 10,
         (F.col("loan") % 360 + 12).cast("int"),
         F.col("o_orderdate"),
+        max_installments,
     ).drop("o_totalprice", "o_orderdate")
 
 
@@ -309,9 +312,11 @@ ledger AS (
   FROM movements)"""
 
 
-ORDER_TERMS_SQL = f"""terms AS (
+def order_terms_sql(count: str) -> str:
+    """The schedule of a loan per order, with as many installments as ``count`` says."""
+    return f"""terms AS (
   SELECT o_orderkey AS loan, CAST(o_orderdate AS DATE) AS d0,
-    CAST(least(36, o_orderkey % 360 + 12) AS INTEGER) AS n,
+    CAST({count} AS INTEGER) AS n,
     CAST(round(o_totalprice * 100) AS BIGINT) AS amount_cents,
     o_totalprice AS amount, 8 + (o_orderkey % 120) / 10.0 AS rate
   FROM orders),
@@ -322,6 +327,10 @@ schedule AS (
   SELECT t.*, CAST(k AS INTEGER) AS k, CAST(d0 + to_months(CAST(k AS INTEGER)) AS DATE) AS due_date
   FROM priced t, unnest(generate_series(1, n)) AS s(k))"""
 
+_TENURE_SQL = "o_orderkey % 360 + 12"
+ORDER_TERMS_SQL = order_terms_sql(f"least({FEED_INSTALLMENTS}, {_TENURE_SQL})")
+FULL_TERMS_SQL = order_terms_sql(_TENURE_SQL)
+
 PAYMENTS_SQL = """payments AS (
   SELECT l_orderkey AS loan, CAST(l_shipdate AS DATE) AS value_date,
     CAST(round(l_extendedprice * 100) AS BIGINT) AS paid_cents

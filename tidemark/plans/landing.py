@@ -131,8 +131,13 @@ def incremental_since_watermark(spark, sf_dir):
         inputs.day("ts").alias("run_dt"),
         F.when(F.col("value") > 480, "SUCCESS").otherwise("FAILED").alias("status"),
     )
-    marks = broadcast_if_small(staged(watermarks(log, "event_type"), "watermarks"))
-    joined = _landed(spark, sf_dir).join(marks, "event_type", "left")
+    stored = staged(watermarks(log, "event_type"), "watermarks")
+    feeds = _landed(spark, sf_dir).select("event_type").distinct()
+    # one date: nothing before the least watermark can be new, if every feed has one
+    open_feeds = feeds.join(stored, "event_type", "left_anti").limit(1).count()
+    least = None if open_feeds else stored.agg(F.min("watermark")).first()[0]
+    candidates = landing.rows_since(_landed(spark, sf_dir), "dt", least)
+    joined = candidates.join(broadcast_if_small(stored), "event_type", "left")
     fresh = joined.where(F.col("watermark").isNull() | (F.col("dt") > F.col("watermark")))
     return fresh.select("event_id", "event_type", "dt")
 

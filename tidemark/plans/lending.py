@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import keys, terms
 from tidemark.functions.money import cents
+from tidemark.functions.terms import FEED_INSTALLMENTS
 from tidemark.operators import lending
 from tidemark.plans import inputs
 from tidemark.plans.inputs import sampled, table, with_sql
@@ -178,6 +179,19 @@ def amortisation_schedule(spark, sf_dir):
     )
 
 
+@query(
+    with_sql(inputs.FULL_TERMS_SQL)
+    + """SELECT loan, k, CAST(due_date AS VARCHAR) AS due_date, p AS principal_due,
+  i AS interest_due FROM schedule"""
+)
+def full_tenure_schedule(spark, sf_dir):
+    """Every installment over the whole tenure, up to 371 months."""
+    loans = inputs.spread(inputs.order_loans(spark, sf_dir, max_installments=None))
+    return lending.schedule(loans).select(
+        "loan", "k", "due_date", "principal_due", "interest_due"
+    )
+
+
 @query(
     with_sql(inputs.ORDER_TERMS_SQL)
     + """SELECT loan, count(*) AS installments, CAST(sum(CASE WHEN k = n
@@ -239,7 +253,7 @@ def disbursements(spark, sf_dir):
 def _due(spark, sf_dir, on):
     """The installments due on a day, in the landed layout, straight from the loans."""
     loans = inputs.loans_of_clients(spark, sf_dir)
-    due = lending.installment_due_on(lending.loan_terms_of(loans), on)
+    due = lending.installment_due_on(lending.loan_terms_of(loans, FEED_INSTALLMENTS), on)
     return due.select(
         "OurBranchID", "AccountID", "LoanSeries", "LoanID",
         F.col("k").alias("InstallmentNo"),
@@ -265,7 +279,7 @@ def ledger_union(spark, sf_dir):
     loans = inputs.loans_of_clients(spark, sf_dir)
     return _ledger_columns(
         lending.ledger(
-            lending.disbursements(loans), lending.repayments(lending.installments(loans))
+            lending.disbursements(loans), lending.repayments(lending.installments(loans, FEED_INSTALLMENTS))
         )
     )
 

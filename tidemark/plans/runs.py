@@ -220,4 +220,5 @@ def load_outcomes(spark, sf_dir):
     """SUCCESS or, where a source delivered nothing, SKIPPED, per feed and date of a window."""
     events = inputs.feed(spark, sf_dir)
     arrived = events.select(F.col("user_id").alias("table_id"), F.col("dt").alias("run_dt"))
-    return runs.load_outcomes(arrived, *WINDOW)
+    feeds = arrived.select("table_id").distinct()
+    return runs.load_outcomes(arrived, *WINDOW, feeds=feeds)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.terms import FEED_INSTALLMENTS
 from tidemark.operators import defects, lending, quality, silver
 from tidemark.operators.dedup import latest_per_key
 from tidemark.plans import inputs
@@ -85,7 +86,9 @@ def silver_loan(spark, sf_dir):
 )
 def silver_installment(spark, sf_dir):
     """Installments with decimal amounts."""
-    installments = lending.installments(inputs.loans_of_clients(spark, sf_dir))
+    installments = lending.installments(
+        inputs.loans_of_clients(spark, sf_dir), FEED_INSTALLMENTS
+    )
     return _silver(_landed(installments, "t_LoanInstallment"), "t_LoanInstallment")
 
 
@@ -105,7 +108,7 @@ def silver_ledger(spark, sf_dir):
     """
     loans = inputs.loans_of_clients(spark, sf_dir)
     trx = lending.ledger(
-        lending.disbursements(loans), lending.repayments(lending.installments(loans))
+        lending.disbursements(loans), lending.repayments(lending.installments(loans, FEED_INSTALLMENTS))
     ).withColumn("dt", F.col("ValueDate"))
     result = _silver(_landed(trx, "t_AccountTrx"), "t_AccountTrx")
     return result.drop("PaymentMode", "CreatedBy", "CreatedAt", "LastUpdatedAt")

@@ -9,108 +9,141 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-# --- fixed values: Silver column declarations ------------------------------
-# one line per column: target  source  type  null|not-null  pii|-  purpose
-_SILVER_TEXT = """
-[t_Client]
-OurBranchID           OurBranchID           STRING         not-null  -    DIMENSION
-ClientID              ClientID              STRING         not-null  -    NATURAL_KEY
-ClientName            ClientName            STRING         not-null  pii  ATTRIBUTE
-ClientType            ClientType            STRING         not-null  -    ATTRIBUTE
-DOB                   DOB                   DATE           null      pii  ATTRIBUTE
-IsActive              IsActive              BOOLEAN        not-null  -    FLAG
-State                 State                 STRING         null      -    ATTRIBUTE
-Country               Country               STRING         null      -    ATTRIBUTE
-CreatedAt             CreatedAt             TIMESTAMP      not-null  -    AUDIT
-CreatedBy             CreatedBy             STRING         not-null  -    AUDIT
-LastUpdatedAt         LastUpdatedAt         TIMESTAMP      null      -    AUDIT
-dt                    dt                    DATE           not-null  -    PARTITION
-batch                 batch                 INT            not-null  -    PARTITION
+@dataclass(frozen=True)
+class ColumnRule:
+    """One configured output column."""
 
-[t_AccountCustomer]
-OurBranchID           OurBranchID           STRING         not-null  -    DIMENSION
-ClientID              ClientID              STRING         not-null  -    FOREIGN_KEY
-AccountID             AccountID             STRING         not-null  -    NATURAL_KEY
-BranchCode            AccountID             STRING         not-null  -    DERIVED
-ProductCode           AccountID             STRING         not-null  -    DERIVED
-AccountSeq            AccountID             STRING         not-null  -    DERIVED
-ProductID             ProductID             STRING         null      -    ATTRIBUTE
-AccountType           AccountType           STRING         not-null  -    ATTRIBUTE
-ClearBalance          ClearBalance          DECIMAL(15,2)  null      -    DERIVED
-FreezeAmount          FreezeAmount          DECIMAL(15,2)  null      -    DERIVED
-AccountStatus         AccountStatus         STRING         not-null  -    ATTRIBUTE
-CreatedAt             CreatedAt             TIMESTAMP      not-null  -    AUDIT
-CreatedBy             CreatedBy             STRING         not-null  -    AUDIT
-LastUpdatedAt         LastUpdatedAt         TIMESTAMP      null      -    AUDIT
-dt                    dt                    DATE           not-null  -    PARTITION
-batch                 batch                 INT            not-null  -    PARTITION
+    source: str
+    target: str
+    data_type: str
+    nullable: bool = True
+    pii: bool = False
+    purpose: str = "ATTRIBUTE"
+    active: bool = True
 
-[t_Loan]
-OurBranchID           OurBranchID           STRING         not-null  -    DIMENSION
-AccountID             AccountID             STRING         not-null  -    FOREIGN_KEY
-LoanID                LoanID                STRING         not-null  -    NATURAL_KEY
-LoanSeries            LoanSeries            INT            not-null  -    ATTRIBUTE
-SanctionDate          SanctionDate          DATE           null      -    ATTRIBUTE
-SanctionAmount        SanctionAmount        DECIMAL(15,2)  null      -    DERIVED
-DisbursementDate      DisbursementDate      DATE           null      -    ATTRIBUTE
-DisbursementAmount    DisbursementAmount    DECIMAL(15,2)  null      -    DERIVED
-LoanStatus            LoanStatus            STRING         not-null  -    ATTRIBUTE
-InterestRate          InterestRate          DECIMAL(6,4)   null      -    DERIVED
-InterestAmount        InterestAmount        DECIMAL(15,2)  null      -    DERIVED
-Tenure                Tenure                INT            null      -    ATTRIBUTE
-Frequency             Frequency             STRING         null      -    ATTRIBUTE
-RepaymentType         RepaymentType         STRING         null      -    ATTRIBUTE
-OutstandingPrincipal  OutstandingPrincipal  DECIMAL(15,2)  null      -    DERIVED
-OutstandingInterest   OutstandingInterest   DECIMAL(15,2)  null      -    DERIVED
-DPD                   DPD                   INT            null      -    DERIVED
-IsNPS                 IsNPS                 BOOLEAN        null      -    FLAG
-ParFlag               ParFlag               BOOLEAN        null      -    FLAG
-FundID                FundID                STRING         null      -    DIMENSION
-MaturityDate          MaturityDate          DATE           null      -    ATTRIBUTE
-CreatedAt             CreatedAt             TIMESTAMP      not-null  -    AUDIT
-CreatedBy             CreatedBy             STRING         not-null  -    AUDIT
-LastUpdatedAt         LastUpdatedAt         TIMESTAMP      null      -    AUDIT
-dt                    dt                    DATE           not-null  -    PARTITION
-batch                 batch                 INT            not-null  -    PARTITION
 
-[t_LoanInstallment]
-OurBranchID           OurBranchID           STRING         not-null  -    DIMENSION
-AccountID             AccountID             STRING         not-null  -    FOREIGN_KEY
-LoanID                LoanID                STRING         not-null  -    FOREIGN_KEY
-LoanSeries            LoanSeries            INT            not-null  -    ATTRIBUTE
-InstallmentNo         InstallmentNo         INT            not-null  -    NATURAL_KEY
-InstallmentDate       InstallmentDate       DATE           not-null  -    ATTRIBUTE
-PrincipalDue          PrincipalDue          DECIMAL(15,2)  not-null  -    DERIVED
-InterestDue           InterestDue           DECIMAL(15,2)  not-null  -    DERIVED
-InstallmentAmount     InstallmentAmount     DECIMAL(15,2)  not-null  -    DERIVED
-PaidStatus            PaidStatus            STRING         not-null  -    ATTRIBUTE
-TransactionDate       TransactionDate       DATE           null      -    ATTRIBUTE
-CreatedAt             CreatedAt             TIMESTAMP      not-null  -    AUDIT
-CreatedBy             CreatedBy             STRING         not-null  -    AUDIT
-LastUpdatedAt         LastUpdatedAt         TIMESTAMP      null      -    AUDIT
-dt                    dt                    DATE           not-null  -    PARTITION
-batch                 batch                 INT            not-null  -    PARTITION
+@dataclass(frozen=True)
+class Relation:
+    """A declared foreign key."""
 
-[t_AccountTrx]
-OurBranchID           OurBranchID           STRING         not-null  -    DIMENSION
-AccountID             AccountID             STRING         not-null  -    FOREIGN_KEY
-LoanID                LoanID                STRING         null      -    FOREIGN_KEY
-LoanSeries            LoanSeries            INT            null      -    ATTRIBUTE
-TrxID                 TrxID                 STRING         not-null  -    NATURAL_KEY
-TrxDateTime           TrxDateTime           TIMESTAMP      not-null  -    ATTRIBUTE
-ValueDate             ValueDate             DATE           not-null  -    ATTRIBUTE
-TrxType               TrxType               STRING         not-null  -    ATTRIBUTE
-DrCr                  DrCr                  STRING         not-null  -    ATTRIBUTE
-Amount                Amount                DECIMAL(15,2)  not-null  -    DERIVED
-PrincipalComponent    PrincipalComponent    DECIMAL(15,2)  null      -    DERIVED
-InterestComponent     InterestComponent     DECIMAL(15,2)  null      -    DERIVED
-PaymentMode           PaymentMode           STRING         null      -    ATTRIBUTE
-CreatedAt             CreatedAt             TIMESTAMP      not-null  -    AUDIT
-CreatedBy             CreatedBy             STRING         not-null  -    AUDIT
-LastUpdatedAt         LastUpdatedAt         TIMESTAMP      null      -    AUDIT
-dt                    dt                    DATE           not-null  -    PARTITION
-batch                 batch                 INT            not-null  -    PARTITION
-"""
+    child: str
+    child_keys: tuple[str, ...]
+    parent: str
+    parent_keys: tuple[str, ...]
+
+
+# --- fixed values: Silver column declarations, source then target column ------
+SILVER_RULES: dict[str, list[ColumnRule]] = {
+    "t_Client": [
+        ColumnRule("OurBranchID", "OurBranchID", "STRING", nullable=False, purpose="DIMENSION"),
+        ColumnRule("ClientID", "ClientID", "STRING", nullable=False, purpose="NATURAL_KEY"),
+        ColumnRule("ClientName", "ClientName", "STRING", nullable=False, pii=True),
+        ColumnRule("ClientType", "ClientType", "STRING", nullable=False),
+        ColumnRule("DOB", "DOB", "DATE", pii=True),
+        ColumnRule("IsActive", "IsActive", "BOOLEAN", nullable=False, purpose="FLAG"),
+        ColumnRule("State", "State", "STRING"),
+        ColumnRule("Country", "Country", "STRING"),
+        ColumnRule("CreatedAt", "CreatedAt", "TIMESTAMP", nullable=False, purpose="AUDIT"),
+        ColumnRule("CreatedBy", "CreatedBy", "STRING", nullable=False, purpose="AUDIT"),
+        ColumnRule("LastUpdatedAt", "LastUpdatedAt", "TIMESTAMP", purpose="AUDIT"),
+        ColumnRule("dt", "dt", "DATE", nullable=False, purpose="PARTITION"),
+        ColumnRule("batch", "batch", "INT", nullable=False, purpose="PARTITION"),
+    ],
+    "t_AccountCustomer": [
+        ColumnRule("OurBranchID", "OurBranchID", "STRING", nullable=False, purpose="DIMENSION"),
+        ColumnRule("ClientID", "ClientID", "STRING", nullable=False, purpose="FOREIGN_KEY"),
+        ColumnRule("AccountID", "AccountID", "STRING", nullable=False, purpose="NATURAL_KEY"),
+        ColumnRule("AccountID", "BranchCode", "STRING", nullable=False, purpose="DERIVED"),
+        ColumnRule("AccountID", "ProductCode", "STRING", nullable=False, purpose="DERIVED"),
+        ColumnRule("AccountID", "AccountSeq", "STRING", nullable=False, purpose="DERIVED"),
+        ColumnRule("ProductID", "ProductID", "STRING"),
+        ColumnRule("AccountType", "AccountType", "STRING", nullable=False),
+        ColumnRule("ClearBalance", "ClearBalance", "DECIMAL(15,2)", purpose="DERIVED"),
+        ColumnRule("FreezeAmount", "FreezeAmount", "DECIMAL(15,2)", purpose="DERIVED"),
+        ColumnRule("AccountStatus", "AccountStatus", "STRING", nullable=False),
+        ColumnRule("CreatedAt", "CreatedAt", "TIMESTAMP", nullable=False, purpose="AUDIT"),
+        ColumnRule("CreatedBy", "CreatedBy", "STRING", nullable=False, purpose="AUDIT"),
+        ColumnRule("LastUpdatedAt", "LastUpdatedAt", "TIMESTAMP", purpose="AUDIT"),
+        ColumnRule("dt", "dt", "DATE", nullable=False, purpose="PARTITION"),
+        ColumnRule("batch", "batch", "INT", nullable=False, purpose="PARTITION"),
+    ],
+    "t_Loan": [
+        ColumnRule("OurBranchID", "OurBranchID", "STRING", nullable=False, purpose="DIMENSION"),
+        ColumnRule("AccountID", "AccountID", "STRING", nullable=False, purpose="FOREIGN_KEY"),
+        ColumnRule("LoanID", "LoanID", "STRING", nullable=False, purpose="NATURAL_KEY"),
+        ColumnRule("LoanSeries", "LoanSeries", "INT", nullable=False),
+        ColumnRule("SanctionDate", "SanctionDate", "DATE"),
+        ColumnRule("SanctionAmount", "SanctionAmount", "DECIMAL(15,2)", purpose="DERIVED"),
+        ColumnRule("DisbursementDate", "DisbursementDate", "DATE"),
+        ColumnRule("DisbursementAmount", "DisbursementAmount", "DECIMAL(15,2)", purpose="DERIVED"),
+        ColumnRule("LoanStatus", "LoanStatus", "STRING", nullable=False),
+        ColumnRule("InterestRate", "InterestRate", "DECIMAL(6,4)", purpose="DERIVED"),
+        ColumnRule("InterestAmount", "InterestAmount", "DECIMAL(15,2)", purpose="DERIVED"),
+        ColumnRule("Tenure", "Tenure", "INT"),
+        ColumnRule("Frequency", "Frequency", "STRING"),
+        ColumnRule("RepaymentType", "RepaymentType", "STRING"),
+        ColumnRule(
+            "OutstandingPrincipal", "OutstandingPrincipal", "DECIMAL(15,2)", purpose="DERIVED",
+        ),
+        ColumnRule(
+            "OutstandingInterest", "OutstandingInterest", "DECIMAL(15,2)", purpose="DERIVED",
+        ),
+        ColumnRule("DPD", "DPD", "INT", purpose="DERIVED"),
+        ColumnRule("IsNPS", "IsNPS", "BOOLEAN", purpose="FLAG"),
+        ColumnRule("ParFlag", "ParFlag", "BOOLEAN", purpose="FLAG"),
+        ColumnRule("FundID", "FundID", "STRING", purpose="DIMENSION"),
+        ColumnRule("MaturityDate", "MaturityDate", "DATE"),
+        ColumnRule("CreatedAt", "CreatedAt", "TIMESTAMP", nullable=False, purpose="AUDIT"),
+        ColumnRule("CreatedBy", "CreatedBy", "STRING", nullable=False, purpose="AUDIT"),
+        ColumnRule("LastUpdatedAt", "LastUpdatedAt", "TIMESTAMP", purpose="AUDIT"),
+        ColumnRule("dt", "dt", "DATE", nullable=False, purpose="PARTITION"),
+        ColumnRule("batch", "batch", "INT", nullable=False, purpose="PARTITION"),
+    ],
+    "t_LoanInstallment": [
+        ColumnRule("OurBranchID", "OurBranchID", "STRING", nullable=False, purpose="DIMENSION"),
+        ColumnRule("AccountID", "AccountID", "STRING", nullable=False, purpose="FOREIGN_KEY"),
+        ColumnRule("LoanID", "LoanID", "STRING", nullable=False, purpose="FOREIGN_KEY"),
+        ColumnRule("LoanSeries", "LoanSeries", "INT", nullable=False),
+        ColumnRule("InstallmentNo", "InstallmentNo", "INT", nullable=False, purpose="NATURAL_KEY"),
+        ColumnRule("InstallmentDate", "InstallmentDate", "DATE", nullable=False),
+        ColumnRule(
+            "PrincipalDue", "PrincipalDue", "DECIMAL(15,2)", nullable=False, purpose="DERIVED",
+        ),
+        ColumnRule(
+            "InterestDue", "InterestDue", "DECIMAL(15,2)", nullable=False, purpose="DERIVED",
+        ),
+        ColumnRule(
+            "InstallmentAmount", "InstallmentAmount", "DECIMAL(15,2)", nullable=False, purpose="DERIVED",
+        ),
+        ColumnRule("PaidStatus", "PaidStatus", "STRING", nullable=False),
+        ColumnRule("TransactionDate", "TransactionDate", "DATE"),
+        ColumnRule("CreatedAt", "CreatedAt", "TIMESTAMP", nullable=False, purpose="AUDIT"),
+        ColumnRule("CreatedBy", "CreatedBy", "STRING", nullable=False, purpose="AUDIT"),
+        ColumnRule("LastUpdatedAt", "LastUpdatedAt", "TIMESTAMP", purpose="AUDIT"),
+        ColumnRule("dt", "dt", "DATE", nullable=False, purpose="PARTITION"),
+        ColumnRule("batch", "batch", "INT", nullable=False, purpose="PARTITION"),
+    ],
+    "t_AccountTrx": [
+        ColumnRule("OurBranchID", "OurBranchID", "STRING", nullable=False, purpose="DIMENSION"),
+        ColumnRule("AccountID", "AccountID", "STRING", nullable=False, purpose="FOREIGN_KEY"),
+        ColumnRule("LoanID", "LoanID", "STRING", purpose="FOREIGN_KEY"),
+        ColumnRule("LoanSeries", "LoanSeries", "INT"),
+        ColumnRule("TrxID", "TrxID", "STRING", nullable=False, purpose="NATURAL_KEY"),
+        ColumnRule("TrxDateTime", "TrxDateTime", "TIMESTAMP", nullable=False),
+        ColumnRule("ValueDate", "ValueDate", "DATE", nullable=False),
+        ColumnRule("TrxType", "TrxType", "STRING", nullable=False),
+        ColumnRule("DrCr", "DrCr", "STRING", nullable=False),
+        ColumnRule("Amount", "Amount", "DECIMAL(15,2)", nullable=False, purpose="DERIVED"),
+        ColumnRule("PrincipalComponent", "PrincipalComponent", "DECIMAL(15,2)", purpose="DERIVED"),
+        ColumnRule("InterestComponent", "InterestComponent", "DECIMAL(15,2)", purpose="DERIVED"),
+        ColumnRule("PaymentMode", "PaymentMode", "STRING"),
+        ColumnRule("CreatedAt", "CreatedAt", "TIMESTAMP", nullable=False, purpose="AUDIT"),
+        ColumnRule("CreatedBy", "CreatedBy", "STRING", nullable=False, purpose="AUDIT"),
+        ColumnRule("LastUpdatedAt", "LastUpdatedAt", "TIMESTAMP", purpose="AUDIT"),
+        ColumnRule("dt", "dt", "DATE", nullable=False, purpose="PARTITION"),
+        ColumnRule("batch", "batch", "INT", nullable=False, purpose="PARTITION"),
+    ],
+}
 
 # Allowed values per metadata table and column.
 ALLOWED_VALUES: dict[str, dict[str, list[str]]] = {
@@ -152,180 +185,208 @@ LOAD_PRIORITIES = {
 }
 SOURCE_SYSTEM = "LMS_CORE"
 
-# Columns of the metadata tables ("!" = required) and the notes on them.
-_METADATA_TEXT = """
-[table_config]
-table_id bigint! | stable number of the source table
-source_table_name string! | name of the feed and of its landing folder
-source_system string! | system of origin
-source_format string! | PARQUET, CSV, JSON or DELTA
-source_path_pattern string! | landing path with {table}, {run_dt}, {batch}
-target_catalog string! | catalog of the Bronze table
-target_schema string! | schema of the Bronze table
-target_table string! | name of the Bronze table
-partition_cols string | comma list
-replace_where_template string | rows a load may replace, with {run_dt}
-drift_policy string! | STRICT, EVOLVE or QUARANTINE
-load_priority int! | lower loads earlier
-is_active boolean! | false leaves the table out of every load
-created_at timestamp |
-created_by string |
-last_edited_at timestamp |
-last_edited_by string |
-
-[table_process_config]
-process_config_id bigint |
-table_id bigint! | table_config.table_id
-process_type string! | BRONZE, SILVER or GOLD
-load_type string! | FULL or INCREMENTAL
-depends_on_table_ids string | comma list of upstream table_ids
-transform_module string | registered transform, null for an as-is load
-is_active boolean! |
-created_at timestamp |
-created_by string |
-last_edited_at timestamp |
-last_edited_by string |
-
-[input_column_config]
-column_id bigint |
-table_id bigint! | table_config.table_id
-process_type string! | layer the declaration is for
-source_column_name string! |
-target_column_name string | null keeps the source name
-data_type string! | Spark type of the target column
-is_nullable boolean | false rejects rows without a value
-is_pii boolean | true masks the value
-column_purpose string | role of the column
-is_active boolean! | false leaves the column out
-created_at timestamp |
-created_by string |
-last_edited_at timestamp |
-last_edited_by string |
-
-[etl_process_master]
-run_id string! |
-pipeline_name string! |
-process_type string! |
-run_dt string! | business date, yyyy-MM-dd
-trigger_type string! |
-triggered_by string! |
-status string! |
-total_tables int |
-success_count int |
-failed_count int |
-skipped_count int |
-started_at timestamp! |
-finished_at timestamp |
-duration_seconds double |
-error_message string |
-created_by string |
-created_at timestamp |
-updated_at timestamp |
-
-[etl_process_log]
-log_id string! |
-run_id string! | etl_process_master.run_id
-table_id bigint! | table_config.table_id
-table_name string! |
-process_type string! |
-load_type string! |
-run_dt string! | business date; the latest successful one is the watermark
-status string! |
-rows_read bigint |
-rows_written bigint |
-delta_version_before bigint | target version before the load
-delta_version_after bigint | target version after the load
-started_at timestamp! |
-finished_at timestamp |
-heartbeat_at timestamp | stale while STARTED means the run died
-duration_seconds bigint |
-error_message string |
-error_stacktrace string |
-created_by string |
-created_at timestamp |
-updated_at timestamp |
-
-[schema_drift_log]
-drift_log_id string! |
-run_id string! | etl_process_master.run_id
-table_id bigint! | table_config.table_id
-column_name string! |
-column_data_type string | the type seen in the source
-event_type string! |
-action_taken string! |
-detected_at timestamp! |
-created_by string |
-created_at timestamp |
-updated_at timestamp |
-"""
-# --------------------------------------------------------------------------
-
-
-@dataclass(frozen=True)
-class ColumnRule:
-    """One configured output column."""
-
-    source: str
-    target: str
-    data_type: str
-    nullable: bool = True
-    pii: bool = False
-    purpose: str = "ATTRIBUTE"
-    active: bool = True
-
-
-@dataclass(frozen=True)
-class Relation:
-    """A declared foreign key."""
-
-    child: str
-    child_keys: tuple[str, ...]
-    parent: str
-    parent_keys: tuple[str, ...]
-
-
-def _sections(text: str) -> dict[str, list[str]]:
-    out: dict[str, list[str]] = {}
-    for line in filter(None, map(str.strip, text.splitlines())):
-        if line.startswith("["):
-            lines = out.setdefault(line.strip("[]"), [])
-        else:
-            lines.append(line)
-    return out
-
-
-def _rule(line: str) -> ColumnRule:
-    target, source, data_type, null, pii, purpose = line.split()
-    return ColumnRule(source, target, data_type, null == "null", pii == "pii", purpose)
-
-
-def _field(line: str) -> T.StructField:
-    head, _, note = (part.strip() for part in line.partition("|"))
-    name, kind = head.split()
-    return T.StructField(
-        name,
-        _TYPES[kind.rstrip("!")],
-        nullable=not kind.endswith("!"),
-        metadata={"comment": note} if note else {},
-    )
-
-
-_TYPES: dict[str, T.DataType] = {
-    "string": T.StringType(),
-    "bigint": T.LongType(),
-    "int": T.IntegerType(),
-    "double": T.DoubleType(),
-    "boolean": T.BooleanType(),
-    "timestamp": T.TimestampType(),
-}
-
-SILVER_RULES: dict[str, list[ColumnRule]] = {
-    name: [_rule(line) for line in lines] for name, lines in _sections(_SILVER_TEXT).items()
-}
-
+# Columns of the metadata tables; False marks a required one.
 METADATA_SCHEMAS: dict[str, T.StructType] = {
-    name: T.StructType([_field(line) for line in lines])
-    for name, lines in _sections(_METADATA_TEXT).items()
+    "table_config": T.StructType(
+        [
+            T.StructField(
+                "table_id", T.LongType(), False,
+                {"comment": "stable number of the source table"},
+            ),
+            T.StructField(
+                "source_table_name", T.StringType(), False,
+                {"comment": "name of the feed and of its landing folder"},
+            ),
+            T.StructField("source_system", T.StringType(), False, {"comment": "system of origin"}),
+            T.StructField(
+                "source_format", T.StringType(), False,
+                {"comment": "PARQUET, CSV, JSON or DELTA"},
+            ),
+            T.StructField(
+                "source_path_pattern", T.StringType(), False,
+                {"comment": "landing path with {table}, {run_dt}, {batch}"},
+            ),
+            T.StructField(
+                "target_catalog", T.StringType(), False,
+                {"comment": "catalog of the Bronze table"},
+            ),
+            T.StructField(
+                "target_schema", T.StringType(), False,
+                {"comment": "schema of the Bronze table"},
+            ),
+            T.StructField(
+                "target_table", T.StringType(), False,
+                {"comment": "name of the Bronze table"},
+            ),
+            T.StructField("partition_cols", T.StringType(), True, {"comment": "comma list"}),
+            T.StructField(
+                "replace_where_template", T.StringType(), True,
+                {"comment": "rows a load may replace, with {run_dt}"},
+            ),
+            T.StructField(
+                "drift_policy", T.StringType(), False,
+                {"comment": "STRICT, EVOLVE or QUARANTINE"},
+            ),
+            T.StructField(
+                "load_priority", T.IntegerType(), False,
+                {"comment": "lower loads earlier"},
+            ),
+            T.StructField(
+                "is_active", T.BooleanType(), False,
+                {"comment": "false leaves the table out of every load"},
+            ),
+            T.StructField("created_at", T.TimestampType()),
+            T.StructField("created_by", T.StringType()),
+            T.StructField("last_edited_at", T.TimestampType()),
+            T.StructField("last_edited_by", T.StringType()),
+        ]
+    ),
+    "table_process_config": T.StructType(
+        [
+            T.StructField("process_config_id", T.LongType()),
+            T.StructField("table_id", T.LongType(), False, {"comment": "table_config.table_id"}),
+            T.StructField(
+                "process_type", T.StringType(), False,
+                {"comment": "BRONZE, SILVER or GOLD"},
+            ),
+            T.StructField("load_type", T.StringType(), False, {"comment": "FULL or INCREMENTAL"}),
+            T.StructField(
+                "depends_on_table_ids", T.StringType(), True,
+                {"comment": "comma list of upstream table_ids"},
+            ),
+            T.StructField(
+                "transform_module", T.StringType(), True,
+                {"comment": "registered transform, null for an as-is load"},
+            ),
+            T.StructField("is_active", T.BooleanType(), False),
+            T.StructField("created_at", T.TimestampType()),
+            T.StructField("created_by", T.StringType()),
+            T.StructField("last_edited_at", T.TimestampType()),
+            T.StructField("last_edited_by", T.StringType()),
+        ]
+    ),
+    "input_column_config": T.StructType(
+        [
+            T.StructField("column_id", T.LongType()),
+            T.StructField("table_id", T.LongType(), False, {"comment": "table_config.table_id"}),
+            T.StructField(
+                "process_type", T.StringType(), False,
+                {"comment": "layer the declaration is for"},
+            ),
+            T.StructField("source_column_name", T.StringType(), False),
+            T.StructField(
+                "target_column_name", T.StringType(), True,
+                {"comment": "null keeps the source name"},
+            ),
+            T.StructField(
+                "data_type", T.StringType(), False,
+                {"comment": "Spark type of the target column"},
+            ),
+            T.StructField(
+                "is_nullable", T.BooleanType(), True,
+                {"comment": "false rejects rows without a value"},
+            ),
+            T.StructField("is_pii", T.BooleanType(), True, {"comment": "true masks the value"}),
+            T.StructField(
+                "column_purpose", T.StringType(), True,
+                {"comment": "role of the column"},
+            ),
+            T.StructField(
+                "is_active", T.BooleanType(), False,
+                {"comment": "false leaves the column out"},
+            ),
+            T.StructField("created_at", T.TimestampType()),
+            T.StructField("created_by", T.StringType()),
+            T.StructField("last_edited_at", T.TimestampType()),
+            T.StructField("last_edited_by", T.StringType()),
+        ]
+    ),
+    "etl_process_master": T.StructType(
+        [
+            T.StructField("run_id", T.StringType(), False),
+            T.StructField("pipeline_name", T.StringType(), False),
+            T.StructField("process_type", T.StringType(), False),
+            T.StructField(
+                "run_dt", T.StringType(), False,
+                {"comment": "business date, yyyy-MM-dd"},
+            ),
+            T.StructField("trigger_type", T.StringType(), False),
+            T.StructField("triggered_by", T.StringType(), False),
+            T.StructField("status", T.StringType(), False),
+            T.StructField("total_tables", T.IntegerType()),
+            T.StructField("success_count", T.IntegerType()),
+            T.StructField("failed_count", T.IntegerType()),
+            T.StructField("skipped_count", T.IntegerType()),
+            T.StructField("started_at", T.TimestampType(), False),
+            T.StructField("finished_at", T.TimestampType()),
+            T.StructField("duration_seconds", T.DoubleType()),
+            T.StructField("error_message", T.StringType()),
+            T.StructField("created_by", T.StringType()),
+            T.StructField("created_at", T.TimestampType()),
+            T.StructField("updated_at", T.TimestampType()),
+        ]
+    ),
+    "etl_process_log": T.StructType(
+        [
+            T.StructField("log_id", T.StringType(), False),
+            T.StructField(
+                "run_id", T.StringType(), False,
+                {"comment": "etl_process_master.run_id"},
+            ),
+            T.StructField("table_id", T.LongType(), False, {"comment": "table_config.table_id"}),
+            T.StructField("table_name", T.StringType(), False),
+            T.StructField("process_type", T.StringType(), False),
+            T.StructField("load_type", T.StringType(), False),
+            T.StructField(
+                "run_dt", T.StringType(), False,
+                {"comment": "business date; the latest successful one is the watermark"},
+            ),
+            T.StructField("status", T.StringType(), False),
+            T.StructField("rows_read", T.LongType()),
+            T.StructField("rows_written", T.LongType()),
+            T.StructField(
+                "delta_version_before", T.LongType(), True,
+                {"comment": "target version before the load"},
+            ),
+            T.StructField(
+                "delta_version_after", T.LongType(), True,
+                {"comment": "target version after the load"},
+            ),
+            T.StructField("started_at", T.TimestampType(), False),
+            T.StructField("finished_at", T.TimestampType()),
+            T.StructField(
+                "heartbeat_at", T.TimestampType(), True,
+                {"comment": "stale while STARTED means the run died"},
+            ),
+            T.StructField("duration_seconds", T.LongType()),
+            T.StructField("error_message", T.StringType()),
+            T.StructField("error_stacktrace", T.StringType()),
+            T.StructField("created_by", T.StringType()),
+            T.StructField("created_at", T.TimestampType()),
+            T.StructField("updated_at", T.TimestampType()),
+        ]
+    ),
+    "schema_drift_log": T.StructType(
+        [
+            T.StructField("drift_log_id", T.StringType(), False),
+            T.StructField(
+                "run_id", T.StringType(), False,
+                {"comment": "etl_process_master.run_id"},
+            ),
+            T.StructField("table_id", T.LongType(), False, {"comment": "table_config.table_id"}),
+            T.StructField("column_name", T.StringType(), False),
+            T.StructField(
+                "column_data_type", T.StringType(), True,
+                {"comment": "the type seen in the source"},
+            ),
+            T.StructField("event_type", T.StringType(), False),
+            T.StructField("action_taken", T.StringType(), False),
+            T.StructField("detected_at", T.TimestampType(), False),
+            T.StructField("created_by", T.StringType()),
+            T.StructField("created_at", T.TimestampType()),
+            T.StructField("updated_at", T.TimestampType()),
+        ]
+    ),
 }
 
 METADATA_KEYS = {
@@ -361,6 +422,7 @@ DERIVED_SUBSTRINGS = {
     "ProductCode": (5, 2),
     "AccountSeq": (7, 2**31 - 1),
 }
+# --------------------------------------------------------------------------
 
 
 def raw_columns(table: str) -> list[str]:

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.terms import FEED_INSTALLMENTS
 from tidemark.operators import defects, lending
 from tidemark.sinks.tables import write_batch
 from tidemark.sources.landing import landed, next_batch
@@ -58,7 +59,7 @@ def land_day(
         "t_Client": clients,
         "t_AccountCustomer": accounts,
         "t_Loan": landing_loans,
-        "t_LoanInstallment": lending.installments(loans),
+        "t_LoanInstallment": lending.installments(loans, FEED_INSTALLMENTS),
         "t_AccountTrx": ledger,
     }
     return {
@@ -78,7 +79,7 @@ def _parts(clients: int, cores: int) -> int:
 def _due(spark: SparkSession, root: str, run_dt: str) -> DataFrame | None:
     """Installments landed so far that are due, or None before the first delivery."""
     try:
-        return lending.due_installments(landed(spark, root, "t_LoanInstallment"), run_dt)
+        return lending.due_installments(landed(spark, root, "t_LoanInstallment"), run_dt, FEED_INSTALLMENTS)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
