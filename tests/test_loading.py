@@ -123,3 +123,69 @@ def test_drift_policies(spark, env, policy, status, run_status):
         assert spark.read.parquet(f"{env.target}/t_client/dt=2024-02-03").columns.count("w") == 1
     if policy == "QUARANTINE":
         assert spark.read.parquet(f"{env.target}/t_client_quarantine").count() == 2
+
+
+def test_quarantine_is_repeatable_and_whole(spark, env):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    registry = env.registry.where("table_id = 1").withColumn("drift_policy", F.lit("QUARANTINE"))
+    tables.write_batch(df.select("k"), env.root, "t_Client", DAY, 1)
+    env.run(registry=registry)
+    tables.write_batch(df, env.root, "t_Client", "2024-02-02", 1)
+    for _ in range(2):
+        env.run("2024-02-02", registry)
+    parked = landing.read_partitioned(spark, f"{env.target}/t_client_quarantine")
+    assert parked.count() == 2
+    assert parked.where("""payload LIKE '%"v":null%'""").count() == 1
+
+
+def test_typed_csv_and_a_value_that_does_not_fit(spark, env):
+    spark.createDataFrame([("CL1", "2020-01-01"), ("CL2", None)], "ClientID string, DOB string").write.option(
+        "header", True
+    ).csv(f"{env.root}/t_Client/dt={DAY}/batch=1")
+    registry = env.registry.where("table_id = 1").withColumn("source_format", F.lit("CSV"))
+    columns = config.column_config(env.registry, config.rule_rows(spark))
+    args = (spark, env.log, registry, env.layers)
+    assert load_plan_rows(*args, DAY, env.target, columns=columns) == "SUCCESS"
+    assert dict(env.bronze("t_client").dtypes)["DOB"] == "date"
+    spark.createDataFrame([("CL3", "x" * 3000)], "ClientID string, DOB string").write.option(
+        "header", True
+    ).csv(f"{env.root}/t_Client/dt=2024-02-02/batch=1")
+    assert load_plan_rows(*args, "2024-02-02", env.target, columns=columns) == "FAILED"
+    failed = env.log.loads("2024-02-02").first()
+    assert "x" * 3000 in failed.error_message  # the whole error is kept
+    assert env.bronze("t_client").count() == 2
+
+
+def test_silver_needs_a_salt_and_its_upstreams(spark, env, tmp_path):
+    columns = config.column_config(env.registry, config.rule_rows(spark))
+    layers = config.process_config(env.registry, ["t_Client"], "SILVER")
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    tables.write_batch(df, env.root, "t_Client", DAY, 1)
+    one = env.registry.where("table_id = 1")
+    assert env.run(registry=one) == "SUCCESS"
+    out = str(tmp_path / "silver")
+    kwargs = {"columns": columns, "bronze_root": env.target}
+    assert load_plan_rows(spark, env.log, one, layers, DAY, out, "SILVER", **kwargs) == "FAILED"
+    errors = [r.error_message for r in env.log.loads().collect() if r.process_type == "SILVER"]
+    assert any("needs a salt" in e for e in errors)
+    blocked = layers.withColumn("depends_on_table_ids", F.lit("1, 3"))
+    load_plan_rows(spark, env.log, one, blocked, DAY, out, "SILVER", salt="s", **kwargs)
+    skipped = [r for r in env.log.loads().collect() if r.status == "SKIPPED"]
+    assert len(skipped) == 1 and "1 of 2 upstream" in skipped[0].error_message
+    with pytest.raises(ValueError, match="column configuration"):
+        load_plan_rows(spark, env.log, one, layers, DAY, out, "SILVER")
+
+
+def test_a_column_is_new_once(spark, env):
+    """Older dates that are filled in later and carry a known column are no drift."""
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    registry = env.registry.where("table_id = 1")
+    for run_dt, frame in (
+        ("2024-02-05", df), ("2024-02-03", df.withColumn("w", F.lit(1))), ("2024-02-04", df.withColumn("w", F.lit(2)))
+    ):
+        tables.write_batch(frame, env.root, "t_Client", run_dt, 1)
+        assert env.run(run_dt, registry) == "SUCCESS"
+    events = spark.read.parquet(f"{env.log.root}/schema_drift_log").collect()
+    assert [(r.column_name, r.event_type) for r in events] == [("w", "NEW")]
+    versions = sorted((r.delta_version_before, r.delta_version_after) for r in env.log.loads().collect())
+    assert versions == [(0, 1), (1, 2), (2, 3)]

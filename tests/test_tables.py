@@ -177,3 +177,67 @@ def test_catalog_tables(spark):
     assert (found.n, found.x) == (1, None)
     catalog.drop_metadata_tables(spark, "lk_metadata")
     assert not spark.catalog.listTables("lk_metadata")
+
+
+def test_incremental_load_without_partitions(spark, tmp_path, feed, rows):
+    target = str(tmp_path / "flat")
+    with pytest.raises(ValueError, match="partition columns or replace_where"):
+        tables.load_bronze(feed, target, ())
+    for n in (1, 2, 2):
+        where = f"dt = DATE '2024-01-0{n}'"
+        tables.load_bronze(feed.where(where), target, (), where)
+    assert rows(landing.read_partitioned(spark, target), "k") == [(1,), (2,), (3,), (4,)]
+    where = "k = 3 AND dt = DATE '2024-01-01'"
+    tables.load_bronze(feed.where("false"), target, (), where)
+    assert rows(landing.read_partitioned(spark, target), "k") == [(1,), (2,), (4,)]
+
+
+def test_replaced_predicate_leaves_nothing_behind(spark, tmp_path, feed, rows):
+    target = str(tmp_path / "t")
+    tables.load_bronze(feed, target, ["dt", "batch"])
+    where = "dt = DATE '2024-01-01'"
+    tables.load_bronze(feed.where("k = 1"), target, ["dt", "batch"], where)
+    assert rows(landing.read_partitioned(spark, target), "k", "batch") == [(1, 1), (4, 1)]
+    # a predicate over another column rewrites rows, not folders
+    tables.load_bronze(feed.where("k = 4").withColumn("v", F.lit("n")), target, ["dt", "batch"], "k = 4")
+    assert rows(landing.read_partitioned(spark, target), "k", "v") == [(1, "a"), (4, "n")]
+
+
+def test_columns_that_came_later_survive(spark, tmp_path, feed, rows):
+    target = str(tmp_path / "t")
+    tables.load_bronze(feed.where("dt = '2024-01-01'"), target)
+    wider = feed.where("dt = '2024-01-02'").withColumn("w", F.lit(7))
+    tables.load_bronze(wider, target)
+    expected = [(1, None), (2, None), (3, None), (4, 7)]
+    tables.compact(spark, target, ["2024-01-01", "2024-01-02"])
+    assert rows(landing.read_partitioned(spark, target), "k", "w") == expected
+    tables.rewrite_partitions(spark, target, ["2024-01-02"], lambda df: df)
+    assert rows(landing.read_partitioned(spark, target, ["2024-01-02"]), "k", "w") == [(4, 7)]
+    # older dates loaded later do not narrow the table again
+    tables.load_bronze(feed.where("k = 1"), target)
+    assert landing.table_schema(spark, target).fieldNames() == ["k", "v", "dt", "batch", "w"]
+    changes = spark.createDataFrame([(4, "x", day(2), 1, "new")], "k int, v string, dt date, batch int, extra string")
+    tables.upsert_partitions(spark, changes, target, ["k"])
+    assert rows(landing.read_partitioned(spark, target, "2024-01-02"), "k", "w", "extra") == [(4, None, "new")]
+    with pytest.raises(ValueError, match="not what the table has"):
+        tables.append(feed.withColumn("w", F.lit("text")), target, ["dt"])
+
+
+def test_deleting_every_row_of_a_date_drops_it(spark, tmp_path, feed, rows):
+    target = str(tmp_path / "t")
+    tables.full_refresh(feed, target, ["dt"])
+    tables.rewrite_partitions(spark, target, ["2024-01-01"], lambda df: edits.without(df, F.lit(True)))
+    assert rows(landing.read_partitioned(spark, target), "k") == [(4,)]
+
+
+def test_work_folders_are_removed(spark, tmp_path, feed):
+    from pathlib import Path
+
+    from tidemark.session import work_root
+
+    target = str(tmp_path / "t")
+    tables.full_refresh(feed, target, ["dt"])
+    tables.upsert_partitions(spark, feed, target, ["k"])
+    tables.compact(spark, target, ["2024-01-01"])
+    root = Path(work_root(spark).removeprefix("file:"))
+    assert not [p.name for p in root.iterdir() if p.name.split("-")[0] in ("changes", "upsert", "rewrite")]
