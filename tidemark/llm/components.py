@@ -12,9 +12,10 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """``node, component`` for edges ``a, b``: the smallest node that is reachable.
 
     Alternating large-star and small-star rounds: every round links each node to the
-    smallest neighbour, so that stars remain.  A round handles a hub's edges as rows;
-    the minimum per node is combined before the exchange.  Each round is written to
-    the shared work folder, which ends its lineage.  Nodes without an edge are absent.
+    smallest neighbour, so that stars remain.  The minimum per node is combined before
+    the exchange and written, so the join that brings it to the edges is a plain one, in
+    which Spark may split a hub's edges over tasks.  Each round is written to the shared
+    work folder, which ends its lineage.  Nodes without an edge are absent.
     """
     edges = edges.filter("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
@@ -23,14 +24,14 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     before = None
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
         # large star: larger neighbours of a node go to its smallest neighbour
         large = (
             both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         )
-        large = large.filter("a <> b").distinct()
+        large = staged(large.filter("a <> b").distinct(), "large-stars")
         # small star: a node and its smaller neighbours go to the smallest of them
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = staged(large.groupBy("a").agg(F.min("b").alias("m")), "lowest")
         small = (
             large.join(low, "a")
             .select(F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("e"))

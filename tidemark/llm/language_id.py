@@ -70,9 +70,15 @@ def fit(docs: DataFrame) -> Model:
     of their ids, and ``SAMPLE_CHARS`` of each.  Null texts and null labels are skipped.
     """
     labelled = docs.filter((fold() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    # a hash below this share leaves about four times what is wanted of each language
+    share = F.lit(1.0)
+    for lang, n in counts.items():
+        share = F.when(F.col("lang") == lang, min(1.0, 4 * SAMPLE_DOCUMENTS / n)).otherwise(share)
+    order = Window.partitionBy("lang").orderBy("hash", "doc_id")
     chosen = (
-        labelled.select("doc_id", "lang")
+        labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash"))
+        .filter(F.col("hash") / float(1 << 63) <= 2 * share - 1)
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= SAMPLE_DOCUMENTS)
     )
@@ -85,7 +91,6 @@ def fit(docs: DataFrame) -> Model:
     found: dict[str, list[bytes]] = {}
     for row in sorted(rows, key=lambda r: (r.lang, r.place, r.text)):
         found.setdefault(row.lang, []).append(normalised(row.text))
-    counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
     order = sorted(found, key=lambda lang: (-counts[lang], lang))
     dictionaries = {lang: b" ".join(found[lang])[-DICTIONARY_BYTES:] for lang in order}
     return Model({k: v for k, v in dictionaries.items() if len(v) >= 8})

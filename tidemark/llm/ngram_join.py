@@ -294,7 +294,11 @@ def linked_documents(
         "ngram-candidates",
     )
     rows = found.filter("kind = 0").select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles"), "s1", "s2")
-    same = rows.filter("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("set_id"))
+    # written, so that the join below is a plain one and Spark may split a crowd of copies
+    same = staged(
+        rows.filter("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("set_id")),
+        "ngram-copies",
+    )
     rows = staged(
         rows.join(same, ["n_shingles", "s1", "s2"], "left").select(
             "doc_id", "n_shingles", F.coalesce("set_id", "doc_id").alias("set_id")
