@@ -9,7 +9,7 @@ from tidemark.operators import defects, joins, lending, quality, reports
 from tidemark.plans import inputs
 from tidemark.plans.inputs import day, sampled, table, with_sql
 from tidemark.plans.registry import query
-from tidemark.schemas import Relation
+from tidemark.schemas import BUSINESS_RELATIONS, Relation
 
 TABLE_KEYS = {
     "region": ["r_regionkey"],
@@ -139,6 +139,81 @@ def null_rate(spark, sf_dir):
     return quality.null_rates(blanked, "t_Client", ["State", "DOB", "ClientName"])
 
 
+_NULL_CHECKED = {
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+}
+
+
+@query(
+    "\nUNION ALL\n".join(
+        f"""SELECT '{name}' AS table_name, '{column}' AS column_name, count(*) AS rows,
+  count(*) FILTER (WHERE {column} IS NULL) AS nulls FROM {name}"""
+        for name, columns in _NULL_CHECKED.items()
+        for column in columns
+    )
+)
+def given_null_rates(spark, sf_dir):
+    """NULLs per column of whole given tables, as they are."""
+    return joins.union_all(
+        [
+            quality.null_rates(table(spark, sf_dir, name), name, columns)
+            for name, columns in _NULL_CHECKED.items()
+        ]
+    )
+
+
+@query("SELECT doc_id, source FROM documents WHERE length(source) <> 4")
+def given_malformed_sources(spark, sf_dir):
+    """Documents whose source code does not have the usual length, as they are."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return quality.malformed(documents, "source", 4)
+
+
+_BUSINESS_VIEWS = {
+    "t_Client": "clients",
+    "t_AccountCustomer": "accounts",
+    "t_Loan": "loans",
+    "t_LoanInstallment": "installments",
+    "t_AccountTrx": "ledger",
+}
+
+
+def _business_relation_sql(r: Relation) -> str:
+    (child,), (parent,) = r.child_keys, r.parent_keys
+    known = f"""EXISTS (SELECT 1 FROM {_BUSINESS_VIEWS[r.parent]} p WHERE p."{parent}" = c."{child}")"""
+    return f"""SELECT '{r.child}' AS child_table, '{child}' AS child_column,
+  '{r.parent}' AS parent_table, '{parent}' AS parent_column, count(*) AS checked_rows,
+  count(*) FILTER (WHERE NOT {known}) AS orphan_rows,
+  count(DISTINCT CASE WHEN NOT {known} THEN "{child}" END) AS orphan_keys
+FROM {_BUSINESS_VIEWS[r.child]} c WHERE "{child}" IS NOT NULL"""
+
+
+@query(
+    with_sql(
+        inputs.IDS_SQL, inputs.CLIENTS_SQL, *inputs.loans_sql()[1:], inputs.INSTALLMENTS_SQL,
+        inputs.ledger_sql("FALSE"),
+    )
+    + "\nUNION ALL\n".join(_business_relation_sql(r) for r in BUSINESS_RELATIONS)
+)
+def business_relations(spark, sf_dir):
+    """The declared foreign keys of the lending tables that follow from the customers."""
+    ids = inputs.client_ids(spark, sf_dir)
+    accounts = lending.accounts(inputs.spread(ids))
+    loans = lending.loans(accounts)
+    frames = {
+        "t_Client": lending.clients(ids, inputs.TODAY),
+        "t_AccountCustomer": accounts,
+        "t_Loan": loans,
+        "t_LoanInstallment": lending.installments(loans, FEED_INSTALLMENTS),
+        "t_AccountTrx": lending.ledger(lending.disbursements(loans)),
+    }
+    return joins.relation_checks(frames, BUSINESS_RELATIONS)
+
+
 def _ledger(spark, sf_dir):
     return lending.ledger(
         lending.disbursements(inputs.loans_of_clients(spark, sf_dir, _FIXED_WIDTH))
