@@ -45,7 +45,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(secret_scan.sql())
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document and how widely they are owned."""
     return secret_scan.secrets(table(spark, sf_dir, "documents"))

@@ -160,3 +160,41 @@ def secrets(docs: DataFrame, repository: str = "doc_id", owner: str = "source")
         F.coalesce("n_copied", F.lit(0)).cast("long").alias("n_copied"),
         F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"),
     )
+
+
+def sql() -> str:
+    """The query over ``documents`` in DuckDB; values compare as they are, not by hash."""
+    parts = []
+    for rank, (kind, (pattern, group, least)) in enumerate(KINDS.items()):
+        quoted = pattern.replace("'", "''")
+        parts.append(
+            f"""SELECT doc_id, owner, {rank} AS rank, '{kind}' AS kind, {least} AS least,
+    list_transform(string_split_regex(t, '{quoted}'), lambda x: length(x)) AS gaps,
+    list_transform(regexp_extract_all(t, '{quoted}', 0), lambda x: length(x)) AS sizes,
+    regexp_extract_all(t, '{quoted}', {group}) AS vals FROM d"""
+        )
+    base = ", ".join(f"'{k}'" for k in BASE)
+    counts = ",\n  ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in BASE)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS t FROM documents),
+k AS ({" UNION ALL ".join(parts)}),
+s AS (SELECT *, unnest(range(1, len(sizes) + 1)) AS i FROM k WHERE len(sizes) > 0),
+placed AS (
+  SELECT doc_id, owner, rank, kind, vals[i] AS value, sizes[i] AS size,
+    CAST(list_sum(gaps[1:i]) + coalesce(list_sum(sizes[1:i - 1]), 0) AS BIGINT) AS start
+  FROM s WHERE length(vals[i]) >= least),
+owners AS (SELECT value, count(DISTINCT owner) AS n_owners,
+    len(list_distinct(string_split(value, ''))) >= {MIXED} AS mixed FROM placed GROUP BY value),
+held AS (SELECT DISTINCT doc_id, value FROM placed),
+judged AS (SELECT doc_id, count(*) FILTER (WHERE n_owners >= {COPIED_OWNERS}) AS n_copied,
+    count(*) FILTER (WHERE n_owners = 1 AND mixed) AS n_live
+  FROM held JOIN owners USING (value) GROUP BY doc_id),
+listed AS (SELECT doc_id, {counts},
+  string_agg(kind || ':' || start || ':' || (start + size), ',' ORDER BY start, rank)
+    FILTER (WHERE kind IN ({base})) AS base,
+  string_agg(kind || ':' || start || ':' || (start + size), ',' ORDER BY start, rank) AS spans
+  FROM placed GROUP BY doc_id)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(n_copied, 0) AS n_copied, coalesce(n_live, 0) AS n_live
+FROM d LEFT JOIN listed USING (doc_id) LEFT JOIN judged USING (doc_id)"""
