@@ -6,9 +6,11 @@ threshold.  The incidence matrix is blocked twice.
 *Column blocks.*  Sets are put in size classes; the largest symmetric difference that a
 linked pair of a class can have follows from the sizes.  The columns are dealt by hash
 into a few more blocks than that, so a linked pair has equal rows in at least one block
-(pigeonhole).  Documents with an equal block row become candidates.  A block row is
-the hash of about ``1 / (1 - threshold)`` n-grams, so frequent lines gather no crowd.
-Sets with so many empty blocks that the argument fails share one more block row.
+(pigeonhole).  Documents with an equal block row become candidates.  The columns of
+n-grams that very many documents hold are left out: without them a difference can only
+shrink, so the argument stands, and frequent lines gather no crowd.  Documents with so
+many empty blocks that it fails (little but frequent n-grams) meet each other by blocks of
+all their columns, and in the last resort in one block row per size class.
 
 *Row blocks.*  Candidates fall into connected groups.  Within a group the rows are dealt
 into tiles of bounded size, and every pair of tiles is multiplied in one task: overlap
@@ -27,6 +29,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +40,8 @@ from tidemark.session import staged
 
 BUCKETS = 1024
 SPARE = 1
+SKETCH = 1 << 22  # buckets of n-grams that are frequent or not as a whole
+FREQUENT = 0.001  # share of the documents from which a bucket is frequent
 TILE = 1 << 20  # n-grams of a tile of the product
 
 _PACKED = "bucket int, keys binary, docs binary, sizes binary"
@@ -66,6 +71,19 @@ class Classes:
         rest = (1 - self.threshold) / (1 + self.threshold)
         return 2 * top * rest.numerator // rest.denominator
 
+    def columns(self, group: np.ndarray, difference: np.ndarray) -> np.ndarray:
+        """Column blocks of a class: one more than can differ, and as many as may be empty.
+
+        Dealing the smallest set that is cut for the class leaves about ``empty`` blocks
+        without a column; a set with more empty ones than are spare is unsafe.
+        """
+        least = np.array(self.lows)[np.maximum(group - 1, 0)]
+        count = difference + 1 + SPARE
+        for _ in range(4):
+            empty = count * np.exp(-least / count)
+            count = difference + 1 + SPARE + np.ceil(empty + 3 * np.sqrt(empty) - 0.1).astype(np.int64)
+        return np.where(difference == 0, 1, count)  # only equal sets link: one block
+
 
 def _set_rows(batch: pa.RecordBatch, width: int):
     """Sets of each chunk of a batch: ``ids, hashes, owner, bounds``."""
@@ -77,21 +95,77 @@ def _set_rows(batch: pa.RecordBatch, width: int):
         yield ids[first:last], *blocks.sets(grams, of, n)
 
 
-def _block_rows(grams, owner, bounds, classes: Classes):
-    """Hash of each document's row in each column block, for its class and the next."""
+def _frequent_counts(width: int):
+    """How many documents of a batch hold n-grams of a bucket, where that is notable."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [grams for _, grams, _, _ in _set_rows(batch, width)]
+            if parts:
+                grams, n = np.unique(np.concatenate(parts), return_counts=True)
+                notable = n >= max(3, FREQUENT / 2 * batch.num_rows)
+                buckets = (grams[notable] % np.uint64(SKETCH)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(n[notable])], names=["bucket", "n"])
+
+    return run
+
+
+def frequent_buckets(docs: DataFrame, width: int) -> np.ndarray:
+    """A bit per bucket: whether a notable share of the documents hold n-grams of it.
+
+    Of fixed size whatever the input.  It steers which columns the blocks leave out and
+    has no influence on the result.
+    """
+    least = max(8, int(FREQUENT * docs.count()))
+    found = (
+        docs.mapInArrow(_frequent_counts(width), "bucket long, n long")
+        .groupBy("bucket")
+        .agg(F.sum("n").alias("n"))
+        .filter(F.col("n") >= least)
+        .select("bucket")
+        .toPandas()
+    )
+    bits = np.zeros(SKETCH, bool)
+    bits[found["bucket"].to_numpy(np.int64)] = True
+    return np.packbits(bits)
+
+
+def _block_rows(grams, owner, bounds, classes: Classes, frequent: np.ndarray):
+    """Block rows without the frequent columns, and with them where those are too few.
+
+    ``frequent``: whether a bucket is frequent.  Sizes stay those of the whole sets.
+    """
     sizes = np.diff(bounds)
+    rare = ~frequent[(grams % np.uint64(SKETCH)).astype(np.int64)]
+    keys, docs, unsafe = _blocks(grams[rare], owner[rare], sizes, classes, 33)
+    if not len(unsafe):
+        return keys, docs
+    again = np.zeros(len(sizes), bool)
+    again[unsafe] = True
+    left = again[owner]
+    more, of, last = _blocks(grams[left], owner[left], np.where(again, sizes, 0), classes, 34)
+    own = classes.of(sizes[last])
+    rest = [blocks.mix((own + step).astype(np.uint64) + blocks.SALTS[32]) for step in (0, 1)]
+    return np.concatenate([keys, more, *rest]), np.concatenate([docs, of, last, last])
+
+
+def _blocks(grams, owner, sizes, classes: Classes, salt: int):
+    """``key, document`` of each nonempty column block, and documents with too few of them.
+
+    Each set is cut for its own size class and for the next, where larger sets meet it.
+    """
     full = np.flatnonzero(sizes)
     if not len(full):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        return none.astype(np.uint64), none, none
     place = np.full(len(sizes), -1)
     place[full] = np.arange(len(full))
     owner, own = place[owner], classes.of(sizes[full])
-    keys, docs = [], []
+    keys, docs, failed = [], [], np.zeros(len(full), bool)
     for step in (0, 1):
         group = own + step
-        count = classes.difference(group) + 1
-        alone = count == 1  # only equal sets link: the whole set is the block
-        count = np.where(alone, 1, count + SPARE)
+        difference = classes.difference(group)
+        count = classes.columns(group, difference)
         start = np.concatenate([[0], np.cumsum(count)])
         column = (grams >> np.uint64(9)) % count.astype(np.uint64)[owner]
         block = start[owner] + column.astype(np.int64)
@@ -99,25 +173,27 @@ def _block_rows(grams, owner, bounds, classes: Classes):
         sums = blocks.grouped_sums(blocks.mix(grams), block, start[-1])
         of = np.repeat(np.arange(len(full)), count)
         within = (np.arange(start[-1]) - start[:-1][of]).astype(np.uint64)
-        key = blocks.mix(sums + within * blocks.SALTS[30] + group[of].astype(np.uint64) * blocks.SALTS[31])
+        key = sums + within * blocks.SALTS[30] + group[of].astype(np.uint64) * blocks.SALTS[31]
+        key = blocks.mix(key + blocks.SALTS[salt])
         empty = np.add.reduceat((held == 0).astype(np.int64), start[:-1])
-        unsafe = np.flatnonzero(empty >= np.where(alone, 1, SPARE + 1))
+        failed |= empty >= count - difference
         keep = held > 0
-        keys += [key[keep], blocks.mix(group[unsafe].astype(np.uint64) + blocks.SALTS[32])]
-        docs += [full[of[keep]], full[unsafe]]
-    return np.concatenate(keys), np.concatenate(docs)
+        keys.append(key[keep])
+        docs.append(full[of[keep]])
+    return np.concatenate(keys), np.concatenate(docs), full[failed]
 
 
-def _candidates(width: int, threshold: Fraction, buckets: int):
+def _candidates(width: int, threshold: Fraction, buckets: int, frequent: Broadcast):
     """Map side: block rows in packed form, dealt into buckets by their hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = Classes(threshold)
+        often = np.unpackbits(frequent.value).astype(bool)
         schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("sizes", pa.binary())])
         for batch in batches:
             keys, docs, rows = [], [], []
             for ids, grams, owner, bounds in _set_rows(batch, width):
-                key, of = _block_rows(grams, owner, bounds, classes)
+                key, of = _block_rows(grams, owner, bounds, classes, often)
                 keys.append(key)
                 docs.append(ids[of])
                 twice = [blocks.grouped_sums(blocks.mix(grams ^ s), owner, len(ids)) for s in blocks.SALTS[50:52]]
@@ -287,8 +363,9 @@ def linked_documents(
     parts = partitions(spark)
     buckets = max(buckets, 4 * parts)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    often = spark.sparkContext.broadcast(frequent_buckets(docs, width))
     found = staged(
-        docs.mapInArrow(_candidates(width, threshold, buckets), _PACKED)
+        docs.mapInArrow(_candidates(width, threshold, buckets, often), _PACKED)
         .repartition(parts, "bucket")
         .mapInArrow(_meet, _FOUND),
         "ngram-candidates",
