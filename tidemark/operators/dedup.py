@@ -18,12 +18,13 @@ def latest_per_key(
 
     ``row_number() = 1`` is planned as a WindowGroupLimit before and after the
     exchange: every map task sends at most one row per key, so neither a hot key
-    nor a thousand copies of one row travel.  All columns are used as last
-    tie-breakers, so equal input gives an equal result on any layout.
+    nor a thousand copies of one row travel.  A hash of the other columns is the last
+    tie-breaker: one number is sorted, and equal input gives an equal result on any layout.
     """
     order = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in newest_first]
     named = {c for c in newest_first if isinstance(c, str)} | set(keys)
-    order += [F.col(f"`{c}`").desc_nulls_last() for c in df.columns if c not in named]
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in named]
+    order += [F.xxhash64(*rest).desc()] if rest else []
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 

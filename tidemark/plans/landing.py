@@ -16,7 +16,7 @@ from tidemark.operators.runs import watermarks
 from tidemark.plans import inputs
 from tidemark.plans.inputs import sampled, table, with_sql
 from tidemark.plans.registry import query
-from tidemark.session import staged, work_path
+from tidemark.session import remove_folder, staged, work_path
 from tidemark.sinks import catalog, tables
 from tidemark.sinks.daily_feed import land_day
 from tidemark.sinks.run_log import RunLog
@@ -240,16 +240,19 @@ WHERE dt <> DATE '{PRUNED_DAY}' GROUP BY 1"""
 )
 def dropped_partition(spark, sf_dir):
     """Rows per date of a catalog table after one date was dropped."""
-    name = f"feed_{uuid.uuid4().hex}"
+    name, path = f"feed_{uuid.uuid4().hex}", work_path(spark, "catalog")
     (
         tables.sized(_landed(spark, sf_dir), "dt")
         .write.partitionBy("dt")
-        .option("path", work_path(spark, "catalog"))
+        .option("path", path)
         .format("parquet")
         .saveAsTable(name)
     )
     catalog.drop_partitions(spark, [name], PRUNED_DAY)
-    return rows_per_date(spark.table(name), name).drop("table_name")
+    left = staged(rows_per_date(spark.table(name), name).drop("table_name"), "dropped-partition")
+    spark.sql(f"DROP TABLE {name}")
+    remove_folder(spark, path)
+    return left
 
 
 @query(
