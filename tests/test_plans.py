@@ -35,7 +35,8 @@ def test_no_query_forms_all_pairs_or_calls_python(name, spark, sf_dir, plan):
 # Their single partition holds one partial row per map task, or a top three.
 GLOBAL_AGGREGATES = {
     "table_row_counts", "null_rate", "allowed_values", "pk_violations", "relation_checks",
-    "config_cross_values", "drift_events", "drift_history",
+    "config_cross_values", "drift_events", "drift_history", "given_null_rates",
+    "business_relations",
 }
 
 
@@ -57,3 +58,9 @@ def test_terms_are_computed_before_the_explode(spark, sf_dir, plan):
 def test_running_balance_counts_before_it_shuffles(spark, sf_dir, plan):
     text = plan(QUERIES["running_outstanding"](spark, sf_dir))
     assert text.count("HashAggregate") == 2
+
+
+def test_window_is_applied_before_loads_are_counted(spark, sf_dir, plan):
+    text = plan(QUERIES["load_outcomes"](spark, sf_dir))
+    counted = text[text.index("partial_count"):]
+    assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(ts,2024-01-10", counted)
