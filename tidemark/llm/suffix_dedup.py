@@ -72,7 +72,8 @@ def stretches(data: np.ndarray, offsets: np.ndarray):
     sums = _sums(data)
     _, down = blocks.powers(n + 1)
     grams = blocks.mix((sums[GRAM:] - sums[:-GRAM]) * down[: n - GRAM + 1])
-    bits = np.uint64(n.bit_length())
+    # as many bits of the hash decide in every chunk, or equal windows could differ in anchors
+    bits = np.uint64(max(24, n.bit_length()))
     least = (grams >> bits << bits) | np.arange(len(grams), dtype=np.uint64)
     span, width = 1, MATCH - GRAM + 1
     while 2 * span <= width:
