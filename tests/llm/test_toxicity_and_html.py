@@ -42,6 +42,30 @@ def test_without_labels(spark, frame):
     assert tx.scored(frame([]), tx.fit(docs, none)).count() == 0
 
 
+def test_rare_expressions_keep_their_counts(spark, frame):
+    # "zoékel" is in 4 texts: far below a share of 1e-5 of the 600,000 words of its class
+    other = lambda k: "".join(chr(97 + k // 26**j % 26) for j in range(4))
+    rows = [(" ".join(other(i * 2000 + j) for j in range(2000)) + (" zoékel" if i in (0, 2, 4, 6) else ""), (i + 1) % 2) for i in range(600)]
+    model = tx.fit_counts(spark.createDataFrame(rows, "text string, toxic int").repartition(3))
+    words = spark.createDataFrame([("zoékel", 1), ("zoékim", 1)], "word string, n long")
+    found = {r.word: r.value for r in tx.evidence(words, model).collect()}
+    assert found["zoékel"] > found["zoékim"] and found["zoékel"] * tx.UNIT > 1
+    assert model.steps.filter("node = 'zoékel'").count() == 1
+
+
+def test_calibration_fold_counts_beyond_the_chosen_texts(spark, frame, monkeypatch):
+    rows, labels = corpus()
+    docs, marks = frame(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    calibration = {r.doc_id for r in docs.filter(tx.fold() == tx.CALIBRATION_FOLD).collect()}
+    seen = []
+    whole = tx.fit_counts
+    monkeypatch.setattr(tx, "CALIBRATION_ROWS", 40)
+    monkeypatch.setattr(tx, "fit_counts", lambda r: seen.append(r.count()) or whole(r))
+    tx.fit(docs, marks)
+    held = docs.filter(tx.fold() == 0).count()
+    assert seen == [len(rows) - held - 40] and len(calibration) > 100
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="home">
 <header><h1>Site</h1></header><div id="cookie-notice">We use cookies</div><div class="wrap">
 <div class="links"><a href=1>One page</a> <a href=2>Two pages</a> <a href=3>Three</a></div>
