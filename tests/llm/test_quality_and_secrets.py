@@ -42,6 +42,20 @@ def test_rules_are_learned_and_ordered(spark):
     assert not any(out[i].kept for i in out if i % 3 == 0)
 
 
+def test_rare_kinds_get_rules_of_their_own(spark):
+    # a fifth has symbols, 2% have marks: below the 32nd of 33 quantiles over all rows
+    def row(i):
+        kind = "symbols" if i % 5 == 0 else "marks" if i % 50 == 1 else ""
+        counts = (100, 500 + i % 7, 60 if kind == "symbols" else i % 3, 0, 0, 80, 10, 5, 9 if kind == "marks" else 0)
+        return (i, *counts, int(not kind))
+
+    names = "n_words word_chars n_symbols n_dup_lines n_repeat_words n_distinct n_lines n_capitals n_marks".split()
+    rows = [row(i) for i in range(3000)]
+    labelled = spark.createDataFrame(rows, ", ".join(f"{k} long" for k in ["doc_id", *names, "quality"]))
+    found = labelled.withColumn("rule", qr.decision_list(qr.learn(labelled))).collect()
+    assert all((r.rule is not None) == (r.quality == 0) for r in found)
+
+
 def test_without_labels_only_the_base_judges(spark, frame, plan):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     df = qr.judged(frame(ODD), labels)

@@ -23,8 +23,7 @@ from tidemark.session import staged
 
 MIN_WORDS = 50
 SYMBOLS = "[#*$%&|<>]"
-CUTS = 32  # quantiles per statistic; thresholds lie half-way between them
-MAX_RULES = 10
+CUTS = 32  # steps between quantiles of a statistic; thresholds lie half-way between them
 MAX_CONDITIONS = 3
 PRECISION = 0.95  # rejected share among the pruning rows that a rule covers
 SUPPORT = 5  # rejected pruning rows that a rule covers at least
@@ -132,78 +131,132 @@ def _gain(p: int, n: int, p0: int, n0: int) -> float:
     return p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0)))
 
 
-def _best_condition(rows: DataFrame, cuts: dict[str, list[float]]) -> tuple[Condition, int, int] | None:
-    """The condition of the highest gain, from counts by statistic and threshold."""
+@dataclass(frozen=True)
+class Candidate:
+    """A condition with what it covers of the growing and of the pruning rows."""
+
+    gain: float
+    condition: Condition
+    grown: tuple[int, int]
+    pruned: tuple[int, int]
+
+
+def _candidates(rows: DataFrame, cuts: dict[str, list[float]]) -> list[Candidate]:
+    """Conditions by falling gain, from counts by statistic and threshold."""
     found = (
-        rows.select(F.posexplode("bins").alias("k", "bin"), "bad")
-        .groupBy("k", "bin")
+        rows.select(F.posexplode("bins").alias("k", "bin"), "bad", "prune")
+        .groupBy("k", "bin", "prune")
         .agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n"))
         .collect()
     )
-    best = None
+    out = []
     for k, (name, edges) in enumerate(cuts.items()):
-        own = {r["bin"]: (r["p"], r["n"]) for r in found if r["k"] == k}
-        p0, n0 = (sum(x[j] for x in own.values()) for j in (0, 1))
-        if not p0 or not n0:
+        own = [[[0, 0] for _ in range(len(edges) + 1)] for _ in range(2)]
+        for r in found:
+            if r["k"] == k:
+                own[r["prune"]][r["bin"]] = [r["p"], r["n"]]
+        all_of = [tuple(sum(x[j] for x in part) for j in (0, 1)) for part in own]
+        if not all(all_of[0]):
             continue
-        p = n = 0
+        below = [(0, 0), (0, 0)]
         for j, cut in enumerate(edges):
-            p, n = p + own.get(j, (0, 0))[0], n + own.get(j, (0, 0))[1]
-            for above, a, b in ((False, p, n), (True, p0 - p, n0 - n)):
-                gain = _gain(a, b, p0, n0)
-                if gain > 1e-9 and (best is None or gain > best[0]):
-                    best = (gain, Condition(name, above, cut), a, b)
-    return best and best[1:]
+            below = [(x[0] + part[j][0], x[1] + part[j][1]) for x, part in zip(below, own, strict=True)]
+            over = [(a[0] - x[0], a[1] - x[1]) for a, x in zip(all_of, below, strict=True)]
+            for above, covered in ((False, below), (True, over)):
+                gain = _gain(*covered[0], *all_of[0])
+                if gain > 1e-9:
+                    out.append(Candidate(gain, Condition(name, above, cut), *covered))
+    return sorted(out, key=lambda c: -c.gain)
 
 
-def learn(labelled: DataFrame) -> list[Rule]:
-    """An ordered list of rules for the rejected rows of ``labelled``.
+def _cuts(rows: DataFrame) -> dict[str, list[float]]:
+    """Thresholds by statistic, half-way between neighbouring quantiles.
 
-    ``labelled`` has the columns of ``counts`` and ``quality`` (0: rejected).  Rows of the
-    held-out fold take no part; one fold prunes, the others grow.  Without rejected or
-    without accepted rows the list is empty.
+    Quantiles, the least and the largest value are those of the rejected and of the
+    accepted growing rows, of all values and of those that are not 0.
     """
-    values = statistics()
-    rows = labelled.filter((fold() != 0) & F.col("quality").isin(0, 1)).select(
-        "*", (1 - F.col("quality")).cast("int").alias("bad"), (fold() == PRUNE_FOLD).alias("prune")
-    )
-    quantiles = [(i + 1) / (CUTS + 1) for i in range(CUTS)]
-    edges = rows.agg(
-        *[F.percentile_approx(v, quantiles, 10_000).alias(k) for k, v in values.items()]
-    ).first()
-    seen = {k: sorted(set(edges[k] or [])) for k in values}
-    cuts = {k: [(a + b) / 2 for a, b in zip(v, v[1:], strict=False)] for k, v in seen.items()}
+    quantiles = [i / CUTS for i in range(CUTS + 1)]
+    kinds = [(F.col("bad") == bad, some) for bad in (0, 1) for some in (False, True)]
+    wanted = [
+        F.percentile_approx(F.when(kind & (v != 0 if some else F.lit(True)), v), quantiles, 10_000).alias(f"{k}_{j}")
+        for k, v in statistics().items()
+        for j, (kind, some) in enumerate(kinds)
+    ]
+    found = rows.filter(~F.col("prune")).agg(*wanted).first()
+    out = {}
+    for k in statistics():
+        values = sorted({x for j in range(len(kinds)) for x in found[f"{k}_{j}"] or []})
+        out[k] = [(a + b) / 2 for a, b in zip(values, values[1:], strict=False)]
+    return out
+
 
+def _binned(rows: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
     def below(value: Column, own: list[float]) -> Column:
         if not own:
             return F.lit(0)
         return F.size(F.filter(F.array(*map(F.lit, own)), lambda c: c < value))
 
-    bins = [below(v, cuts[k]) for k, v in values.items()]
-    rows = staged(rows.withColumn("bins", F.array(*bins)), "quality-statistics")
-    rules: list[Rule] = []
-    for _ in range(MAX_RULES):
-        rule: Rule = ()
-        while len(rule) < MAX_CONDITIONS:
-            step = _best_condition(rows.filter(~F.col("prune") & holds(rule)), cuts)
-            if step is None:
-                break
-            rule += (step[0],)
-            if step[2] == 0:
-                break
-        if not rule:
-            break
-        fronts = [rule[: k + 1] for k in range(len(rule))]
-        seen = (
-            rows.filter("prune")
-            .agg(*[F.sum(F.when(holds(x), v).otherwise(0)).alias(f"{s}{k}") for k, x in enumerate(fronts) for s, v in (("p", F.col("bad")), ("n", 1 - F.col("bad")))])
-            .first()
-        )
-        scored = [((seen[f"p{k}"] or 0), (seen[f"n{k}"] or 0), x) for k, x in enumerate(fronts)]
-        good = [(p, x) for p, n, x in scored if p >= SUPPORT and p >= PRECISION * (p + n)]
-        if not good:
+    return rows.withColumn("bins", F.array(*[below(v, cuts[k]) for k, v in statistics().items()]))
+
+
+def _passes(p: int, n: int) -> bool:
+    return p >= SUPPORT and p >= PRECISION * (p + n)
+
+
+def _grown(rows: DataFrame, cuts: dict[str, list[float]], first: Candidate) -> Rule | None:
+    """The rule that begins with a condition, grown and pruned; None if no front of it passes."""
+    rule: Rule = (first.condition,)
+    negatives = first.grown[1]
+    while negatives and len(rule) < MAX_CONDITIONS:
+        step = next(iter(_candidates(rows.filter(~F.col("prune") & holds(rule)), cuts)), None)
+        if step is None:
             break
-        rule = max(good, key=lambda g: (g[0], -len(g[1])))[1]
+        rule, negatives = (*rule, step.condition), step.grown[1]
+    fronts = [rule[: k + 1] for k in range(len(rule))]
+    sums = [
+        F.sum(F.when(holds(x), v).otherwise(0)).alias(f"{s}{k}")
+        for k, x in enumerate(fronts)
+        for s, v in (("p", F.col("bad")), ("n", 1 - F.col("bad")))
+    ]
+    seen = rows.filter("prune").agg(*sums).first()
+    scored = [((seen[f"p{k}"] or 0), (seen[f"n{k}"] or 0), x) for k, x in enumerate(fronts)]
+    good = [(p, x) for p, n, x in scored if _passes(p, n)]
+    return max(good, key=lambda g: (g[0], -len(g[1])))[1] if good else None
+
+
+def _next_rule(rows: DataFrame) -> Rule | None:
+    """A rule for the rows that are left.
+
+    The best first condition of each statistic and direction is tried by falling gain;
+    if none grows into a rule that passes, so is every single condition.
+    """
+    cuts = _cuts(rows)
+    rows = staged(_binned(rows, cuts), "quality-bins")
+    candidates = _candidates(rows, cuts)
+    firsts: dict[tuple[str, bool], Candidate] = {}
+    for c in candidates:
+        firsts.setdefault((c.condition.statistic, c.condition.above), c)
+    for first in firsts.values():
+        if rule := _grown(rows, cuts, first):
+            return rule
+    single = [c for c in candidates if _passes(*c.pruned) and _passes(*c.grown)]
+    return (max(single, key=lambda c: c.pruned[0]).condition,) if single else None
+
+
+def learn(labelled: DataFrame) -> list[Rule]:
+    """An ordered list of rules for the rejected rows of ``labelled``.
+
+    ``labelled`` has the columns of ``counts`` and ``quality`` (0: rejected).  Rows of the
+    held-out fold take no part; one fold prunes, the others grow.  Rules are added until
+    none passes; each covers ``SUPPORT`` rejected pruning rows or more, so that the list
+    ends.  Without rejected or without accepted rows it is empty.
+    """
+    rows = labelled.filter((fold() != 0) & F.col("quality").isin(0, 1)).select(
+        "*", (1 - F.col("quality")).cast("int").alias("bad"), (fold() == PRUNE_FOLD).alias("prune")
+    )
+    rows = staged(rows, "quality-statistics")
+    rules: list[Rule] = []
+    while rule := _next_rule(rows):
         rules.append(rule)
         rows = rows.filter(~holds(rule))
     return rules
