@@ -93,6 +93,21 @@ def test_pages(spark):
     assert ht.main_texts(df.limit(0)).count() == 0
 
 
+def test_a_host_of_two_templates(spark):
+    teaser, story = "a short teaser", "long text of the story " * 20
+    one = f"<body><nav>{'menu of the site ' * 10}</nav><article><p>{story}</article></body>"
+    two = f"<body><article><p>{teaser}</article><div class=story><p>{story}</div></body>"
+    three = "<body>" + f"<article><p>{story}</article>" * 3 + "</body>"
+    rows = [(i, f"http://h.example/{i}", one) for i in range(9)] + [(10, "http://h.example/x", two), (11, "http://h.example/y", three)]
+    # without a host: nothing in common
+    rows += [(20 + i, None if i % 2 else "no address", one) for i in range(4)] + [(30, None, two)]
+    out = {r.page_id: r for r in ht.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(out) == len(rows) and out[0].path == "/body/article"
+    for k in (10, 30):
+        assert story.strip() in out[k].text and out[k].path != "/body/article"
+    assert out[11].text.count(story.strip()) == 3 and out[11].path == "/body/article"
+
+
 def test_given_pages(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     out = ht.main_texts(pages).collect()

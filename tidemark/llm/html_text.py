@@ -3,8 +3,8 @@
 Pages of a host share templates.  Each page scores its containers by the running text
 below them against links and boilerplate, and votes for their generalised paths (tags
 and classes from the body down, digits masked).  Spark adds the votes per host, and all
-pages are extracted anew from the container with the winning path; a page without it
-falls back on its own best container.
+pages are extracted anew from the container with the winning path; a page on which it
+holds little falls back on its own best container, as does a page without a host.
 """
 
 from __future__ import annotations
@@ -54,6 +54,7 @@ _PARTS = re.compile(r"[^a-z]+")
 _DIGITS = re.compile(r"\d+")
 MENU_LINKS = 3  # links that make a list a menu, if nearly all its text is in them
 MENU_SHARE = 0.8
+SHARE = 0.5  # of the best score of a page, from which a path is voted for and taken
 
 
 @dataclass
@@ -161,8 +162,8 @@ def _mark_menus(page: Page) -> None:
         page.skipped[k] |= page.skipped[page.parents[k]] or (menu and linked[k] >= MENU_SHARE * size[k] > 0)
 
 
-def scores(page: Page) -> dict[str, float]:
-    """Running text less links and boilerplate below each path, best of equal paths."""
+def _values(page: Page) -> list[float]:
+    """Running text less links and boilerplate below each container; 0 for boilerplate."""
     total = [0.0] * len(page.parents)
     for where, block, linked in page.blocks:
         bad = page.skipped[where]
@@ -170,10 +171,15 @@ def scores(page: Page) -> dict[str, float]:
         while where >= 0:
             total[where] += value
             where = page.parents[where]
+    return [0.0 if skipped else max(0.0, value) for value, skipped in zip(total, page.skipped, strict=True)]
+
+
+def scores(page: Page) -> dict[str, float]:
+    """Running text less links and boilerplate below each path, best of equal paths."""
     out: dict[str, float] = {}
-    for k, value in enumerate(total):
-        if not page.skipped[k] and value > 0:
-            out[page.paths[k]] = max(value, out.get(page.paths[k], 0.0))
+    for path, value in zip(page.paths, _values(page), strict=True):
+        if value > 0:
+            out[path] = max(value, out.get(path, 0.0))
     return out
 
 
@@ -191,11 +197,18 @@ def extract(page: Page, path: str | None) -> str:
 
 
 def text_of(source: str | None, consensus: str | None) -> tuple[str, str]:
-    """``text, path`` by the host's path, or the page's own where that gives nothing."""
+    """``text, path`` by the host's path where it has a large share of the page's text.
+
+    All containers with the host's path together must have ``SHARE`` of the score of the
+    page's own best path, which is taken otherwise.
+    """
     page = parse(source or "")
-    if consensus is not None and (text := extract(page, consensus)):
-        return text, consensus
-    own = best_path(scores(page))
+    found = scores(page)
+    own = best_path(found)
+    if consensus is not None:
+        here = sum(v for p, v in zip(page.paths, _values(page), strict=True) if p == consensus)
+        if here >= SHARE * found.get(own, 0.0) and (text := extract(page, consensus)):
+            return text, consensus
     return (extract(page, own), own) if own is not None else ("", "")
 
 
@@ -212,7 +225,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = scores(parse(source or ""))
             top = max(found.values(), default=0.0)
             for path, value in found.items():
-                if 2 * value >= top:
+                if value >= SHARE * top:
                     vote = votes[host, path]
                     vote[0] += value / top
                     vote[1] += 1
@@ -232,6 +245,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
     """``host, path``: the winning path of each host, the deepest of equal ones."""
     votes = (
         pages.select(_host().alias("host"), "html")
+        .filter("host != ''")
         .mapInArrow(_votes, "host string, path string, vote double, pages long")
         .groupBy("host", "path")
         .agg(F.round(F.sum("vote"), 6).alias("vote"))
@@ -260,8 +274,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars, path`` for every row of ``pages``.
 
     ``pages`` needs ``page_id``, ``url`` and ``html``; other columns are not read.  A null or
-    empty page gives an empty text; pages with a null or malformed address share the
-    host ''.  Repeated pages are extracted alike.  An empty table gives no rows.
+    empty page gives an empty text; pages with a null or malformed address have no host
+    and no consensus.  Repeated pages are extracted alike.  An empty table gives no rows.
     """
     winners = broadcast_if_small(staged(host_paths(pages), "host-paths"))
     rows = pages.select("page_id", "url", "html", _host().alias("host"))
