@@ -1,5 +1,7 @@
 """Language ID: held-out accuracy and odd texts."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from tidemark.llm import language_id as li
@@ -47,3 +49,26 @@ def test_accepted_keeps_rows_whole(learned, frame):
     df = frame([(1, TEXT, 7, 0.5), (2, None, 8, 0.5)], ", margin int, score double")
     kept = li.accepted(df, learned[1])
     assert kept.schema == df.schema and [tuple(r) for r in kept.collect()] == [(1, TEXT, 7, 0.5)]
+
+
+def test_long_texts_without_a_clear_language(learned, frame):
+    docs, model = learned
+    rng = random.Random(3)
+    noise = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(100_000))
+    held = {r.lang: r.t for r in docs.filter(li.fold() == 0).groupBy("lang").agg(F.array_join(F.sort_array(F.collect_list("text")), " ").alias("t")).collect()}
+    langs = sorted(k for k in held if k)
+    size = min(len(held[k]) for k in langs)
+    rows = [(0, noise)] + [(k + 1, held[lang][:size]) for k, lang in enumerate(langs)]
+    out = {r.doc_id: r for r in li.predict(frame(rows), model).collect()}
+    assert not out[0].accepted and out[0].margin >= li.NARROW
+    assert all(out[k + 1].accepted and out[k + 1].lang_pred == lang for k, lang in enumerate(langs))
+    # a language that was not learned
+    less = li.fit(docs.filter("lang != 'fr'"))
+    found = li.predict(frame([(1, held["fr"])]), less).first()
+    assert found.margin >= li.NARROW and not found.accepted
+
+
+def test_clean_texts_stay(learned):
+    docs, model = learned
+    found = li.predict(docs, model)
+    assert model.narrow > 0.01 and found.filter("margin > 0 and not accepted").count() == 0

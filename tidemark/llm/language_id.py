@@ -32,7 +32,9 @@ SEARCH = dict(
 # a few words need the best parse, or their code lengths tie
 SHORT = 256
 SHORT_SEARCH = SEARCH | dict(search_log=6, strategy=zstandard.STRATEGY_BTULTRA2)
-NARROW = 1  # bytes between the best and the second language that are too few
+NARROW = 1  # bytes that the best language must lead by, however short a text is
+TRIED = 1024  # sampled texts on which the least lead in proportion to the size is chosen
+CLEAN = 0.005  # quantile of their leads, of which half must be reached
 
 # ASCII other than letters is a blank; bytes of other characters stay
 _PLAIN = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -48,6 +50,11 @@ class Model:
     """Raw-content dictionaries by language, the most frequent language first."""
 
     dictionaries: dict[str, bytes]
+    narrow: float = 0.0  # least lead as a share of the best language's compressed size
+
+    def clear(self, lang: str, margin: int, best: int) -> bool:
+        """Whether a text of that language, lead and size is accepted."""
+        return lang != UNDETERMINED and margin >= max(NARROW, self.narrow * best)
 
     def compressors(self) -> list[tuple[str, zstandard.ZstdCompressor, zstandard.ZstdCompressor]]:
         """Language, compressor of blocks and compressor of short texts."""
@@ -67,7 +74,8 @@ def fit(docs: DataFrame) -> Model:
     """Dictionaries from labelled rows outside the held-out fold.
 
     A bounded sample: ``SAMPLE_DOCUMENTS`` per language, those with the smallest hashes
-    of their ids, and ``SAMPLE_CHARS`` of each.  Null texts and null labels are skipped.
+    of their ids, and ``SAMPLE_CHARS`` of each.  A quarter of it, against dictionaries of
+    the rest, shows by how much clean texts lead.  Null texts and null labels are skipped.
     """
     labelled = docs.filter((fold() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
@@ -92,25 +100,54 @@ def fit(docs: DataFrame) -> Model:
     for row in sorted(rows, key=lambda r: (r.lang, r.place, r.text)):
         found.setdefault(row.lang, []).append(normalised(row.text))
     order = sorted(found, key=lambda lang: (-counts[lang], lang))
-    dictionaries = {lang: b" ".join(found[lang])[-DICTIONARY_BYTES:] for lang in order}
-    return Model({k: v for k, v in dictionaries.items() if len(v) >= 8})
+    return Model(_dictionaries({k: found[k] for k in order}), _least_lead({k: found[k] for k in order}))
 
 
-def classify(text: str | None, compressors) -> tuple[str, float, int]:
-    """``language, score, margin`` of one text; the margin is in compressed bytes."""
-    if not text or not compressors or not any(map(str.isalpha, text)):
-        return UNDETERMINED, 0.0, 0
-    plain = normalised(text)
+def _dictionaries(texts: dict[str, list[bytes]]) -> dict[str, bytes]:
+    joined = {lang: b" ".join(own)[-DICTIONARY_BYTES:] for lang, own in texts.items()}
+    return {k: v for k, v in joined.items() if len(v) >= 8}
+
+
+def _least_lead(texts: dict[str, list[bytes]]) -> float:
+    """Half the ``CLEAN`` quantile of margin by size, of texts that are rightly identified."""
+    known = _dictionaries({lang: [x for k, x in enumerate(own) if k % 4] for lang, own in texts.items()})
+    if len(known) < 2:
+        return 0.0
+    compressors, names = Model(known).compressors(), list(known)
+    leads = []
+    for lang in names:
+        for plain in texts[lang][::4][: max(1, TRIED // len(names))]:
+            sizes = _sizes(plain, compressors)
+            best, second = np.partition(sizes, 1)[:2]
+            if plain and second > best and names[int(sizes.argmin())] == lang:
+                leads.append((second - best) / best)
+    return float(np.quantile(leads, CLEAN)) / 2 if leads else 0.0
+
+
+def _sizes(plain: bytes, compressors) -> np.ndarray:
+    """Compressed bytes of a normalised text by language."""
     sizes = np.zeros(len(compressors), np.int64)
     for at in range(0, len(plain), BLOCK):
         block = plain[at : at + BLOCK]
         for k, (_, usual, thorough) in enumerate(compressors):
             sizes[k] += len((thorough if len(plain) <= SHORT else usual).compress(block))
+    return sizes
+
+
+def classify(text: str | None, compressors) -> tuple[str, float, int, int]:
+    """``language, score, margin, size`` of one text; the last two in compressed bytes.
+
+    A text no longer than the excerpts that the least lead was chosen on has the size 0.
+    """
+    if not text or not compressors or not any(map(str.isalpha, text)):
+        return UNDETERMINED, 0.0, 0, 0
+    plain = normalised(text)
+    sizes = _sizes(plain, compressors)
     best = int(sizes.argmin())
     rest = np.delete(sizes, best)
     margin = int(rest.min() - sizes[best]) if len(rest) else int(sizes[best])
     score = 1.0 / float(np.exp2(-np.minimum(sizes - sizes[best], 60.0)).sum())
-    return compressors[best][0], score, margin
+    return compressors[best][0], score, margin, int(sizes[best]) if len(plain) > SAMPLE_CHARS else 0
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -119,16 +156,16 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     ``docs`` needs ``doc_id`` and ``text``; other columns are not read.  A text that is
     null or has no letter is ``und`` with score 0 and is not accepted; so is every text
     if no language was learned.  ``score`` weighs the code lengths: one over the sum of
-    ``2 ** -(bytes more than the best)``.  A text whose two best languages are closer
-    than ``NARROW`` bytes keeps its prediction but is not accepted.
+    ``2 ** -(bytes more than the best)``.  A text whose best language leads
+    by less than the model asks for its size keeps its prediction but is not accepted.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = model.compressors()
         for batch in batches:
             found = [classify(text, compressors) for text in batch.column(2).to_pylist()]
-            lang, score, margin = (list(x) for x in zip(*found, strict=True)) if found else ([], [], [])
-            accepted = [m >= NARROW and x != UNDETERMINED for x, m in zip(lang, margin, strict=True)]
+            lang, score, margin, _ = (list(x) for x in zip(*found, strict=True)) if found else ([], [], [], [])
+            accepted = [model.clear(x, m, size) for x, _, m, size in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -154,7 +191,7 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             found = [classify(text, compressors) for text in texts]
-            keep = pa.array([m >= NARROW and lang != UNDETERMINED for lang, _, m in found], pa.bool_())
+            keep = pa.array([model.clear(x, m, size) for x, _, m, size in found], pa.bool_())
             yield batch.filter(keep)
 
     return docs.mapInArrow(run, docs.schema)
