@@ -246,6 +246,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not keys:
         return
     keys, docs = np.concatenate(keys), np.concatenate(docs)
+    if not len(keys):
+        return
     order = np.argsort(keys)
     keys, docs = keys[order], docs[order]
     same = keys[1:] == keys[:-1]
