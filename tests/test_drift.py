@@ -40,7 +40,7 @@ def test_quarantine_keeps_every_row(spark, target, rows):
         spark.createDataFrame([("1", "a"), ("x", None)], "k string, v string"), target, drift.QUARANTINE
     )
     assert outcome.accepted is None
-    assert rows(outcome.quarantined, "payload") == [('{"k":"1","v":"a"}',), ('{"k":"x"}',)]
+    assert rows(outcome.quarantined, "payload") == [('{"k":"1","v":"a"}',), ('{"k":"x","v":null}',)]
 
 
 def test_log_rows(spark, target):

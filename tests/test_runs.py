@@ -67,6 +67,18 @@ def test_upstream_ready(spark):
     assert ready == {1: True, 2: True, 3: False, 4: False}
 
 
+def test_an_unreadable_upstream_is_never_ready(spark):
+    config = spark.createDataFrame(
+        [(1, "SILVER", "9,x"), (2, "SILVER", "x"), (3, "SILVER", "9,,"), (4, "SILVER", "")],
+        "table_id bigint, process_type string, depends_on_table_ids string",
+    )
+    log = spark.createDataFrame(
+        [(9, dt.date(2024, 1, 1), "SUCCESS")], "table_id bigint, run_dt date, status string"
+    )
+    got = {r.table_id: (r.upstreams, r.is_ready) for r in runs.upstream_ready(config, log, "2024-01-01").collect()}
+    assert got == {1: (2, False), 2: (1, False), 3: (1, True), 4: (0, True)}
+
+
 def test_backfill_limits():
     with pytest.raises(ValueError, match="limit of 30"):
         runs.backfill_dates("2024-01-01", "2024-01-31")

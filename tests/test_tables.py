@@ -89,6 +89,21 @@ def test_upsert_touches_only_its_dates(spark, tmp_path, feed, rows):
     assert tables.upsert_partitions(spark, changes.where("false"), path, ["k"]) == []
 
 
+def test_upsert_moves_a_key_to_another_date(spark, tmp_path, feed, rows):
+    path = str(tmp_path / "t")
+    tables.full_refresh(feed, path, ["dt"])
+    moved = spark.createDataFrame([(1, "moved", day(2), 9), (4, "d2", day(3), 9)], SCHEMA)
+    assert tables.upsert_partitions(spark, moved, path, ["k"]) == [day(1), day(2), day(3)]
+    table = landing.read_partitioned(spark, path)
+    assert rows(table, "k", "v", "dt") == [
+        (1, "moved", day(2)), (2, "b", day(1)), (3, "c", day(1)), (4, "d2", day(3))
+    ]
+    back = spark.createDataFrame([(1, "back", day(1), 9)], SCHEMA)
+    assert tables.upsert_partitions(spark, back, path, ["k"]) == [day(1), day(2)]
+    assert rows(landing.read_partitioned(spark, path), "k", "dt")[0] == (1, day(1))
+    assert not (tmp_path / "t" / "dt=2024-01-02").exists()
+
+
 def test_rewrite_and_compact(spark, tmp_path, feed, rows):
     path = str(tmp_path / "t")
     feed.repartition(4).write.partitionBy("dt").parquet(path)

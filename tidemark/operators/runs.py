@@ -113,9 +113,11 @@ def load_plan(table_config: DataFrame, process_config: DataFrame) -> DataFrame:
 def upstream_ready(process_config: DataFrame, log: DataFrame, run_dt: str) -> DataFrame:
     """``table_id, process_type, upstreams, ready_upstreams, is_ready`` for a business date.
 
-    ``depends_on_table_ids`` is a comma list; no list means ready.  The finished
-    tables of one date are broadcast if they measure small, so that a table
-    everyone depends on does not become one large join group.
+    ``depends_on_table_ids`` is a comma list; no list means ready.  A part that is not
+    a number names no table that could finish, so it counts as an upstream that is never
+    ready; empty parts ("1,,2") name nothing.  The finished tables of one date are
+    broadcast if they measure small, so that a table everyone depends on does not become
+    one large join group.
     """
     done = (
         log.where((F.col("run_dt") == F.lit(run_dt).cast("date")) & (F.col("status") == "SUCCESS"))
@@ -127,12 +129,17 @@ def upstream_ready(process_config: DataFrame, log: DataFrame, run_dt: str) -> Da
         "table_id",
         "process_type",
         F.explode_outer(F.split("depends_on_table_ids", ",")).alias("part"),
-    ).select("table_id", "process_type", F.trim("part").try_cast("bigint").alias("upstream"))
+    ).select(
+        "table_id",
+        "process_type",
+        (F.trim("part") != "").alias("named"),
+        F.trim("part").try_cast("bigint").alias("upstream"),
+    )
     return (
         needs.join(done, "upstream", "left")
         .groupBy("table_id", "process_type")
         .agg(
-            F.count("upstream").alias("upstreams"),
+            F.count_if("named").alias("upstreams"),
             F.count("done").alias("ready_upstreams"),
         )
         .withColumn("is_ready", F.col("upstreams") == F.col("ready_upstreams"))

@@ -184,7 +184,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER B
 def silver_dedup_latest(spark, sf_dir):
     """The newest lineitem of every order and line number."""
     newest = latest_per_key(
-        table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"]
+        table(spark, sf_dir, "lineitem"),
+        ["l_orderkey", "l_linenumber"],
+        ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+         "l_tax", "l_returnflag", "l_linestatus"],
     )
     return newest.withColumn("ship_day", inputs.day("l_shipdate")).drop("l_shipdate")
 

@@ -22,6 +22,7 @@ from tidemark.operators.dedup import upsert
 from tidemark.operators.quality import assert_all
 from tidemark.operators.silver import REASONS
 from tidemark.operators.drift import conform
+from tidemark.operators.joins import broadcast_if_small, matching
 from tidemark.session import remove_folder, work_path
 from tidemark.sources.landing import (
     PATH_TEMPLATE,
@@ -226,9 +227,12 @@ def upsert_partitions(
 ) -> list[date]:
     """Puts ``changes`` into the table by key, rewriting only the dates they touch.
 
-    The changes are computed once, into the work folder, and so is the result, because
-    a job must not overwrite what it reads.  Columns that only one side has are kept
-    and null in the other's rows; a changed type is an error.  Returns the dates.
+    Unless ``by`` is one of the keys, a changed key may have stood at another date: those
+    old places are found by a scan of the keys alone and rewritten too, so that no key
+    stays twice.  A date left without rows is dropped.  The changes are computed once, into
+    the work folder, and so is the result, because a job must not overwrite what it reads.
+    Columns that only one side has are kept and null in the other's rows; a changed type is
+    an error.  Returns the dates that were rewritten.
     """
     incoming, staging = work_path(spark, "changes"), work_path(spark, "upsert")
     schema = _grow_schema(changes, path)
@@ -238,24 +242,40 @@ def upsert_partitions(
     if days:
         merged = conform(changes, schema)
         if table_schema(spark, path) is not None:
+            if by not in keys:
+                days = sorted({*days, *_old_places(spark, changes, path, keys, by, schema)})
             existing = read_partitioned(spark, path, [d.isoformat() for d in days], schema=schema)
             merged = upsert(existing, merged, keys)
-        _copy_through(merged, staging, path, by)
+        written = _copy_through(merged, staging, path, by)
         note_schema(spark, path, schema)
+        emptied = sorted(set(days) - set(touched_dates(written, by)))
+        if emptied:
+            wanted = F.col(by).isin(*[F.lit(d).cast(schema[by].dataType) for d in emptied])
+            _drop_uncovered(spark, path, [by], wanted, written.select(by))
+        remove_folder(spark, staging)
     remove_folder(spark, incoming)
     return days
 
 
-def _copy_through(df: DataFrame, staging: str, path: str, by: str) -> None:
+def _old_places(
+    spark: SparkSession, changes: DataFrame, path: str, keys: Sequence[str], by: str, schema: T.StructType
+) -> list[date]:
+    """The dates at which the table holds keys of ``changes``; reads keys and dates only."""
+    there = read_partitioned(spark, path, schema=schema).select(*keys, by)
+    changed = broadcast_if_small(changes.select(*keys).distinct())
+    return touched_dates(matching(there, changed, keys), by)
+
+
+def _copy_through(df: DataFrame, staging: str, path: str, by: str) -> DataFrame:
     """Writes at the target file size to the work folder, then copies file by file.
 
-    The folder is removed once the copy has committed.
+    Returns the rows as they lie in the work folder, which the caller removes.
     """
     spark = df.sparkSession
     sized(df, by).write.partitionBy(by).parquet(staging)
     staged = spark.read.schema(df.schema).parquet(staging)
     _overwrite_partitions(staged, path, [by])
-    remove_folder(spark, staging)
+    return staged
 
 
 def rewrite_partitions(
