@@ -14,6 +14,7 @@ CONTRACT = {
     "op8": "doc_id piece start length ids_crc32 sequence_id offset",
     "op9": "doc_id n_words n_hit n_items items_sha256 contaminated",
     "op10": "doc_id held_out lang_pred score",
+    "op11": "doc_id size text_crc32 law shard slot grown_shard",
 }
 
 

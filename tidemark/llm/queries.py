@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, html_text, language_id, line_dedup, ngram_join, packing, quality_rules, secret_scan, suffix_dedup, toxicity
+from tidemark.llm import decontamination, html_text, language_id, line_dedup, ngram_join, packing, quality_rules, secret_scan, sharding, suffix_dedup, toxicity
 from tidemark.llm.inputs import ship_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.predict(docs, language_id.fit(docs))
     return found.select("doc_id", "held_out", "lang_pred", F.least(F.lit(1.0), "score").alias("score"), "margin", "accepted")
+
+
+@query()
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size, checksum and place of every document in one of 16 shuffled shards."""
+    return sharding.digests(table(spark, sf_dir, "documents"))
