@@ -15,8 +15,12 @@ CONTRACT = {
     "op9": "doc_id n_words n_hit n_items items_sha256 contaminated",
     "op10": "doc_id held_out lang_pred score",
     "op11": "doc_id size text_crc32 law shard slot grown_shard",
+    "op12": "item_id rank doc_id score",
+    "op13": "vec_id component n deviation whitened explained identity_error",
 }
 
+SOURCE = {"op7": ("pages", "page_id"), "op12": ("benchmark", "item_id"), "op13": ("embeddings", "vec_id")}
+
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(name, spark, sf_dir):
@@ -31,7 +35,6 @@ def test_columns_and_rows(name, spark, sf_dir):
     df = QUERIES[name](spark, sf_dir)
     wanted = CONTRACT.get(name.split("_")[0], "doc_id").split()
     assert set(wanted) <= set(df.columns)
-    source = "pages" if name.startswith("op7") else "documents"
+    source, key = SOURCE.get(name.split("_")[0], ("documents", "doc_id"))
     rows = spark.read.parquet(f"{sf_dir}/{source}.parquet").count()
-    key = "page_id" if source == "pages" else "doc_id"
     assert df.select(key).distinct().count() == rows

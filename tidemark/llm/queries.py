@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, html_text, language_id, line_dedup, ngram_join, packing, quality_rules, secret_scan, sharding, suffix_dedup, toxicity
+from tidemark.llm import decontamination, html_text, language_id, lexical_search, line_dedup, ngram_join, packing, quality_rules, secret_scan, sharding, suffix_dedup, toxicity, whitening
 from tidemark.llm.inputs import ship_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size, checksum and place of every document in one of 16 shuffled shards."""
     return sharding.digests(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector whitened along the 16 leading components of the distinct ones."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query(lexical_search.SQL)
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_search.search(docs, table(spark, sf_dir, "benchmark"))
