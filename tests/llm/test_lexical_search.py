@@ -106,16 +106,18 @@ def test_summaries_bound_their_blocks_and_spare_visits():
     np.maximum.at(largest, part.terms, part.impacts)
     asked.floors = np.zeros(10, np.int64)
     walked = search.walks(asked, largest)
-    listed = {t: set() for t in walked}
-    searcher = search.Searcher(walked, asked.floors, 5)
-    for t, r, d, vectors, summary in search.blocks_of(part, walked):
-        assert len(r) <= search.BLOCK and (vectors <= summary).all()
-        assert not listed[t] & set(r.tolist())
-        listed[t] |= set(r.tolist())
-        owner, place = np.nonzero(vectors)
-        top = np.flatnonzero(summary)
-        searcher.visit(t, r, d, place, np.searchsorted(owner, np.arange(len(r) + 1)), vectors[owner, place], top, summary[top])
-    assert all(len(v) == np.sum(part.terms == t) for t, v in listed.items())
+    searcher = search.Searcher(walked, asked.weights, asked.floors, 5)
+    stored = search.packed(part, walked, size)
+    again, lists = search.unpacked({k: np.frombuffer(v.tobytes(), search._BLOCK_KINDS[k]) for k, v in stored.items()}, walked)
+    assert {b.term for b in lists} == set(walked)
+    for blocks in lists:
+        assert np.diff(blocks.bounds).max() <= search.BLOCK
+        holding = np.unique(part.owners()[part.terms == blocks.term])
+        assert sorted(blocks.members.tolist()) == holding.tolist()
+        vectors = again.matrix(size)[np.ix_(blocks.members, walked[blocks.term].coordinates)]
+        for b, maxima in enumerate(blocks.maxima):
+            assert (vectors[blocks.bounds[b] : blocks.bounds[b + 1]].max(0) == maxima).all()
+    searcher.search(again, lists)
     assert searcher.skipped > 0.4 * (searcher.skipped + searcher.opened)
     weight = np.zeros((10, size), np.int64)
     for j in range(10):

@@ -13,7 +13,8 @@ numbers and the bounds are true ones: the answer is exact.
    impact of each term.  Documents that hold only terms which together stay below the
    opening score can't be among the best; the other lists are the ones that a question walks.
 4. Documents are laid out by range of their rarest terms; stretches of neighbours build
-   the blocks of every list walked, which are stored with their summaries.
+   the blocks of every list walked, which are stored with their summaries next to the
+   documents of the stretch.
 5. Blocks are searched wherever they lie; the best of all tasks are merged.
 
 A list is spread over as many tasks as its documents, so that a word that all documents
@@ -46,9 +47,10 @@ from tidemark.session import staged
 
 TOP = 20
 ITEMS = 2_000
-OPENING_TERMS = 3
+OPENING_TERMS = 10
 BLOCK = 16
 SEGMENT = 4_096  # neighbouring documents whose lists are clustered together
+MATRIX_CELLS = 1 << 24  # documents by terms of a stretch that a task holds at a time
 NO_ID = (1 << 63) - 1
 
 # digits, letters and every byte of a character beyond ASCII; only A-Z become lower case
@@ -167,6 +169,12 @@ class Stretch:
         there, starts = np.unique(self.terms[order], return_index=True)
         return there, np.append(starts, len(order)), order
 
+    def matrix(self, size: int) -> np.ndarray:
+        """All impacts, documents by terms; ``stretch_rows`` keeps it small."""
+        matrix = np.zeros((len(self.rows), size), np.int32)
+        matrix[self.owners(), self.terms] = self.impacts
+        return matrix
+
     def owners(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.rows)), np.diff(self.bounds))
 
@@ -224,17 +232,15 @@ def _opening(asked: Questions, documents: int, length: int, top: int):
             np.maximum.at(largest, part.terms, part.impacts)
             at = {t: i for i, t in enumerate(there.tolist())}
             for j, terms in enumerate(rare):
-                partial: Counter = Counter()
+                partial = np.zeros(len(part.rows), np.int64)
                 for t in terms.tolist():
                     if t in at:
                         postings = order[starts[at[t]] : starts[at[t] + 1]]
-                        gained = part.impacts[postings] * factors[j][t]
-                        most = np.argsort(-gained, kind="stable")[: 4 * top]
-                        for row, gain in zip(owners[postings[most]].tolist(), gained[most].tolist(), strict=True):
-                            partial[row] += gain
+                        partial[owners[postings]] += part.impacts[postings] * factors[j][t]
+                promising = np.argsort(-partial, kind="stable")[:top]
                 terms_j = list(factors[j])
                 weight[terms_j] = list(factors[j].values())
-                for row, _ in partial.most_common(top):
+                for row in promising[partial[promising] > 0].tolist():
                     own = slice(part.bounds[row], part.bounds[row + 1])
                     score = int(np.dot(part.impacts[own], weight[part.terms[own]]))
                     best.offer(j, score, int(part.docs[row]), int(part.rows[row]))
@@ -329,8 +335,19 @@ def clustered(vectors: np.ndarray) -> list[np.ndarray]:
     return [g[i : i + BLOCK] for g in groups for i in range(0, len(g), BLOCK)]
 
 
-def blocks_of(part: Stretch, walked: dict[int, Walk]) -> Iterator[tuple]:
-    """``term, rows, docs, vectors, summary`` of each block of the lists walked."""
+@dataclass
+class Blocks:
+    """The blocks of one list in a stretch: members (places in the stretch) and summaries."""
+
+    term: int
+    members: np.ndarray
+    bounds: np.ndarray
+    maxima: np.ndarray  # blocks x coordinates of the walk
+
+
+def blocks_of(part: Stretch, walked: dict[int, Walk], size: int) -> Iterator[Blocks]:
+    """The blocks of every list walked, over the documents of a stretch."""
+    matrix = part.matrix(size)
     there, starts, order = part.by_term()
     owners = part.owners()
     for i, t in enumerate(there.tolist()):
@@ -338,92 +355,126 @@ def blocks_of(part: Stretch, walked: dict[int, Walk]) -> Iterator[tuple]:
         if walk is None:
             continue
         members = owners[order[starts[i] : starts[i + 1]]]
-        sizes = np.diff(part.bounds)[members]
-        begin = np.repeat(part.bounds[members] - (np.cumsum(sizes) - sizes), sizes)
-        flat = begin + np.arange(sizes.sum())
-        place = np.minimum(np.searchsorted(walk.coordinates, part.terms[flat]), len(walk.coordinates) - 1)
-        known = walk.coordinates[place] == part.terms[flat]
-        vectors = np.zeros((len(members), len(walk.coordinates)), np.int32)
-        vectors[np.repeat(np.arange(len(members)), sizes)[known], place[known]] = part.impacts[flat[known]]
-        for group in clustered(vectors):
-            mine = vectors[group]
-            yield t, part.rows[members[group]], part.docs[members[group]], mine, mine.max(0)
-
-
-_BLOCK_SCHEMA = "term int, rows binary, docs binary, places binary, bounds binary, impacts binary, summary binary, maxima binary"
-
-
-def _blocks(walked: dict[int, Walk], documents: int, length: int):
+        vectors = matrix[np.ix_(members, walk.coordinates)]
+        groups = clustered(vectors)
+        picked = np.concatenate(groups)
+        bounds = np.concatenate([[0], np.cumsum([len(g) for g in groups])])
+        yield Blocks(t, members[picked], bounds, np.maximum.reduceat(vectors[picked], bounds[:-1]))
+
+
+_BLOCK_KINDS = {
+    # the documents of a stretch and their postings
+    "rows": np.int64, "docs": np.int64, "bounds": np.int32, "terms": np.int32, "impacts": np.int32,
+    # its lists: term, how many blocks and members; its blocks: members, places and maxima of the summary
+    "lists": np.int32, "list_blocks": np.int32, "sizes": np.int32, "members": np.int32,
+    "summary_sizes": np.int32, "summary": np.int32, "maxima": np.int32,
+}
+_BLOCK_SCHEMA = ", ".join(f"{name} binary" for name in _BLOCK_KINDS)
+
+
+def packed(part: Stretch, walked: dict[int, Walk], size: int) -> dict[str, np.ndarray]:
+    """A stretch and its blocks as flat columns; a summary keeps the coordinates that are there."""
+    out: dict[str, list] = {name: [np.zeros(0, kind)] for name, kind in _BLOCK_KINDS.items()}
+    for name in ("rows", "docs", "bounds", "terms", "impacts"):
+        out[name].append(getattr(part, name))
+    for list_ in blocks_of(part, walked, size):
+        block, place = np.nonzero(list_.maxima)
+        out["lists"].append([list_.term])
+        out["list_blocks"].append([len(list_.maxima)])
+        out["sizes"].append(np.diff(list_.bounds))
+        out["members"].append(list_.members)
+        out["summary_sizes"].append(np.bincount(block, minlength=len(list_.maxima)))
+        out["summary"].append(place)
+        out["maxima"].append(list_.maxima[block, place])
+    return {name: np.concatenate(values).astype(_BLOCK_KINDS[name]) for name, values in out.items()}
+
+
+def unpacked(columns: dict[str, np.ndarray], walked: dict[int, Walk]) -> tuple[Stretch, list[Blocks]]:
+    part = Stretch(*(columns[name] for name in ("rows", "docs", "bounds", "terms", "impacts")))
+    lists, at, member, entry = [], 0, 0, 0
+    for term, n in zip(columns["lists"].tolist(), columns["list_blocks"].tolist(), strict=True):
+        bounds = np.concatenate([[0], np.cumsum(columns["sizes"][at : at + n])])
+        counts = columns["summary_sizes"][at : at + n]
+        entries = slice(entry, entry + int(counts.sum()))
+        maxima = np.zeros((n, len(walked[term].coordinates)), np.int64)
+        maxima[np.repeat(np.arange(n), counts), columns["summary"][entries]] = columns["maxima"][entries]
+        lists.append(Blocks(term, columns["members"][member : member + bounds[-1]], bounds, maxima))
+        at, member, entry = at + n, member + int(bounds[-1]), entries.stop
+    return part, lists
+
+
+def stretch_rows(size: int) -> int:
+    """Documents of a stretch: fewer where there are very many terms."""
+    return max(1, min(SEGMENT, MATRIX_CELLS // max(size, 1)))
+
+
+def _blocks(walked: dict[int, Walk], size: int, documents: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [part.split()[0] for part in _BLOCK_SCHEMA.split(", ")]
+        step = stretch_rows(size)
         for batch in batches:
-            for at in range(0, batch.num_rows, SEGMENT):
-                out: list[list] = [[] for _ in names]
-                for t, rows, docs, vectors, summary in blocks_of(
-                    Stretch.of(batch.slice(at, SEGMENT), documents, length), walked
-                ):
-                    owner, place = np.nonzero(vectors)
-                    top = np.flatnonzero(summary)
-                    bounds = np.searchsorted(owner, np.arange(len(rows) + 1))
-                    values = (
-                        rows, docs, place.astype(np.int32), bounds.astype(np.int32),
-                        vectors[owner, place], top.astype(np.int32), summary[top],
-                    )
-                    out[0].append(t)
-                    for column, value in zip(out[1:], values, strict=True):
-                        column.append(value.tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.int32()), *[pa.array(c, pa.binary()) for c in out[1:]]], names=names
-                )
+            for at in range(0, batch.num_rows, step):
+                columns = packed(Stretch.of(batch.slice(at, step), documents, length), walked, size)
+                yield pa.RecordBatch.from_pydict({k: pa.array([v.tobytes()], pa.binary()) for k, v in columns.items()})
 
     return run
 
 
 class Searcher:
-    """Walks blocks; counts how many block visits the bounds spared."""
+    """Walks the blocks of stretches; counts how many block visits the bounds spared."""
 
-    def __init__(self, walked: dict[int, Walk], floors: np.ndarray, top: int):
-        self.walked, self.best = walked, Best(floors, top)
+    def __init__(self, walked: dict[int, Walk], weights: np.ndarray, floors: np.ndarray, top: int):
+        self.walked, self.weights, self.best = walked, weights, Best(floors, top)
         self.opened = self.skipped = 0
 
-    def visit(self, t, rows, docs, places, bounds, impacts, summary, maxima) -> None:
-        walk = self.walked[t]
-        bound = walk.factors[:, summary] @ maxima.astype(np.int64)
-        reached = np.flatnonzero((bound > 0) & (bound >= self.best.floors[walk.items]))
-        self.opened += len(reached)
-        self.skipped += len(bound) - len(reached)
-        if not len(reached):
-            return
-        vectors = np.zeros((len(rows), len(walk.coordinates)), np.int64)
-        vectors[np.repeat(np.arange(len(rows)), np.diff(bounds)), places] = impacts
-        scores = vectors @ walk.factors[reached].T
-        for column, j in enumerate(walk.items[reached].tolist()):
-            for i in np.flatnonzero(scores[:, column] >= self.best.floors[j]).tolist():
-                self.best.offer(j, int(scores[i, column]), int(docs[i]), int(rows[i]))
-
-
-def _searching(walked: dict[int, Walk], floors: np.ndarray, top: int):
-    kinds = (np.int64, np.int64, np.int32, np.int32, np.int32, np.int32, np.int32)
-
+    def search(self, part: Stretch, lists: list[Blocks]) -> None:
+        """Rare terms first: their documents raise the floors that the other lists meet."""
+        matrix = part.matrix(len(self.weights))
+        for list_ in sorted(lists, key=lambda x: -self.weights[x.term]):
+            walk = self.walked[list_.term]
+            bounds = list_.maxima @ walk.factors.T
+            reached = (bounds > 0) & (bounds >= self.best.floors[walk.items])
+            self.opened += int(reached.sum())
+            self.skipped += reached.size - int(reached.sum())
+            asking = np.flatnonzero(reached.any(0))
+            if not len(asking):
+                continue
+            opened = np.flatnonzero(reached.any(1))
+            members = np.concatenate([list_.members[list_.bounds[b] : list_.bounds[b + 1]] for b in opened])
+            block = np.repeat(opened, np.diff(list_.bounds)[opened])
+            scores = matrix[np.ix_(members, walk.coordinates)].astype(np.int64) @ walk.factors[asking].T
+            open_ = reached[np.ix_(block, asking)]
+            for column, j in enumerate(walk.items[asking].tolist()):
+                own = np.where(open_[:, column], scores[:, column], 0)
+                likely = np.flatnonzero((own > 0) & (own >= self.best.floors[j]))
+                for i in likely[np.argsort(-own[likely], kind="stable")].tolist():
+                    if own[i] < self.best.floors[j]:
+                        break
+                    self.best.offer(j, int(own[i]), int(part.docs[members[i]]), int(part.rows[members[i]]))
+
+
+def _searching(walked: dict[int, Walk], weights: np.ndarray, floors: np.ndarray, top: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searcher = Searcher(walked, floors, top)
+        searcher = Searcher(walked, weights, floors, top)
         for batch in batches:
-            for t, *columns in zip(*(batch.column(i) for i in range(batch.num_columns)), strict=True):
-                values = (np.frombuffer(c.as_buffer(), k) for c, k in zip(columns, kinds, strict=True))
-                searcher.visit(t.as_py(), *values)
+            for at in range(batch.num_rows):
+                columns = {
+                    name: np.frombuffer(batch.column(i)[at].as_buffer(), kind)
+                    for i, (name, kind) in enumerate(_BLOCK_KINDS.items())
+                }
+                searcher.search(*unpacked(columns, walked))
         yield searcher.best.found()
 
     return run
 
 
 def index(spark: SparkSession, vectors: DataFrame, asked: Questions, totals: tuple[int, int], walked: dict[int, Walk]) -> DataFrame:
-    """The stored blocks of every list walked."""
+    """The stored stretches: documents, and the blocks of every list walked."""
     flags = np.zeros(len(asked.weights), bool)
     flags[list(walked)] = True
     kept = vectors.mapInArrow(_signed(asked.weights, flags), f"{_VECTOR_SCHEMA}, first int, second int")
     laid_out = kept.repartitionByRange(partitions(spark), "first", "second", "row")
     laid_out = laid_out.sortWithinPartitions("first", "second", "row").drop("first", "second")
-    return staged(laid_out.mapInArrow(_blocks(walked, *totals), _BLOCK_SCHEMA), "search-blocks")
+    return staged(laid_out.mapInArrow(_blocks(walked, len(asked.weights), *totals), _BLOCK_SCHEMA), "search-blocks")
 
 
 _VECTOR_SCHEMA = "row long, doc long, n long, terms array<int>, counts array<int>"
@@ -463,7 +514,7 @@ def _answers(docs: DataFrame, asked: Questions, top: int) -> DataFrame | None:
 
     walked = walks(asked, largest)
     blocks = index(spark, vectors, asked, (documents, length), walked)
-    found = blocks.mapInArrow(_searching(walked, asked.floors, top), _FOUND_SCHEMA)
+    found = blocks.mapInArrow(_searching(walked, asked.weights, asked.floors, top), _FOUND_SCHEMA)
     return _ranked(found, top).select("item", "rank", "doc", "score")
 
 
