@@ -2,9 +2,12 @@
 
 from tidemark.plans import (  # noqa: F401
     checks,
+    dependencies,
+    history,
     landing,
     lending,
     maintenance,
+    portfolio,
     runs,
     schema_changes,
     silver,
