@@ -49,8 +49,8 @@ TOP = 20
 ITEMS = 2_000
 OPENING_TERMS = 10
 BLOCK = 16
-SEGMENT = 4_096  # neighbouring documents whose lists are clustered together
-MATRIX_CELLS = 1 << 24  # documents by terms of a stretch that a task holds at a time
+SEGMENT = 2_048  # neighbouring documents whose lists are clustered together
+MATRIX_CELLS = 1 << 22  # documents by terms of a stretch that a task holds at a time
 NO_ID = (1 << 63) - 1
 
 # digits, letters and every byte of a character beyond ASCII; only A-Z become lower case
