@@ -7,6 +7,7 @@ from tidemark.plans import (  # noqa: F401
     landing,
     lending,
     maintenance,
+    monitoring,
     portfolio,
     runs,
     schema_changes,

@@ -6,14 +6,16 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import drift
+from tidemark.operators import drift, release
+from tidemark.operators import nested_drift as nested
 from tidemark.operators.joins import union_all
 from tidemark.plans import inputs
 from tidemark.plans.inputs import table
 from tidemark.plans.registry import query
 from tidemark.session import work_path
+from tidemark.sinks import tables
 from tidemark.sinks.tables import write_batch
-from tidemark.sources.landing import read_batch
+from tidemark.sources.landing import read_batch, read_partitioned
 
 RUN_DT = "2024-01-30"
 TABLE_ID = 1
@@ -146,3 +148,67 @@ def quarantined_rows(spark, sf_dir):
         F.get_json_object("payload", "$.event_id").cast("bigint").alias("event_id"),
         "drift_reason",
     )
+
+
+def _nested_events(spark, sf_dir):
+    """Events as nested records, as agreed and as a later delivery has them."""
+    events = table(spark, sf_dir, "events")
+    agreed = events.select(
+        "event_id", "user_id", "event_type",
+        F.struct("value", F.struct(F.col("ts").alias("at"), F.lit("web").alias("channel")).alias("origin")).alias("body"),
+        F.array(F.struct(F.col("value").alias("amount"), F.col("event_type").alias("kind"))).alias("parts"),
+    )
+    later = events.select(
+        "event_id", F.col("user_id").alias("customer"), F.concat("event_type", F.lit("!")).alias("label"),
+        F.struct(F.col("value").cast("string").alias("value"), F.struct(F.col("ts").alias("at"), F.lit(1).alias("region")).alias("origin")).alias("body"),
+        F.array(F.struct(F.col("value").alias("amount"), F.col("event_type").alias("kind"), F.lit(True).alias("last"))).alias("parts"),
+    )
+    return agreed, later
+
+
+@query(
+    """
+SELECT column_name, event_type, rows FROM (VALUES ('body.origin.channel', 'MISSING'), ('event_type', 'MISSING'),
+  ('user_id', 'MISSING'), ('body.origin.region', 'NEW'), ('customer', 'NEW'), ('label', 'NEW'),
+  ('parts[].last', 'NEW'), ('body.value', 'TYPE_CHANGED')) AS f(column_name, event_type),
+  (SELECT count(*) AS rows FROM events)"""
+)
+def nested_drift(spark, sf_dir):
+    """Changed places at any depth of a nested delivery, with the rows they concern."""
+    agreed, later = _nested_events(spark, sf_dir)
+    found = nested.find_nested_drift(later.schema, agreed.schema)
+    listed = spark.createDataFrame([(f.column, f.event) for f in found], "column_name string, event_type string")
+    rows = later.agg(F.count(F.lit(1)).alias("rows"))
+    return listed.withColumn("one", F.lit(1)).join(rows.withColumn("one", F.lit(1)), "one").drop("one")
+
+
+@query(
+    """SELECT user_id, count(*) AS events FROM events GROUP BY user_id"""
+)
+def renamed_column(spark, sf_dir):
+    """Counts by a key that a delivery brought under another name, found by its values."""
+    agreed, later = _nested_events(spark, sf_dir)
+    renames = nested.find_renames(later, agreed)
+    return nested.with_renames(later, renames).groupBy("user_id").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query(
+    """
+SELECT event_id, user_id, event_type, value, CASE WHEN event_id % 7 = 0 THEN 'late-' || CAST(event_id % 10 AS VARCHAR) END AS channel
+FROM events WHERE event_id % 7 <> 0 OR event_id % 11 <> 0"""
+)
+def released_rows(spark, sf_dir):
+    """A table after parked rows fitted its widened layout; those that still don't stay parked."""
+    target, parked = work_path(spark, "released"), work_path(spark, "parked")
+    columns = ["event_id", "user_id", "event_type", "value"]
+    events = table(spark, sf_dir, "events").select(*columns)
+    tables.full_refresh(events.where("event_id % 7 <> 0"), target)
+    late = events.where("event_id % 7 = 0").withColumn("channel", F.concat(F.lit("late-"), (F.col("event_id") % 10).cast("string")))
+    wrong = F.when(F.col("event_id") % 11 == 0, F.lit("unreadable")).otherwise(F.col("user_id").cast("string"))
+    outcome = drift.apply_policy(late.withColumn("user_id", wrong), events.schema, drift.QUARANTINE)
+    tables.append(outcome.quarantined.withColumn("run_dt", F.lit(RUN_DT).cast("date")), parked, ["run_dt"])
+    release.release(spark, parked, target)  # nothing fits yet
+    tables.append(events.where("false").withColumn("channel", F.lit("")), target)
+    release.release(spark, parked, target)
+    release.release(spark, parked, target)
+    return read_partitioned(spark, target).select(*columns, "channel")
