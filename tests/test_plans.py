@@ -32,11 +32,11 @@ def test_no_query_forms_all_pairs_or_calls_python(name, spark, sf_dir, plan):
     assert "SinglePartition" not in text or name in GLOBAL_AGGREGATES
 
 
-# Their single partition holds one partial row per map task, or a top three.
+# Their single partition holds one partial row per map task, one per batch, or a top three.
 GLOBAL_AGGREGATES = {
     "table_row_counts", "null_rate", "allowed_values", "pk_violations", "relation_checks",
     "config_cross_values", "drift_events", "drift_history", "given_null_rates",
-    "business_relations",
+    "business_relations", "snapshot_history",
 }
 
 
