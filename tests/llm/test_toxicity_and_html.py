@@ -50,7 +50,136 @@ def test_rare_expressions_keep_their_counts(spark, frame):
     words = spark.createDataFrame([("zoékel", 1), ("zoékim", 1)], "word string, n long")
     found = {r.word: r.value for r in tx.evidence(words, model).collect()}
     assert found["zoékel"] > found["zoékim"] and found["zoékel"] * tx.UNIT > 1
-    assert model.steps.filter("node = 'zoékel'").count() == 1
+    entries = {r.entry for r in model.entries.collect()}
+    signed = [e - (1 << 64) if e >> 63 else e for e in tx.entries_of("zoékel")]
+    assert len(entries & set(signed)) >= len(signed) - 1  # an entry of no worth is not kept
+
+
+def brute_force(rows):
+    """``word -> log ratio``: both models straight from the definition."""
+    import collections
+    import math
+
+    words = collections.defaultdict(lambda: [0, 0])
+    for text, toxic in rows:
+        for w in set(tx._WORD.findall(text.lower())):
+            words[w][toxic] += 1
+
+    def windows(word):
+        marked = tx.START + word + tx.END
+        return [marked[max(0, i - tx.HISTORY) : i + 1] for i in range(1, len(marked))]
+
+    counts, holding = collections.defaultdict(lambda: [0, 0, 0]), collections.Counter()
+    for w, (o, t) in words.items():
+        for node in windows(w):
+            for i, n in enumerate((o, t, o + t)):
+                counts[node][i] += n
+            holding[node] += 1
+
+    def by(values):
+        seen = collections.Counter(values)
+        return tx.discounts(*[seen[i] for i in (1, 2, 3, 4)])
+
+    def lowered(n, d):
+        return 0.0 if n == 0 else d[min(n, 3) - 1]
+
+    orders = {}
+    for k in (0, *tx.SHORTER):
+        order = collections.Counter()
+        for node, n in holding.items():
+            order[node[-(k + 1) :]] += n
+        orders[k] = (order, by(order.values()))
+    d = [by(c[i] for c in counts.values()) for i in range(3)]
+    after = collections.defaultdict(list)
+    for node, c in counts.items():
+        after[node[:-1]].append(c)
+
+    def shared(node, k):
+        order, disc = orders[k]
+        node = node[-(k + 1) :]
+        if k == 0:
+            return order[node] / sum(order.values())
+        same = [n for x, n in order.items() if x[:-1] == node[:-1]]
+        lower = shared(node, max([x for x in (0, *tx.SHORTER) if x < k]))
+        return (order[node] - lowered(order[node], disc)) / sum(same) + sum(lowered(n, disc) for n in same) / sum(same) * lower
+
+    def rest(history, i):
+        own = after[history]
+        n = sum(c[i] for c in own)
+        return sum(lowered(c[i], d[i]) for c in own) / n if n else 1.0
+
+    def unseen(history):
+        return math.log(rest(history, 1) / rest(history, 0)) if history in after else 0.0
+
+    def ratio(word):
+        total = unseen(tx.START)
+        for node in windows(word):
+            if node not in counts:
+                continue
+            own = after[node[:-1]]
+            all_ = sum(c[2] for c in own)
+            p = (counts[node][2] - lowered(counts[node][2], d[2])) / all_ + sum(lowered(c[2], d[2]) for c in own) / all_ * shared(node, max(tx.SHORTER))
+            given = []
+            for i in (0, 1):
+                n = sum(c[i] for c in own)
+                given.append(((counts[node][i] - lowered(counts[node][i], d[i])) / n if n else 0.0) + rest(node[:-1], i) * p)
+            total += math.log(given[1] / given[0]) - unseen(node[:-1]) + unseen(node[-tx.HISTORY :])
+        return total
+
+    return ratio
+
+
+def test_ratios_are_those_of_the_definition(spark):
+    rows, labels = corpus(120)
+    rows = [(text, t) for (_, text), (_, _, t) in zip(rows, labels, strict=True)]
+    ratio = brute_force(rows)
+    model = tx.fit_counts(spark.createDataFrame(rows, "text string, toxic int").repartition(3))
+    table = {r.entry: r.value for r in model.entries.collect()}
+    heard = sorted({w for t, _ in rows for w in t.split()})[:300]
+    for word in [*heard, "vile", "vileness", "zork", "unheard", "zorkunheard", "ü", "a" * 40]:
+        found = (model.base + sum(table.get(e - (1 << 64) if e >> 63 else e, 0) for e in tx.entries_of(word))) * tx.UNIT
+        assert abs(found - ratio(word)) < 1e-6, word
+
+
+def test_entries_are_numbered_as_spark_does(spark):
+    words = ["a", "zoékel", "ünlängst", "x" * 300, "日本語の文章"]
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    for r in df.select("word", tx.F.transform(tx._windows(), tx._entry).alias("e")).collect():
+        assert [e % (1 << 64) for e in r.e] == tx.entries_of(r.word)
+
+
+def test_joined_and_shipped_models_score_alike(spark, frame, monkeypatch):
+    rows, labels = corpus(300)
+    docs = frame([*rows, (9001, None), (9002, "vile " * 3000), (9003, ""), (9003, "")], "")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = tx.fit(docs, marks)
+    shipped = sorted(tuple(r) for r in tx.scored(docs, model).collect())
+    monkeypatch.setattr(tx, "SHIPPED", 0)
+    assert sorted(tuple(r) for r in tx.scored(docs, model).collect()) == shipped
+
+
+def test_words_are_read_to_their_end(spark):
+    rows = [(f"schwachsinnig{i % 5} gut", 1) for i in range(40)] + [(f"schwachstelle{i % 5} gut", 0) for i in range(40)]
+    rows = [(t.replace("0", "a").replace("1", "b").replace("2", "c").replace("3", "d").replace("4", "e"), y) for t, y in rows]
+    model = tx.fit_counts(spark.createDataFrame(rows, "text string, toxic int"))
+    words = spark.createDataFrame([("schwachsinnig", 1), ("schwachstelle", 1), ("unterschwachsinnig", 1)], "word string, n long")
+    found = {r.word: r.value for r in tx.evidence(words, model).collect()}
+    assert found["schwachsinnig"] > 0 > found["schwachstelle"] and found["unterschwachsinnig"] > 0
+
+
+def test_toxicity_leaves_clashing_columns_alone(spark, frame):
+    rows, labels = corpus(200)
+    docs = frame(rows)
+    wide = docs.withColumns({c: tx.F.lit("mine") for c in ("score", "ratio", "row", "word", "n", "entry", "toxic", "held_out")})
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").withColumn("text", tx.F.lit("mine"))
+    model = tx.fit(wide, marks)
+    assert sorted(map(tuple, tx.scored(wide, model).collect())) == sorted(map(tuple, tx.scored(docs, tx.fit(docs, marks)).collect()))
+
+
+def test_discounts_follow_the_counts_of_counts():
+    y = 100 / (100 + 2 * 40)
+    assert tx.discounts(100, 40, 20, 10) == (1 - 2 * y * 0.4, 2 - 3 * y * 0.5, 3 - 4 * y * 0.5)
+    assert tx.discounts(5, 0, 0, 0) == (0.5, 1.0, 1.5)
 
 
 def test_calibration_fold_counts_beyond_the_chosen_texts(spark, frame, monkeypatch):

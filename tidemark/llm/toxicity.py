@@ -1,13 +1,22 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two models give the probability of each word, letter by letter from its start: one of
-toxic and one of ordinary texts.  Both discount their counts and give the rest to one
-shared model, which is discounted in turn and backs off to continuation counts (after
-how many distinct beginnings a letter occurs).  Rare expressions therefore weigh
-alike in both, and stems count as well as whole words.  A word counts once for a text
+Two models give the probability of each letter of a word after the ``HISTORY`` letters
+before it, the mark of the word's start being one of them: one model of toxic and one of
+ordinary texts.  The window slides over the whole word.  Both discount their counts
+and give the rest to one shared model of both classes, which is discounted in turn and
+backs off to shorter histories by how many different words hold them.  Rare expressions
+therefore weigh alike in both, and stems count as well as whole words.  The
+discounts of each order follow from its counts of counts.  A word counts once for a text
 that holds it.  The score of a text is the mean log-likelihood ratio of its words,
-brought to a probability by a logistic fit; ratios within ``NEUTRAL`` say nothing about
-a word and count as 0, larger ones count for what is beyond.
+brought to a probability by a logistic fit; ratios within a neutral band say nothing about
+a word and count as 0, larger ones count for what is beyond.  The band is one of
+``BANDS``, chosen with the logistic fit.
+
+The ratio of a word is a sum over those of its windows that were seen: what the letter is worth
+after its history, and what a letter never seen would be worth next, until another window
+takes its place.  Entries are whole numbers, so every order of adding gives the same
+score, and the model can be joined as well as shipped: it is shipped to the tasks if it
+measures small.
 """
 
 from __future__ import annotations
@@ -19,32 +28,57 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.inputs import fold
 from tidemark.operators.joins import broadcast_if_small
-from tidemark.session import staged
+from tidemark.session import remove_folder, staged, work_path
 
-DEPTH = 8  # letters of a word that are modelled
-END = "\x03"  # follows the last letter of a shorter word
-HEAVY = 1e-4  # share of the distinct words that makes a beginning one of many words
+HISTORY = 10  # letters before a letter that it depends on
+SHORTER = (3, 1)  # histories that the shared model backs off to, then to none
+START, END = "\x02", "\x03"
+HEAVY = 1e-3  # share of the distinct words that makes an entry one of many words
 COMMON = 1e-5  # share of all words in texts that makes a word a frequent one
+SHIPPED = 6_000_000  # entries (16 bytes each) up to which the model is sent to the tasks
 UNIT = 1e-9  # of the values of words
 CALIBRATION_FOLD = 4
 CALIBRATION_ROWS = 20_000  # texts of that fold that the logistic fit may use
-DISCOUNTS = (1.0, 2.0, 2.5)  # of counts of one, two and more in a class: once proves nothing
-SHARED_DISCOUNTS = (0.75, 1.1, 1.3)
 NEUTRAL = 1.5
+BANDS = (1.5, 2.5, 3.5)  # of these the one that the calibration texts are likeliest under
 PRIOR_WORDS = 5.0  # neutral words that every text is taken to have
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def _beginnings() -> Column:
-    """The beginnings of ``word``, the shortest first."""
-    whole = F.when(F.length("word") >= DEPTH, F.left("word", F.lit(DEPTH))).otherwise(F.concat("word", F.lit(END)))
-    return F.transform(F.sequence(F.lit(1), F.length(whole)), lambda k: F.left(whole, k))
+def _windows() -> Column:
+    """Every letter of ``word`` and its end, each with the history before it."""
+    marked = F.concat(F.lit(START), "word", F.lit(END))
+    places = F.sequence(F.lit(2), F.length(marked))
+    return F.transform(
+        places,
+        lambda i: F.substring(marked, F.greatest(F.lit(1), i - HISTORY), F.least(i, F.lit(HISTORY + 1))),
+    )
+
+
+def _history(node: str = "node") -> Column:
+    return F.expr(f"left({node}, length({node}) - 1)")
+
+
+def _entry(window: Column | str) -> Column:
+    """The number under which a window is found."""
+    return F.xxhash64(window)
+
+
+def entries_of(word: str) -> list[int]:
+    """``_entry`` of all windows of a word, as Spark computes them."""
+    marked = (START + word + END).encode()
+    bounds = [i for i, b in enumerate(marked) if b & 0xC0 != 0x80] + [len(marked)]
+    return [
+        xxhash.xxh64_intdigest(marked[bounds[max(0, i - HISTORY)] : bounds[i + 1]], seed=42)
+        for i in range(1, len(bounds) - 1)
+    ]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,111 +111,196 @@ def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass(frozen=True)
 class Model:
-    """Log ratios of beginnings (a staged table of any size) and the logistic fit.
+    """The entries (a staged table of any size) and the logistic fit.
 
-    ``steps`` has ``node, step, after, heavy``: the ratio of the last letter, that of an
-    unknown letter after it, and whether many words begin so.  ``start`` is the ratio of an
-    unknown first letter.  Without labels of both classes there are no steps.
+    ``entries`` has ``entry, value, heavy``: a whole number of ``UNIT``, and whether many words
+    have the entry.  ``base`` is what every word begins with.  Without labels of both classes
+    there are no entries.
     """
 
-    steps: DataFrame | None
-    start: float = 0.0
+    entries: DataFrame | None
+    base: int = 0
     weight: float = 1.0
     bias: float = 0.0
+    neutral: float = NEUTRAL
 
 
-def _discounted(count, by: tuple[float, float, float]):
+def discounts(once: int, twice: int, thrice: int, four: int) -> tuple[float, float, float]:
+    """What counts of one, two and more are lowered by, from how many things have each count.
+
+    Where too little was counted for that, half a count is taken for each.
+    """
+    if not (once and twice and thrice):
+        return 0.5, 1.0, 1.5
+    y = once / (once + 2 * twice)
+    raw = (1 - 2 * y * twice / once, 2 - 3 * y * thrice / twice, 3 - 4 * y * four / thrice)
+    return tuple(min(max(d, 0.1), i - 0.1) for i, d in enumerate(raw, 1))
+
+
+def _counted(count: Column, name: str) -> list[Column]:
+    return [F.count_if(count == i).alias(f"{name}{i}") for i in (1, 2, 3, 4)]
+
+
+def _lowered(count: Column, by: tuple[float, float, float]) -> Column:
     return F.when(count == 0, 0.0).when(count == 1, by[0]).when(count == 2, by[1]).otherwise(by[2])
 
 
+def _backed_off(counts: DataFrame) -> DataFrame:
+    """``node, p`` of the shared model at the longest of ``SHORTER``, from ``node, words``.
+
+    ``words`` is how many different words hold a window.  An order has at most as many rows as
+    there are strings of its length.
+    """
+    below = counts.groupBy(F.right("node", F.lit(1)).alias("node")).agg(F.sum("words").alias("words"))
+    whole = below.agg(F.sum("words")).first()[0]
+    below = below.select("node", (F.col("words") / whole).alias("p"))
+    for width in sorted(SHORTER):
+        order = counts.groupBy(F.right("node", F.lit(width + 1)).alias("node")).agg(F.sum("words").alias("words"))
+        order = order.withColumn("history", _history())
+        seen = order.agg(*_counted(F.col("words"), "n")).first()
+        by = discounts(*seen)
+        n = F.col("words")
+        above = order.groupBy("history").agg(F.sum(n).alias("all"), F.sum(_lowered(n, by)).alias("rest"))
+        joined = order.join(above, "history").withColumn("shorter", F.right("node", F.lit(1 if width == min(SHORTER) else min(SHORTER) + 1)))
+        down = broadcast_if_small(staged(below, "toxicity-order").select(F.col("node").alias("shorter"), "p"))
+        p = (n - _lowered(n, by)) / F.col("all") + F.col("rest") / F.col("all") * F.col("p")
+        below = joined.join(down, "shorter").select("node", p.alias("p"))
+    return below
+
+
 def fit_counts(rows: DataFrame) -> Model:
     """The two models from ``text, toxic``; counts are taken over all rows."""
+    spark = rows.sparkSession
+    scratch = work_path(spark, "toxicity-counts")
     words = rows.mapInArrow(_count, "word string, ordinary long, toxic long")
     words = words.groupBy("word").agg(F.sum("ordinary").alias("o"), F.sum("toxic").alias("t"))
-    nodes = staged(
-        words.select(F.explode(_beginnings()).alias("node"), "o", "t")
+    nodes = (
+        words.select(F.explode(_windows()).alias("node"), "o", "t")
         .groupBy("node")
         .agg(F.sum("o").alias("o"), F.sum("t").alias("t"), F.count("*").alias("words"))
-        .withColumn("parent", F.expr("left(node, length(node) - 1)"))
-        .withColumn("letter", F.expr("right(node, 1)")),
-        "toxicity-counts",
+        .withColumn("history", _history())
     )
-    first = nodes.filter("parent = ''")
-    total = first.agg(F.sum("o").alias("o"), F.sum("t").alias("t"), F.sum("words").alias("words")).first()
-    if not total["o"] or not total["t"]:
+    nodes.write.parquet(scratch)
+    nodes = spark.read.schema(nodes.schema).parquet(scratch)
+    o, t, both = F.col("o"), F.col("t"), F.col("o") + F.col("t")
+    seen = nodes.agg(
+        F.sum("o").alias("o"), F.sum("t").alias("t"),
+        F.sum(F.when(F.col("history") == START, F.col("words"))).alias("words"),
+        *_counted(o, "o"), *_counted(t, "t"), *_counted(both, "s"),
+    ).first()
+    if not seen["o"] or not seen["t"]:
+        remove_folder(spark, scratch)
         return Model(None)
-    pairs = nodes.count()
-    both = F.col("o") + F.col("t")
-    above = nodes.groupBy("parent").agg(
-        F.sum("o").alias("po"),
-        F.sum("t").alias("pt"),
-        F.sum(_discounted(F.col("o"), DISCOUNTS)).alias("ro"),
-        F.sum(_discounted(F.col("t"), DISCOUNTS)).alias("rt"),
-        F.sum(_discounted(both, SHARED_DISCOUNTS)).alias("rs"),
+    by = {c: discounts(*[seen[f"{c}{i}"] for i in (1, 2, 3, 4)]) for c in "ots"}
+    above = nodes.groupBy("history").agg(
+        F.sum("o").alias("po"), F.sum("t").alias("pt"), F.sum("words").alias("held"),
+        *[F.sum(_lowered(n, by[c])).alias(f"r{c}") for c, n in (("o", o), ("t", t), ("s", both))],
     )
-    above = staged(above, "toxicity-histories")
-    letters = nodes.groupBy("letter").agg((F.count("*") / pairs).alias("continuation"))
+    width = max(SHORTER) + 1
+    lower = broadcast_if_small(staged(_backed_off(nodes), "toxicity-order").withColumnRenamed("node", "shorter"), 64, 2_000_000)
     ps = F.col("po") + F.col("pt")
-    shared = (both - _discounted(both, SHARED_DISCOUNTS)) / ps + F.col("rs") / ps * F.col("continuation")
+    shared = (both - _lowered(both, by["s"])) / ps + F.col("rs") / ps * F.col("p")
 
-    def rest(c: str):
-        """What a class gives to the shared model after a beginning."""
-        n = F.col(f"p{c}")
-        return F.when(n > 0, F.col(f"r{c}") / n).otherwise(1.0)
+    def rest(c: str) -> Column:
+        """What a class gives to the shared model after a history."""
+        return F.when(F.col(f"p{c}") > 0, F.col(f"r{c}") / F.col(f"p{c}")).otherwise(1.0)
 
-    def given(c: str):
-        n = F.col(f"p{c}")
-        own = (F.col(c) - _discounted(F.col(c), DISCOUNTS)) / n
-        return F.when(n > 0, own).otherwise(0.0) + rest(c) * shared
+    def given(c: str) -> Column:
+        own = (F.col(c) - _lowered(F.col(c), by[c])) / F.col(f"p{c}")
+        return F.when(F.col(f"p{c}") > 0, own).otherwise(0.0) + rest(c) * shared
 
     unseen = F.log(rest("t") / rest("o"))
-    after = above.select(F.col("parent").alias("node"), unseen.alias("after"))
-    steps = (
-        # a count of one is discounted to nothing: such nodes say what unknown ones do
-        nodes.filter((F.col("o") > 1) | (F.col("t") > 1))
-        .join(above, "parent")
-        .join(F.broadcast(letters), "letter")  # an alphabet
-        .select("node", F.log(given("t") / given("o")).alias("step"), (F.col("words") >= HEAVY * total["words"]).alias("heavy"))
-        .join(after, "node", "left")
-        .select("node", "step", F.coalesce("after", F.lit(0.0)).alias("after"), "heavy")
+    heavy = F.lit(HEAVY * (seen["words"] or 0))
+    letters = nodes.join(above, "history").withColumn("shorter", F.right("node", F.lit(width))).join(lower, "shorter")
+    worth = above.select("history", unseen.alias("after"))
+    following = worth.select(F.col("history").alias("next"), F.col("after").alias("then"))
+    letters = letters.withColumn("next", F.right("node", F.lit(HISTORY))).join(following, "next", "left")
+    value = F.log(given("t") / given("o")) - unseen + F.coalesce("then", F.lit(0.0))
+    entries = letters.select(
+        _entry("node").alias("entry"), F.round(value / UNIT).cast("long").alias("value"), (F.col("words") >= heavy).alias("heavy")
     )
-    start = above.filter("parent = ''").select(unseen).first()[0]
-    return Model(staged(steps, "toxicity-steps"), start)
+    kept = staged(entries.where("value <> 0"), "toxicity-entries")
+    base = round(worth.where(F.col("history") == START).first()["after"] / UNIT)
+    remove_folder(spark, scratch)
+    return Model(kept, base)
+
+
+def _beyond(ratio: int, neutral: int) -> int:
+    """What of a word's ratio is more than neutral, in whole numbers of ``UNIT``."""
+    return ratio - neutral if ratio > neutral else ratio + neutral if ratio < -neutral else 0
 
 
 def evidence(words: DataFrame, model: Model) -> DataFrame:
-    """``word, n, value`` for distinct ``word, n``: the log ratio beyond what is neutral.
+    """``word, n, value`` for distinct ``word, n``: the ratio beyond what is neutral; words of 0 are left out.
 
-    A word's ratio adds up the steps of its known beginnings and the ratio of an unknown
-    letter after the longest of them.  Values are whole numbers of ``UNIT``, so that sums
-    do not depend on their order.  Beginnings of many words are joined by a broadcast.
+    Entries of many words are joined by a broadcast, as few can be that.
     """
-    parts = words.select("word", "n", F.posexplode(_beginnings()).alias("at", "node"))
-    heavy = F.broadcast(model.steps.filter("heavy").drop("heavy"))  # DEPTH / HEAVY rows at most
-    others = model.steps.filter("not heavy").drop("heavy")
-    size = F.least(F.length("word") + 1, F.lit(DEPTH))
-    found = (
-        parts.join(heavy, "node")
-        .unionByName(parts.join(heavy, "node", "left_anti").join(others, "node"))
-        .select("word", "n", F.col("at") + 1, "step", "after")
-        .union(words.select("word", "n", F.lit(0), F.lit(0.0), F.lit(model.start)))
-        .toDF("word", "n", "known", "step", "after")
-        .groupBy("word", "n")
-        .agg(F.sum("step").alias("ratio"), F.max_by("after", "known").alias("after"), F.max("known").alias("known"))
-    )
-    ratio = F.col("ratio") + F.when(F.col("known") < size, F.col("after")).otherwise(0.0)
-    beyond = F.signum(ratio) * F.greatest(F.abs(ratio) - NEUTRAL, F.lit(0.0))
-    return found.select("word", "n", F.round(beyond / UNIT).cast("long").alias("value"))
+    parts = words.select("word", "n", F.explode(F.transform(_windows(), _entry)).alias("entry"))
+    heavy = F.broadcast(model.entries.filter("heavy").drop("heavy"))  # (letters of a long word) / HEAVY rows at most
+    others = model.entries.filter("not heavy").drop("heavy")
+    found = parts.join(heavy, "entry").unionByName(parts.join(heavy, "entry", "left_anti").join(others, "entry"))
+    found = found.drop("entry")
+    found = found.unionByName(words.select("word", "n", F.lit(model.base).cast("long").alias("value")))
+    ratio = found.select("word", "n", "value").groupBy("word", "n").agg(F.sum("value").alias("ratio"))
+    neutral = F.lit(round(model.neutral / UNIT))
+    beyond = F.signum("ratio").cast("long") * F.greatest(F.abs("ratio") - neutral, F.lit(0))
+    return ratio.select("word", "n", beyond.alias("value")).filter("value <> 0")
+
+
+def _shipped(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
+    """``_ratios`` with the whole model in every task: one pass over the texts."""
+    table = model.entries.select("entry", "value").toArrow()
+    entry, value = table["entry"].to_numpy().view(np.uint64), table["value"].to_numpy()
+    order = np.argsort(entry)
+    kept = docs.sparkSession.sparkContext.broadcast((entry[order], value[order]))
+    base, neutral = model.base, round(model.neutral / UNIT)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries, values = kept.value
+        known: dict[str, int] = {}
+
+        def learn(words: list[str]) -> None:
+            listed = [entries_of(w) for w in words]
+            sizes = np.array([len(x) for x in listed])
+            flat = np.array([e for x in listed for e in x], np.uint64)
+            place = np.minimum(np.searchsorted(entries, flat), len(entries) - 1)
+            found = np.where(entries[place] == flat, values[place], 0)
+            totals = np.add.reduceat(found, np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+            known.update((w, _beyond(base + int(v), neutral)) for w, v in zip(words, totals, strict=True))
+
+        for batch in batches:
+            ratios = []
+            for text in batch.column(0).to_pylist():
+                words = _WORD.findall(text.lower()) if text else []
+                new = [w for w in dict.fromkeys(words) if w not in known]
+                for at in range(0, len(new), 20_000):
+                    learn(new[at : at + 20_000])
+                ratios.append(sum(map(known.__getitem__, words)) * UNIT / (len(words) + PRIOR_WORDS))
+                if len(known) > 500_000:  # what was looked up can be looked up again
+                    known.clear()
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], pa.array(ratios, pa.float64())], names=[*batch.schema.names[1:], "ratio"]
+            )
+
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
+    return docs.select("text", *columns).mapInArrow(run, schema + ", ratio double")
 
 
 def _ratios(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
-    """``docs`` with ``ratio``: mean log ratio of the words of each whole text.
+    """``docs`` with ``ratio``: mean log ratio of the words of each whole text."""
+    if model.entries is None:
+        return docs.select(*columns, F.lit(0.0).alias("ratio"))
+    if 0 < model.entries.count() <= SHIPPED:
+        return _shipped(docs, model, columns)
+    return _joined(docs, model, columns)
+
+
+def _joined(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
+    """``_ratios`` for a model of any size: its entries are joined with the distinct words.
 
     Frequent words are looked up where the texts lie; the others, of which none is
     frequent, are joined with their values and summed per row.
     """
-    if model.steps is None:
-        return docs.select(*columns, F.lit(0.0).alias("ratio"))
     words = staged(
         docs.select("text").mapInArrow(_vocabulary, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")),
         "toxicity-words",
@@ -189,7 +308,7 @@ def _ratios(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
     total = words.agg(F.sum("n")).first()[0] or 0
     values = staged(evidence(words, model), "toxicity-evidence")
     frequent = F.col("n") >= COMMON * total
-    common = values.filter(frequent).toPandas()  # 1 / COMMON rows at most
+    common = words.filter(frequent).join(values.drop("n"), "word", "left").fillna(0, ["value"]).toPandas()  # 1 / COMMON rows at most
     shared = docs.sparkSession.sparkContext.broadcast(dict(zip(common["word"], common["value"].tolist(), strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +319,7 @@ def _ratios(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
                 found = _WORD.findall(text.lower()) if text else []
                 got = list(map(known.get, found))
                 rare = Counter(w for w, v in zip(found, got, strict=True) if v is None)
-                own.append(sum(filter(None, got)))
+                own.append(int(sum(filter(None, got))))
                 sizes.append(len(found))
                 names.append(list(rare))
                 times.append(list(rare.values()))
@@ -222,7 +341,7 @@ def _ratios(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
     rare = (
         texts.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x"))
         .select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
-        .join(values.filter(~frequent & (F.col("value") != 0)).select("word", "value"), "word")
+        .join(values.filter(~frequent).select("word", "value"), "word")
         .groupBy("row")
         .agg(F.sum(F.col("value") * F.col("times")).alias("more"))
     )
@@ -264,12 +383,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     )
     learned = broadcast_if_small(marks.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_anti"))
     model = fit_counts(texts.join(learned, "doc_id").select("text", "toxic"))
-    seen = _ratios(texts.join(F.broadcast(chosen), "doc_id"), model, ["doc_id", "toxic"]).toPandas()
-    x, y = seen["ratio"].to_numpy(float), seen["toxic"].to_numpy(float)
-    if len(set(y)) < 2:
-        return replace(model, weight=10.0, bias=-1.0)
-    weight, bias = _logistic(x, y)
-    return replace(model, weight=weight, bias=bias)
+    best = None
+    for band in BANDS if model.entries is not None else ():
+        tried = replace(model, neutral=band)
+        seen = _ratios(texts.join(F.broadcast(chosen), "doc_id"), tried, ["doc_id", "toxic"]).toPandas()
+        x, y = seen["ratio"].to_numpy(float), seen["toxic"].to_numpy(float)
+        if len(set(y)) < 2:
+            break
+        weight, bias = _logistic(x, y)
+        p = 1 / (1 + np.exp(-np.clip(x * weight + bias, -30, 30)))
+        loss = -np.mean(np.log(np.where(y == 1, p, 1 - p)))
+        if best is None or loss < best[0]:
+            best = loss, replace(tried, weight=weight, bias=bias)
+    return best[1] if best else replace(model, weight=10.0, bias=-1.0)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
