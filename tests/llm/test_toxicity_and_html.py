@@ -242,3 +242,49 @@ def test_given_pages(spark, sf_dir):
     out = ht.main_texts(pages).collect()
     assert len(out) == pages.count() and {r.path for r in out} == {"/body/article"}
     assert all(r.text and "&copy;" not in r.text and "\n\n\n" not in r.text for r in out)
+
+
+STORY = "The bridge was closed on Monday because of the flood that reached the lower town. " * 6
+
+
+def text(source):
+    return ht.text_of(source, None)[0]
+
+
+def test_boilerplate_inside_or_beside_never_empties_a_page():
+    story = STORY.strip()
+    for inner in (200, 800, 5000):
+        comments = f"<section class='comments'><p>{'I think so too. ' * (inner // 16)}</p></section>"
+        assert text(f"<body><article><p>{STORY}</p>{comments}</article></body>") == story
+        half = f"<div class='intro'><p>{STORY}</p></div><p>{STORY}</p>"
+        assert text(f"<body><article>{half}{comments}</article></body>") == f"{story}\n\n{story}"
+    assert text(f"<body><h1>T</h1><p>{STORY}</p><footer>{'Imprint and more. ' * 100}</footer></body>") == f"T\n\n{story}"
+    assert text(f"<body><article><nav>{'<a href=x>menu entry</a> ' * 99}</nav><p>Short.</p></article></body>") == "Short."
+
+
+def test_names_alone_do_not_skip_an_article():
+    for name in ("legal", "side", "notice", "tags", "comment", "share-price", "copyright"):
+        page = f"<body><nav>Home</nav><article><h1>T</h1><div class='{name}'><p>{STORY}</p><p>{STORY}</p></div></article></body>"
+        assert text(page) == "\n\n".join(["T", STORY.strip(), STORY.strip()]), name
+        both = f"<body><article><p>{STORY}</p><div class='{name}'><p>Buy now! {STORY}</p></div></article></body>"
+        assert text(both) == STORY.strip(), name
+    nothing = f"<body><nav>Home</nav><div class='cookie-notice'><p>{STORY}</p></div><footer>x</footer></body>"
+    assert text(nothing) == ""
+
+
+def test_a_list_of_links_in_an_article_stays_and_a_menu_goes():
+    links = "<ul><li><a href=a>First source</a></li><li><a href=b>Second source</a></li><li><a href=c>Third source</a></li></ul>"
+    assert text(f"<body><article><p>{STORY}</p>{links}</article></body>").endswith("First source\n\nSecond source\n\nThird source")
+    assert text(f"<body>{links}<article><p>{STORY}</p></article></body>") == STORY.strip()
+
+
+def test_pages_with_clashing_columns_nulls_and_copies(spark):
+    page = f"<body><article><p>{STORY}</p></article></body>"
+    long_ = "<body><article>" + f"<p>{STORY}</p>" * 5000 + "</article></body>"
+    rows = [(1, "http://a.b/1", page), (1, "http://a.b/1", page), (2, None, page), (3, "http://a.b/3", None), (4, "http://a.b/4", ""), (None, "http://a.b/5", long_)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    df = df.withColumns({c: tx.F.lit("mine") for c in ("path", "host", "text", "n_chars", "vote")})
+    got = sorted(((r.page_id, r.text) for r in ht.main_texts(df).collect()), key=repr)
+    whole = "\n\n".join([STORY.strip()] * 5000)
+    assert got == sorted([(1, STORY.strip())] * 2 + [(2, STORY.strip()), (3, ""), (4, ""), (None, whole)], key=repr)
+    assert ht.main_texts(df.where("false")).count() == 0

@@ -54,27 +54,39 @@ _PARTS = re.compile(r"[^a-z]+")
 _DIGITS = re.compile(r"\d+")
 MENU_LINKS = 3  # links that make a list a menu, if nearly all its text is in them
 MENU_SHARE = 0.8
+LEAST_TEXT = 40  # letters outside links that make a block running text
+PENALTY = 0.1  # of a container's text that boilerplate next to it can cost
 SHARE = 0.5  # of the best score of a page, from which a path is voted for and taken
 
 
 @dataclass
 class Page:
-    """Containers (parent, path, whether boilerplate) and blocks of a page in order."""
+    """Containers (parent, path, whether boilerplate) and blocks of a page in order.
+
+    ``never`` marks what is boilerplate by its tag or role, or is a menu; ``named`` what only its
+    names say so of.  ``skipped`` is the outcome for a container and all below it.
+    """
 
     parents: list[int] = field(default_factory=lambda: [-1])
     tags: list[str] = field(default_factory=lambda: [""])
     paths: list[str] = field(default_factory=lambda: [""])
+    never: list[bool] = field(default_factory=lambda: [False])
+    named: list[bool] = field(default_factory=lambda: [False])
+    article: list[bool] = field(default_factory=lambda: [False])
     skipped: list[bool] = field(default_factory=lambda: [False])
     links: list[int] = field(default_factory=lambda: [0])
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
 
-def _boilerplate(tag: str, attributes: dict[str, str], inside: bool) -> bool:
-    """Whether an element is a menu, notice, advert, form or the like by its names."""
+def _never(tag: str, attributes: dict[str, str], inside: bool) -> bool:
+    """Whether an element is a menu, form or the like by its tag or role."""
     if tag in _NEVER or (tag == "header" and not inside):
         return True
-    if attributes.get("role", "").lower() in _ROLES or attributes.get("aria-hidden") == "true":
-        return True
+    return attributes.get("role", "").lower() in _ROLES or attributes.get("aria-hidden") == "true"
+
+
+def _named(tag: str, attributes: dict[str, str], inside: bool) -> bool:
+    """Whether the names of an element are those of a notice, advert, menu or the like."""
     if tag in ("body", "main", "article"):
         return False
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
@@ -136,7 +148,10 @@ def parse(text: str) -> Page:
                 page.parents.append(above)
                 page.tags.append(tag)
                 page.paths.append(f"{page.paths[above]}/{name}" if tag != "body" else "/body")
-                page.skipped.append(page.skipped[above] or _boilerplate(tag, attributes, inside))
+                page.never.append(_never(tag, attributes, inside))
+                page.named.append(_named(tag, attributes, inside))
+                page.article.append(page.article[above] or tag in ("article", "main"))
+                page.skipped.append(False)
                 page.links.append(0)
                 stack.append(len(page.tags) - 1)
                 if rest.rstrip().endswith("/") and tag in ("div", "section"):
@@ -144,11 +159,12 @@ def parse(text: str) -> Page:
     add(text[at:])
     flush()
     _mark_menus(page)
+    _decide(page)
     return page
 
 
 def _mark_menus(page: Page) -> None:
-    """Lists of links are menus whatever they are called."""
+    """Lists of links outside an article are menus whatever they are called."""
     size, linked, links = defaultdict(int), defaultdict(int), list(page.links)
     for where, block, n in page.blocks:
         while where >= 0:
@@ -159,23 +175,61 @@ def _mark_menus(page: Page) -> None:
         links[page.parents[k]] += links[k]
     for k in range(1, len(page.parents)):
         menu = page.tags[k] in ("ul", "ol", "div", "section", "table") and links[k] >= MENU_LINKS
-        page.skipped[k] |= page.skipped[page.parents[k]] or (menu and linked[k] >= MENU_SHARE * size[k] > 0)
+        page.never[k] |= menu and not page.article[k] and linked[k] >= MENU_SHARE * size[k] > 0
+
+
+def _decide(page: Page) -> None:
+    """Spreads the marks to what lies below.
+
+    Names alone don't empty an article: while it has no running text outside of containers that are named
+    like boilerplate, the one of them with most text loses its mark.
+    """
+    while True:
+        for k in range(1, len(page.parents)):
+            page.skipped[k] = page.skipped[page.parents[k]] or page.never[k] or page.named[k]
+        if any(not page.skipped[k] and len(block) - linked >= LEAST_TEXT for k, block, linked in page.blocks):
+            return
+        held: dict[int, int] = defaultdict(int)
+        for where, block, linked in page.blocks:
+            chain = []
+            while where > 0:
+                chain.append(where)
+                where = page.parents[where]
+            if not any(page.never[k] for k in chain):
+                for k in chain:
+                    if page.named[k] and page.article[k] and len(block) - linked >= LEAST_TEXT:
+                        held[k] += len(block) - linked
+        if not held:
+            return
+        page.named[max(held, key=lambda k: (held[k], -k))] = False
 
 
 def _values(page: Page) -> list[float]:
-    """Running text less links and boilerplate below each container; 0 for boilerplate."""
-    total = [0.0] * len(page.parents)
+    """Running text less links below each container; 0 for boilerplate.
+
+    Boilerplate is not extracted, so it costs an ancestor no more than ``PENALTY`` of its text: enough
+    to prefer the article to the whole body, never so much that a part is preferred to the whole.
+    """
+    n = len(page.parents)
+    text, size, bad = [0.0] * n, [0] * n, [0] * n
     for where, block, linked in page.blocks:
-        bad = page.skipped[where]
-        value = -len(block) if bad else len(block) - 2 * min(linked, len(block))
+        skipped = page.skipped[where]
         while where >= 0:
-            total[where] += value
+            if skipped:
+                bad[where] += len(block)
+            else:
+                size[where] += len(block)
+                text[where] += len(block) - 2 * min(linked, len(block))
             where = page.parents[where]
-    return [0.0 if skipped else max(0.0, value) for value, skipped in zip(total, page.skipped, strict=True)]
+    out = []
+    for k in range(n):
+        good = max(text[k], 0.001 * size[k])
+        out.append(0.0 if page.skipped[k] or not size[k] else good * (1 - PENALTY * bad[k] / (bad[k] + size[k])))
+    return out
 
 
 def scores(page: Page) -> dict[str, float]:
-    """Running text less links and boilerplate below each path, best of equal paths."""
+    """The value of the containers with each path, best of equal paths."""
     out: dict[str, float] = {}
     for path, value in zip(page.paths, _values(page), strict=True):
         if value > 0:
@@ -218,16 +272,20 @@ def _host():
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Votes of a batch by host and path: a page gives each path its share of its best."""
+    """Votes of a batch by host and path.
+
+    A page gives a whole vote to its best path and up to half a vote, by their share of the best,
+    to the others.
+    """
     for batch in batches:
         votes: dict[tuple[str, str], list[float]] = defaultdict(lambda: [0.0, 0])
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             found = scores(parse(source or ""))
-            top = max(found.values(), default=0.0)
+            own = best_path(found)
             for path, value in found.items():
-                if value >= SHARE * top:
+                if value >= SHARE * found[own]:
                     vote = votes[host, path]
-                    vote[0] += value / top
+                    vote[0] += 1.0 if path == own else value / found[own] / 2
                     vote[1] += 1
         keys = list(votes)
         yield pa.RecordBatch.from_arrays(
