@@ -154,8 +154,12 @@ def test_joined_and_shipped_models_score_alike(spark, frame, monkeypatch):
     marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     model = tx.fit(docs, marks)
     shipped = sorted(tuple(r) for r in tx.scored(docs, model).collect())
+    assert model.table is not None
+    joined = tx.replace(model, table=None)
+    assert sorted(tuple(r) for r in tx.scored(docs, joined).collect()) == shipped
     monkeypatch.setattr(tx, "SHIPPED", 0)
-    assert sorted(tuple(r) for r in tx.scored(docs, model).collect()) == shipped
+    again = tx.fit(docs, marks)
+    assert again.table is None and (again.neutral, again.weight, again.bias) == (model.neutral, model.weight, model.bias)
 
 
 def test_words_are_read_to_their_end(spark):

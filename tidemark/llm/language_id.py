@@ -21,19 +21,16 @@ from tidemark.llm.inputs import fold
 
 UNDETERMINED = "und"
 SAMPLE_DOCUMENTS = 512  # labelled documents per language that a dictionary may use
-SAMPLE_CHARS = 512  # of each of them
-DICTIONARY_BYTES = 1 << 17
+SAMPLE_CHARS = 512  # of each of them, at a place that its hash chooses
+DICTIONARY_BYTES = 4 * SAMPLE_DOCUMENTS * (SAMPLE_CHARS + 1)  # no sample is larger
 BLOCK = 4096
-# greedy search for matches of three bytes and more: the syllables of a language
+# good parses with matches of three bytes and more, the syllables of a language, as far back as dictionaries reach
 SEARCH = dict(
-    window_log=18, hash_log=16, chain_log=17, search_log=4, min_match=3,
-    strategy=zstandard.STRATEGY_GREEDY, write_content_size=False,
+    window_log=21, hash_log=17, chain_log=18, search_log=4, min_match=3,
+    strategy=zstandard.STRATEGY_BTOPT, write_content_size=False,
 )
-# a few words need the best parse, or their code lengths tie
-SHORT = 256
-SHORT_SEARCH = SEARCH | dict(search_log=6, strategy=zstandard.STRATEGY_BTULTRA2)
 NARROW = 1  # bytes that the best language must lead by, however short a text is
-TRIED = 1024  # sampled texts on which the least lead in proportion to the size is chosen
+TRIED = 1024  # whole sampled texts on which the least lead in proportion to the size is chosen
 CLEAN = 0.005  # quantile of their leads, of which half must be reached
 
 # ASCII other than letters is a blank; bytes of other characters stay
@@ -56,17 +53,13 @@ class Model:
         """Whether a text of that language, lead and size is accepted."""
         return lang != UNDETERMINED and margin >= max(NARROW, self.narrow * best)
 
-    def compressors(self) -> list[tuple[str, zstandard.ZstdCompressor, zstandard.ZstdCompressor]]:
-        """Language, compressor of blocks and compressor of short texts."""
-        out = []
+    def compressors(self) -> list[tuple[str, zstandard.ZstdCompressor]]:
+        """Language and compressor of blocks."""
+        search, out = zstandard.ZstdCompressionParameters(**SEARCH), []
         for lang, content in self.dictionaries.items():
-            both = []
-            for search in (SEARCH, SHORT_SEARCH):
-                search = zstandard.ZstdCompressionParameters(**search)
-                shared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                shared.precompute_compress(compression_params=search)
-                both.append(zstandard.ZstdCompressor(compression_params=search, dict_data=shared))
-            out.append((lang, *both))
+            shared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            shared.precompute_compress(compression_params=search)
+            out.append((lang, zstandard.ZstdCompressor(compression_params=search, dict_data=shared)))
         return out
 
 
@@ -74,8 +67,10 @@ def fit(docs: DataFrame) -> Model:
     """Dictionaries from labelled rows outside the held-out fold.
 
     A bounded sample: ``SAMPLE_DOCUMENTS`` per language, those with the smallest hashes
-    of their ids, and ``SAMPLE_CHARS`` of each.  A quarter of it, against dictionaries of
-    the rest, shows by how much clean texts lead.  Null texts and null labels are skipped.
+    of their ids, and of each an excerpt of ``SAMPLE_CHARS`` that begins where a hash says.  A dictionary
+    holds all excerpts of its language.  A quarter of the sampled rows, as whole
+    texts of whatever length against dictionaries of the rest, shows by how much clean
+    texts lead; ``TRIED`` of them at most.  Null texts and null labels are skipped.
     """
     labelled = docs.filter((fold() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
@@ -90,37 +85,42 @@ def fit(docs: DataFrame) -> Model:
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= SAMPLE_DOCUMENTS)
     )
+    place = F.pmod(F.xxhash64("doc_id", F.lit("excerpt")), F.greatest(F.length("text") - (SAMPLE_CHARS - 1), F.lit(1))) + 1
+    tried = max(1, TRIED // max(len(counts), 1))
     rows = (
-        labelled.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+        labelled.select("doc_id", "text", F.substring("text", place.cast("int"), F.lit(SAMPLE_CHARS)).alias("excerpt"))
         .join(F.broadcast(chosen), "doc_id")  # SAMPLE_DOCUMENTS rows per language
-        .select("lang", "place", "text")
+        .select("lang", "place", "excerpt", F.when((F.col("place") % 4 == 0) & (F.col("place") <= 4 * tried), F.col("text")).alias("text"))
         .collect()
     )
-    found: dict[str, list[bytes]] = {}
-    for row in sorted(rows, key=lambda r: (r.lang, r.place, r.text)):
-        found.setdefault(row.lang, []).append(normalised(row.text))
+    found: dict[str, list[tuple[int, bytes, str | None]]] = {}
+    for row in sorted(rows, key=lambda r: (r.lang, r.place, r.excerpt)):
+        found.setdefault(row.lang, []).append((row.place, normalised(row.excerpt), row.text))
     order = sorted(found, key=lambda lang: (-counts[lang], lang))
     return Model(_dictionaries({k: found[k] for k in order}), _least_lead({k: found[k] for k in order}))
 
 
-def _dictionaries(texts: dict[str, list[bytes]]) -> dict[str, bytes]:
-    joined = {lang: b" ".join(own)[-DICTIONARY_BYTES:] for lang, own in texts.items()}
-    return {k: v for k, v in joined.items() if len(v) >= 8}
+def _dictionaries(texts: dict[str, list[tuple[int, bytes, str | None]]], without: int | None = None) -> dict[str, bytes]:
+    """All excerpts of each language, or those whose place isn't a multiple of ``without``."""
+    joined = {k: b" ".join(x for place, x, _ in own if not without or place % without) for k, own in texts.items()}
+    return {k: v[-DICTIONARY_BYTES:] for k, v in joined.items() if len(v) >= 8}
 
 
-def _least_lead(texts: dict[str, list[bytes]]) -> float:
-    """Half the ``CLEAN`` quantile of margin by size, of texts that are rightly identified."""
-    known = _dictionaries({lang: [x for k, x in enumerate(own) if k % 4] for lang, own in texts.items()})
+def _least_lead(texts: dict[str, list[tuple[int, bytes, str | None]]]) -> float:
+    """Half the ``CLEAN`` quantile of margin by size, of whole texts that are rightly identified."""
+    known = _dictionaries(texts, 4)
     if len(known) < 2:
         return 0.0
     compressors, names = Model(known).compressors(), list(known)
     leads = []
     for lang in names:
-        for plain in texts[lang][::4][: max(1, TRIED // len(names))]:
-            sizes = _sizes(plain, compressors)
-            best, second = np.partition(sizes, 1)[:2]
-            if plain and second > best and names[int(sizes.argmin())] == lang:
-                leads.append((second - best) / best)
+        for _, _, text in texts[lang]:
+            plain = normalised(text) if text else b""
+            if plain:
+                sizes = _sizes(plain, compressors)
+                best, second = np.partition(sizes, 1)[:2]
+                if second > best and names[int(sizes.argmin())] == lang:
+                    leads.append((second - best) / best)
     return float(np.quantile(leads, CLEAN)) / 2 if leads else 0.0
 
 
@@ -129,16 +129,13 @@ def _sizes(plain: bytes, compressors) -> np.ndarray:
     sizes = np.zeros(len(compressors), np.int64)
     for at in range(0, len(plain), BLOCK):
         block = plain[at : at + BLOCK]
-        for k, (_, usual, thorough) in enumerate(compressors):
-            sizes[k] += len((thorough if len(plain) <= SHORT else usual).compress(block))
+        for k, (_, compressor) in enumerate(compressors):
+            sizes[k] += len(compressor.compress(block))
     return sizes
 
 
 def classify(text: str | None, compressors) -> tuple[str, float, int, int]:
-    """``language, score, margin, size`` of one text; the last two in compressed bytes.
-
-    A text no longer than the excerpts that the least lead was chosen on has the size 0.
-    """
+    """``language, score, margin, size`` of one text; the last two in compressed bytes."""
     if not text or not compressors or not any(map(str.isalpha, text)):
         return UNDETERMINED, 0.0, 0, 0
     plain = normalised(text)
@@ -147,7 +144,7 @@ def classify(text: str | None, compressors) -> tuple[str, float, int, int]:
     rest = np.delete(sizes, best)
     margin = int(rest.min() - sizes[best]) if len(rest) else int(sizes[best])
     score = 1.0 / float(np.exp2(-np.minimum(sizes - sizes[best], 60.0)).sum())
-    return compressors[best][0], score, margin, int(sizes[best]) if len(plain) > SAMPLE_CHARS else 0
+    return compressors[best][0], score, margin, int(sizes[best])
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -29,6 +29,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,6 +124,7 @@ class Model:
     weight: float = 1.0
     bias: float = 0.0
     neutral: float = NEUTRAL
+    table: Broadcast | None = None  # the entries, if they measure small
 
 
 def discounts(once: int, twice: int, thrice: int, four: int) -> tuple[float, float, float]:
@@ -222,7 +224,7 @@ def fit_counts(rows: DataFrame) -> Model:
     kept = staged(entries.where("value <> 0"), "toxicity-entries")
     base = round(worth.where(F.col("history") == START).first()["after"] / UNIT)
     remove_folder(spark, scratch)
-    return Model(kept, base)
+    return Model(kept, base, table=_table(kept))
 
 
 def _beyond(ratio: int, neutral: int) -> int:
@@ -247,17 +249,23 @@ def evidence(words: DataFrame, model: Model) -> DataFrame:
     return ratio.select("word", "n", beyond.alias("value")).filter("value <> 0")
 
 
-def _shipped(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
-    """``_ratios`` with the whole model in every task: one pass over the texts."""
-    table = model.entries.select("entry", "value").toArrow()
+def _table(entries: DataFrame) -> Broadcast | None:
+    """Sorted entries and their values for every task, unless there are more than ``SHIPPED``."""
+    if not 0 < entries.count() <= SHIPPED:
+        return None
+    table = entries.select("entry", "value").toArrow()
     entry, value = table["entry"].to_numpy().view(np.uint64), table["value"].to_numpy()
     order = np.argsort(entry)
-    kept = docs.sparkSession.sparkContext.broadcast((entry[order], value[order]))
-    base, neutral = model.base, round(model.neutral / UNIT)
+    return entries.sparkSession.sparkContext.broadcast((entry[order], value[order]))
+
+
+def _shipped(docs: DataFrame, model: Model, columns: list[str], bands: tuple[float, ...]) -> DataFrame:
+    """``_ratios`` with the whole model in every task: one pass over the texts for all bands."""
+    kept, base, neutral = model.table, model.base, [round(b / UNIT) for b in bands]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, values = kept.value
-        known: dict[str, int] = {}
+        known: list[dict[str, int]] = [{} for _ in neutral]
 
         def learn(words: list[str]) -> None:
             listed = [entries_of(w) for w in words]
@@ -266,37 +274,46 @@ def _shipped(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
             place = np.minimum(np.searchsorted(entries, flat), len(entries) - 1)
             found = np.where(entries[place] == flat, values[place], 0)
             totals = np.add.reduceat(found, np.concatenate([[0], np.cumsum(sizes)[:-1]]))
-            known.update((w, _beyond(base + int(v), neutral)) for w, v in zip(words, totals, strict=True))
+            for values_of, band in zip(known, neutral, strict=True):
+                values_of.update((w, _beyond(base + v, band)) for w, v in zip(words, totals.tolist(), strict=True))
 
         for batch in batches:
             ratios = []
             for text in batch.column(0).to_pylist():
                 words = _WORD.findall(text.lower()) if text else []
-                new = [w for w in dict.fromkeys(words) if w not in known]
+                new = [w for w in dict.fromkeys(words) if w not in known[0]]
                 for at in range(0, len(new), 20_000):
                     learn(new[at : at + 20_000])
-                ratios.append(sum(map(known.__getitem__, words)) * UNIT / (len(words) + PRIOR_WORDS))
-                if len(known) > 500_000:  # what was looked up can be looked up again
-                    known.clear()
+                ratios.append([sum(map(of.__getitem__, words)) * UNIT / (len(words) + PRIOR_WORDS) for of in known])
+                if len(known[0]) > 500_000:  # what was looked up can be looked up again
+                    for of in known:
+                        of.clear()
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(ratios, pa.float64())], names=[*batch.schema.names[1:], "ratio"]
+                [*batch.columns[1:], pa.array(ratios, pa.list_(pa.float64()))], names=[*batch.schema.names[1:], "ratios"]
             )
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return docs.select("text", *columns).mapInArrow(run, schema + ", ratio double")
+    return docs.select("text", *columns).mapInArrow(run, schema + ", ratios array<double>")
 
 
-def _ratios(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
-    """``docs`` with ``ratio``: mean log ratio of the words of each whole text."""
+def _ratios(docs: DataFrame, model: Model, columns: list[str], bands: tuple[float, ...]) -> DataFrame:
+    """``columns, ratios``: per band, the mean log ratio of the words of each whole text."""
     if model.entries is None:
-        return docs.select(*columns, F.lit(0.0).alias("ratio"))
-    if 0 < model.entries.count() <= SHIPPED:
-        return _shipped(docs, model, columns)
-    return _joined(docs, model, columns)
+        return docs.select(*columns, F.array(*[F.lit(0.0) for _ in bands]).alias("ratios"))
+    if model.table is not None:
+        return _shipped(docs, model, columns, bands)
+    docs = docs.select("text", *columns, F.monotonically_increasing_id().alias("row"))
+    found = None
+    for k, band in enumerate(bands):
+        one = _joined(docs, replace(model, neutral=band), [*columns, "row"]).withColumnRenamed("ratio", f"ratio{k}")
+        found = one if found is None else found.join(one.select("row", f"ratio{k}"), "row")
+    return found.select(*columns, F.array(*[f"ratio{k}" for k in range(len(bands))]).alias("ratios"))
 
 
 def _joined(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
-    """``_ratios`` for a model of any size: its entries are joined with the distinct words.
+    """``columns, ratio`` with a model of any size: its entries are joined with the distinct words.
+
+    ``columns`` end with ``row``, which is unique.
 
     Frequent words are looked up where the texts lie; the others, of which none is
     frequent, are joined with their values and summed per row.
@@ -334,9 +351,9 @@ def _joined(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
                 names=[*batch.schema.names[1:], "own", "size", "rare", "times"],
             )
 
-    keyed = docs.select("text", *columns, F.monotonically_increasing_id().alias("row"))
+    keyed = docs.select("text", *columns)
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    schema += ", row long, own long, size long, rare array<string>, times array<long>"
+    schema += ", own long, size long, rare array<string>, times array<long>"
     texts = staged(keyed.mapInArrow(run, schema), "toxicity-texts")
     rare = (
         texts.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x"))
@@ -384,17 +401,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     learned = broadcast_if_small(marks.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_anti"))
     model = fit_counts(texts.join(learned, "doc_id").select("text", "toxic"))
     best = None
-    for band in BANDS if model.entries is not None else ():
-        tried = replace(model, neutral=band)
-        seen = _ratios(texts.join(F.broadcast(chosen), "doc_id"), tried, ["doc_id", "toxic"]).toPandas()
-        x, y = seen["ratio"].to_numpy(float), seen["toxic"].to_numpy(float)
-        if len(set(y)) < 2:
-            break
+    seen = _ratios(texts.join(F.broadcast(chosen), "doc_id"), model, ["doc_id", "toxic"], BANDS).toPandas()
+    seen = seen.sort_values(["doc_id", "toxic"], kind="stable")  # the fit adds up in one order
+    y = seen["toxic"].to_numpy(float)
+    for k, band in enumerate(BANDS if len(set(y)) == 2 else ()):
+        x = np.array([r[k] for r in seen["ratios"]])
         weight, bias = _logistic(x, y)
         p = 1 / (1 + np.exp(-np.clip(x * weight + bias, -30, 30)))
         loss = -np.mean(np.log(np.where(y == 1, p, 1 - p)))
         if best is None or loss < best[0]:
-            best = loss, replace(tried, weight=weight, bias=bias)
+            best = loss, replace(model, neutral=band, weight=weight, bias=bias)
     return best[1] if best else replace(model, weight=10.0, bias=-1.0)
 
 
@@ -405,7 +421,9 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     has the ratio 0 and the score that goes with it; repeated rows are scored alike.
     Without labels of both classes all ratios are 0.  An empty table gives no rows.
     """
-    found = _ratios(docs.withColumn("held_out", fold() == 0), model, ["doc_id", "held_out"])
+    marked = docs.select("doc_id", "text", (fold() == 0).alias("held_out"))
+    found = _ratios(marked, model, ["doc_id", "held_out"], (model.neutral,))
+    found = found.select("doc_id", "held_out", F.col("ratios")[0].alias("ratio"))
     score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("ratio") * model.weight + model.bias))))
     return found.withColumn("score", score).select(
         "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "ratio"
