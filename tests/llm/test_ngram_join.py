@@ -91,3 +91,22 @@ def test_empty_table_and_clashing_columns(spark):
     kept = ngram_join.one_of_each(df)
     assert kept.columns == df.columns
     assert [r.doc_id for r in kept.collect()] == [1]
+
+
+@pytest.mark.parametrize("parts", [1, 2, 8, 211])
+def test_small_tables_at_any_number_of_partitions(spark, parts):
+    ship_code(spark)
+    tables = [
+        [(1, "one document of a few words")],
+        [(1, None), (2, ""), (3, " \t ")],
+        [(1, "four words are equal"), (2, "four words are equal")],
+        [(1, "x"), (2, "x"), (3, None)],
+    ]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        for rows in tables if parts < 200 else tables[2:3]:
+            df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+            assert run(df, 3, Fraction(9, 10)) == brute_force(rows, 3, Fraction(9, 10))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
