@@ -276,12 +276,15 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Counts, base verdict, ``kept`` and the rejecting ``rule`` for every row of ``docs``.
 
     ``docs`` needs ``doc_id`` (distinct, not null) and ``text``, ``labels`` ``doc_id`` and
-    ``quality``; other columns are not read, labels that are null are skipped.  A null
+    ``quality``; other columns are not read, labels that are neither 0 nor 1 are skipped and of
+    clashing ones the rejecting counts.  A null
     or empty text has no words and fails the base.  An empty table gives no rows.
     Equal three-word windows are found by 64-bit hashes within one text.
     """
     found = staged(counts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")), "quality-counts")
-    rules = learn(found.join(labels.select("doc_id", "quality").dropDuplicates(["doc_id"]), "doc_id"))
+    # where the labels of a document clash, one that rejects it counts
+    marks = labels.select("doc_id", "quality").where("quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    rules = learn(found.join(marks, "doc_id"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (
         found.withColumn("base_failed", failed)
