@@ -113,10 +113,17 @@ def note_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
     row.coalesce(1).write.mode("overwrite").text(f"{path}/{SCHEMA_NOTE}")
 
 
-def _grow_schema(df: DataFrame, path: str) -> T.StructType:
-    """The table's columns with those of ``df``; noted if they are more than before."""
+def _grow_schema(df: DataFrame, path: str) -> tuple[T.StructType, bool]:
+    """The table's columns with those of ``df``, and whether they are more than before."""
     known = table_schema(df.sparkSession, path)
-    return widened(known, T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]))
+    schema = widened(known, T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]))
+    return schema, known is None or len(schema) > len(known)
+
+
+def _note_if(grown: bool, spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """A table whose columns are as before has its note already."""
+    if grown:
+        note_schema(spark, path, schema)
 
 
 def _drop_uncovered(
@@ -164,16 +171,16 @@ def load_bronze(
     if not by and not replace_where:
         raise ValueError("an incremental load needs partition columns or replace_where")
     spark = df.sparkSession
-    schema = _grow_schema(df, path)
+    schema, grown = _grow_schema(df, path)
     if not replace_where:
         _overwrite_partitions(sized(df, *by), path, by)
-        note_schema(spark, path, schema)
+        _note_if(grown, spark, path, schema)
         return
     where = F.expr(replace_where)
     df = assert_all(df, where, f"row outside replace_where: {replace_where}")
     if by and _names_only(spark, schema, by, replace_where):
         _overwrite_partitions(sized(df, *by), path, by)
-        note_schema(spark, path, schema)
+        _note_if(grown, spark, path, schema)
         _drop_uncovered(spark, path, by, where, df.select(*by))
         return
     rows = conform(df, schema)
@@ -209,12 +216,12 @@ def full_refresh(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -
 
 def append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
     """Adds rows; columns that the table does not have yet are added to it."""
-    schema = _grow_schema(df, path)
+    schema, grown = _grow_schema(df, path)
     writer = df.write.mode("append")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)
-    note_schema(df.sparkSession, path, schema)
+    _note_if(grown, df.sparkSession, path, schema)
 
 
 def touched_dates(df: DataFrame, column: str = "dt") -> list[date]:
@@ -235,7 +242,7 @@ def upsert_partitions(
     an error.  Returns the dates that were rewritten.
     """
     incoming, staging = work_path(spark, "changes"), work_path(spark, "upsert")
-    schema = _grow_schema(changes, path)
+    schema, grown = _grow_schema(changes, path)
     sized(changes, by).write.partitionBy(by).parquet(incoming)
     changes = spark.read.schema(changes.schema).parquet(incoming)
     days = touched_dates(changes, by)
@@ -247,7 +254,7 @@ def upsert_partitions(
             existing = read_partitioned(spark, path, [d.isoformat() for d in days], schema=schema)
             merged = upsert(existing, merged, keys)
         written = _copy_through(merged, staging, path, by)
-        note_schema(spark, path, schema)
+        _note_if(grown, spark, path, schema)
         emptied = sorted(set(days) - set(touched_dates(written, by)))
         if emptied:
             wanted = F.col(by).isin(*[F.lit(d).cast(schema[by].dataType) for d in emptied])
@@ -290,12 +297,12 @@ def rewrite_partitions(
     All columns of the table are kept.  A date whose rows are all deleted is dropped.
     """
     edited = read_partitioned(spark, path, days).transform(edit)
-    schema = _grow_schema(edited, path)
+    schema, grown = _grow_schema(edited, path)
     staging = work_path(spark, "rewrite")
     sized(edited, by).write.partitionBy(by).parquet(staging)
     staged = spark.read.schema(edited.schema).parquet(staging)
     _overwrite_partitions(staged, path, [by])
-    note_schema(spark, path, schema)
+    _note_if(grown, spark, path, schema)
     wanted = F.col(by).isin(*[F.lit(d).cast(edited.schema[by].dataType) for d in days])
     _drop_uncovered(spark, path, [by], wanted, staged.select(by))
     remove_folder(spark, staging)
