@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from tidemark.operators import runs
+from tidemark.functions.keys import surrogate_id
+from tidemark.operators import edits, runs
 from tidemark.plans import inputs
 from tidemark.plans.inputs import table, with_sql
 from tidemark.plans.registry import query
+from tidemark.session import staged
+from tidemark.sinks import catalog
 
 BUSINESS_MONTH = "1998-06-01"
 NOW = "1998-01-01 00:00:00"
@@ -222,3 +227,39 @@ def load_outcomes(spark, sf_dir):
     arrived = events.select(F.col("user_id").alias("table_id"), F.col("dt").alias("run_dt"))
     feeds = arrived.select("table_id").distinct()
     return runs.load_outcomes(arrived, *WINDOW, feeds=feeds)
+
+
+@query(
+    with_sql(inputs.REGISTRY_SQL)
+    + """SELECT l.table_id, l.process_type, l.load_type, r.source_table_name, r.load_priority,
+  l.process_type = 'SILVER' AS is_lowered, CAST(6 AS BIGINT) AS metadata_tables
+FROM layers l JOIN registry r USING (table_id) WHERE l.is_active AND r.is_active"""
+)
+def catalogued_configuration(spark, sf_dir):
+    """Configuration inserted into metadata tables of the catalog, edited there and asked by parameter."""
+    prefix = f"q{uuid.uuid4().hex[:12]}_"
+    database = f"{prefix}metadata"
+    layers = catalog.create_layers(spark, prefix)
+    try:
+        catalog.create_metadata_tables(spark, database)
+        tables = catalog.describe(spark, database).select("table_name").distinct().count()
+        catalog.insert_rows(inputs.feed_registry(spark, sf_dir), f"{database}.table_config")
+        rules = inputs.feed_layers(spark, sf_dir).withColumn("process_config_id", surrogate_id("table_id", "process_type"))
+        stored = f"{database}.table_process_config"
+        catalog.insert_rows(rules, stored)
+        silver = F.col("process_type") == "SILVER"
+        catalog.replace_rows(edits.updated(spark.table(stored), silver, {"created_by": F.lit("lowered")}), stored)
+        spark.catalog.refreshTable(stored)
+        asked = catalog.query(
+            spark,
+            f"""SELECT l.table_id, l.process_type, l.load_type, r.source_table_name, r.load_priority,
+              coalesce(l.created_by = :mark, false) AS is_lowered, CAST(:tables AS BIGINT) AS metadata_tables
+            FROM {stored} l JOIN {database}.table_config r ON l.table_id = r.table_id
+            WHERE l.is_active AND r.is_active""",
+            mark="lowered", tables=tables,
+        )
+        return staged(asked, "catalogued")
+    finally:
+        catalog.drop_metadata_tables(spark, database)
+        for name in layers:
+            spark.sql(f"DROP DATABASE IF EXISTS `{name}`")
