@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.plans import QUERIES, inputs
 from tidemark.operators import lending, quality, reports
@@ -64,3 +65,13 @@ def test_window_is_applied_before_loads_are_counted(spark, sf_dir, plan):
     text = plan(QUERIES["load_outcomes"](spark, sf_dir))
     counted = text[text.index("partial_count"):]
     assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(ts,2024-01-10", counted)
+
+
+def test_a_fan_out_gets_tasks_by_the_rows_it_makes(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(inputs, "ROWS_PER_TASK", 5_000)
+    schedule = QUERIES["full_tenure_schedule"](spark, sf_dir)
+    per_task = schedule.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert per_task < 10_000 < schedule.count()
+    # few rows are still spread over the cores
+    assert inputs.spread(spark.range(8, numPartitions=1), 1).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert inputs.spread(spark.range(0, 0, 1, 9), 1).rdd.getNumPartitions() == 9

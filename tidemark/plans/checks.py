@@ -202,7 +202,7 @@ FROM {_BUSINESS_VIEWS[r.child]} c WHERE "{child}" IS NOT NULL"""
 def business_relations(spark, sf_dir):
     """The declared foreign keys of the lending tables that follow from the customers."""
     ids = inputs.client_ids(spark, sf_dir)
-    accounts = lending.accounts(inputs.spread(ids))
+    accounts = lending.accounts(inputs.spread(ids, inputs.ROWS_OF_CLIENT))
     loans = lending.loans(accounts)
     frames = {
         "t_Client": lending.clients(ids, inputs.TODAY),

@@ -20,6 +20,10 @@ TODAY = "2024-03-01"
 FIRST_DAY = "2024-02-01"
 DAYS = 29
 OPEN_RATE = 0.05
+#: How many rows a task may produce of those it was given.
+ROWS_PER_TASK = 4_000_000
+#: Up to two accounts of a client, two loans of an account, and their installments.
+ROWS_OF_CLIENT = 2 * 2 * FEED_INSTALLMENTS
 STATUS_OF_ORDER = {"F": "SUCCESS", "O": "FAILED", "P": "SKIPPED"}
 
 
@@ -28,15 +32,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, if the scan has fewer splits than there are cores.
+def spread(df: DataFrame, fan_out: Column | int) -> DataFrame:
+    """Rows over all cores, and over as many tasks as what they fan out to needs.
 
-    For plans that multiply every row many times: the supplied files are read by
-    one task each, and that task would then produce the whole output.  Input of
-    cluster size has splits enough and is left where it is.
+    For plans that multiply every row many times, ``fan_out`` being the rows made of each:
+    the splits of a scan follow the bytes read, which say nothing of the rows that a task is
+    to produce.  No task gets more than about ``ROWS_PER_TASK`` of those, however large the
+    input.  Costs one scan of the columns that ``fan_out`` names.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    fan_out = F.lit(fan_out) if isinstance(fan_out, int) else fan_out
+    produced = df.agg(F.sum(fan_out.cast("bigint"))).first()[0] or 0
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-produced // ROWS_PER_TASK))
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
 
 def day(column: str) -> Column:
@@ -51,7 +58,7 @@ def client_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accounts_of_clients(spark: SparkSession, sf_dir: str, seq_width: int = 4) -> DataFrame:
-    return lending.accounts(spread(client_ids(spark, sf_dir)), seq_width=seq_width)
+    return lending.accounts(spread(client_ids(spark, sf_dir), ROWS_OF_CLIENT), seq_width=seq_width)
 
 
 def loans_of_clients(spark: SparkSession, sf_dir: str, seq_width: int = 4) -> DataFrame:

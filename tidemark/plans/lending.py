@@ -173,7 +173,7 @@ def segment_bands(spark, sf_dir):
 )
 def amortisation_schedule(spark, sf_dir):
     """Every installment of every loan: equal rounded shares."""
-    loans = inputs.spread(inputs.order_loans(spark, sf_dir))
+    loans = inputs.spread(inputs.order_loans(spark, sf_dir), F.col("n"))
     return lending.schedule(loans).select(
         "loan", "k", "due_date", "principal_due", "interest_due"
     )
@@ -186,7 +186,7 @@ def amortisation_schedule(spark, sf_dir):
 )
 def full_tenure_schedule(spark, sf_dir):
     """Every installment over the whole tenure, up to 371 months."""
-    loans = inputs.spread(inputs.order_loans(spark, sf_dir, max_installments=None))
+    loans = inputs.spread(inputs.order_loans(spark, sf_dir, max_installments=None), F.col("n"))
     return lending.schedule(loans).select(
         "loan", "k", "due_date", "principal_due", "interest_due"
     )
@@ -202,7 +202,7 @@ FROM schedule GROUP BY loan"""
 )
 def settled_schedule(spark, sf_dir):
     """Schedules whose last installment takes the rounding remainder, summed per loan."""
-    loans = inputs.spread(inputs.order_loans(spark, sf_dir))
+    loans = inputs.spread(inputs.order_loans(spark, sf_dir), F.col("n"))
     shares = lending.schedule(loans, settle_remainder=True)
     return shares.groupBy("loan").agg(
         F.count(F.lit(1)).alias("installments"),
