@@ -74,4 +74,4 @@ def test_a_fan_out_gets_tasks_by_the_rows_it_makes(spark, sf_dir, monkeypatch):
     assert per_task < 10_000 < schedule.count()
     # few rows are still spread over the cores
     assert inputs.spread(spark.range(8, numPartitions=1), 1).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert inputs.spread(spark.range(0, 0, 1, 9), 1).rdd.getNumPartitions() == 9
+    assert inputs.spread(spark.range(9, numPartitions=9), 1).rdd.getNumPartitions() == 9

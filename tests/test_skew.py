@@ -53,6 +53,18 @@ def test_rare_duplicates_give_the_same_rows(spark, hot, rows, monkeypatch, small
     )
 
 
+def test_rare_duplicates_shuffle_no_key(spark, rows, monkeypatch):
+    df = spark.createDataFrame([("a", 1, 1), ("a", 1, 2), ("a", 2, 3), (None, 1, 4), (None, 1, 5), ("b", 1, 6)], "k string, n int, v int")
+    kept, plain = [], dedup.staged
+    monkeypatch.setattr(dedup, "staged", lambda frame, name: kept.append(frame) or plain(frame, name))
+    want = rows(dedup.latest_per_key(df, ["k", "n"], ["v"]))
+    assert rows(dedup.latest_where_rare(df, ["k", "n"], ["v"])) == want
+    assert [f.dtypes for f in kept] == [[("_key_hash", "bigint")]]
+    # keys that share a hash are told apart
+    monkeypatch.setattr(dedup.F, "xxhash64", lambda *_: dedup.F.lit(7).cast("bigint"))
+    assert rows(dedup.latest_where_rare(df, ["k", "n"], ["v"]), "k", "n", "v") == want
+
+
 def test_counts(hot, local, rows):
     counts = collections.Counter(k for k, _ in local)
     assert rows(quality.duplicate_keys(hot, ["k"])) == sorted(

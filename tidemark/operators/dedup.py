@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import broadcast_if_small, matching
+from tidemark.operators.joins import broadcast_if_small
 from tidemark.session import staged
 
 
@@ -29,28 +29,32 @@ def latest_per_key(
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
+_KEY_HASH = "_key_hash"
+
+
 def latest_where_rare(
     df: DataFrame, keys: Sequence[str], newest_first: Sequence[str | Column]
 ) -> DataFrame:
     """``latest_per_key`` for input in which few keys occur twice.
 
-    The repeated keys are found first and staged: only keys are shuffled, counted
-    map-side.  If they measure small they are broadcast; all other rows pass
-    without a shuffle or a sort, and only the copies are ranked.  If not, every
-    row is ranked.  Reads the input twice, so it pays off on scans, where whole
-    rows are many times wider than their key.
+    Hashes of keys that occur twice are found first and staged: of a row only one number is
+    shuffled, counted map-side, however wide its key.  If they measure small they are
+    broadcast; all other rows pass without a shuffle or a sort, and only the rows with such a
+    hash are ranked, by the keys themselves, so that keys that happen to share a hash are
+    told apart.  If not, every row is ranked.  Reads the input twice, so it pays off where
+    whole rows are many times wider than a number.
     """
-    names = list(keys)
+    marked = df.withColumn(_KEY_HASH, F.xxhash64(*keys))
     repeated = staged(
-        df.groupBy(*names).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select(*names),
+        marked.groupBy(_KEY_HASH).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select(_KEY_HASH),
         "repeated-keys",
     )
     checked = broadcast_if_small(repeated)
     if checked is repeated:
         return latest_per_key(df, keys, newest_first)
-    single = matching(df, checked, names, "left_anti")
-    copies = latest_per_key(matching(df, checked, names), keys, newest_first)
-    return single.unionByName(copies)
+    single = marked.join(checked, _KEY_HASH, "left_anti").drop(_KEY_HASH)
+    copies = marked.join(checked, _KEY_HASH, "left_semi").drop(_KEY_HASH)
+    return single.unionByName(latest_per_key(copies, keys, newest_first))
 
 
 def as_of_batch(

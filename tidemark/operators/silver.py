@@ -136,7 +136,7 @@ def silver(
     """Accepted rows, one per natural key, the newest kept.
 
     ``transform`` is the per-table hook that runs before the rules.  For a wide
-    table on disk with few repeated keys, ``rare_duplicates`` shuffles keys only.
+    table with few repeated keys, ``rare_duplicates`` shuffles hashes of keys only.
     """
     source = df.transform(transform) if transform else df
     keep = latest_where_rare if rare_duplicates else latest_per_key

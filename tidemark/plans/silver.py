@@ -16,8 +16,8 @@ from tidemark.sources import config
 SALT = "pepper"
 
 
-def _silver(df, name):
-    return silver.silver(df, SILVER_RULES[name], natural_key(name), salt=SALT)
+def _silver(df, name, rare_duplicates=False):
+    return silver.silver(df, SILVER_RULES[name], natural_key(name), salt=SALT, rare_duplicates=rare_duplicates)
 
 
 def _landed(df, name):
@@ -89,7 +89,7 @@ def silver_installment(spark, sf_dir):
     installments = lending.installments(
         inputs.loans_of_clients(spark, sf_dir), FEED_INSTALLMENTS
     )
-    return _silver(_landed(installments, "t_LoanInstallment"), "t_LoanInstallment")
+    return _silver(_landed(installments, "t_LoanInstallment"), "t_LoanInstallment", rare_duplicates=True)
 
 
 @query(
@@ -110,7 +110,7 @@ def silver_ledger(spark, sf_dir):
     trx = lending.ledger(
         lending.disbursements(loans), lending.repayments(lending.installments(loans, FEED_INSTALLMENTS))
     ).withColumn("dt", F.col("ValueDate"))
-    result = _silver(_landed(trx, "t_AccountTrx"), "t_AccountTrx")
+    result = _silver(_landed(trx, "t_AccountTrx"), "t_AccountTrx", rare_duplicates=True)
     return result.drop("PaymentMode", "CreatedBy", "CreatedAt", "LastUpdatedAt")
 
 
