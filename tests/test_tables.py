@@ -256,3 +256,20 @@ def test_work_folders_are_removed(spark, tmp_path, feed):
     tables.compact(spark, target, ["2024-01-01"])
     root = Path(work_root(spark).removeprefix("file:"))
     assert not [p.name for p in root.iterdir() if p.name.split("-")[0] in ("changes", "upsert", "rewrite")]
+
+
+def test_more_partitions_than_open_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "_OPEN_FILES", 2)
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before, seen = spark.conf.get(name, "0"), []
+    df = spark.range(1000, numPartitions=3).selectExpr("id", "cast(id % 7 as int) AS part")
+    with tables._open_files(spark):
+        seen.append(spark.conf.get(name))
+    for _ in range(2):
+        tables.load_bronze(df, str(tmp_path / "t"), ["part"])
+        tables.full_refresh(df, str(tmp_path / "u"), ["part"])
+    assert seen == ["2"] and spark.conf.get(name) == before
+    for folder in ("t", "u"):
+        stored = spark.read.parquet(str(tmp_path / folder))
+        assert {tuple(r) for r in stored.select("id", "part").collect()} == {(n, n % 7) for n in range(1000)}
+        assert stored.count() == 1000

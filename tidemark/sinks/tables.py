@@ -10,7 +10,8 @@ commits can see some partitions replaced and others not yet.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -34,6 +35,7 @@ from tidemark.sources.landing import (
 )
 
 TARGET_FILE_MB = 128
+_OPEN_FILES = 16
 
 
 def files_for(total_bytes: int, target_mb: int = TARGET_FILE_MB) -> int:
@@ -85,15 +87,33 @@ def land(df: DataFrame, root: str, table: str) -> str:
     return path
 
 
+@contextmanager
+def _open_files(spark: SparkSession) -> Iterator[None]:
+    """Tasks write to several partitions at once instead of sorting all their rows by partition.
+
+    A rebalanced task holds few partitions but any number of rows, and those are wide in
+    memory: the columns of the lineage repeat, so they take next to nothing of the size that
+    tasks are cut by.  A task that meets more partitions than this sorts what is left.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, "0")
+    spark.conf.set(name, str(max(int(before), _OPEN_FILES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     if not by:
         raise ValueError("a dynamic overwrite without partition columns would replace the table")
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    with _open_files(df.sparkSession):
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*by)
+            .parquet(path)
+        )
 
 
 def widened(known: T.StructType | None, more: T.StructType) -> T.StructType:
@@ -210,7 +230,8 @@ def full_refresh(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -
     writer = sized(df, *partition_cols).write.mode("overwrite")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
-    writer.parquet(path)
+    with _open_files(df.sparkSession):
+        writer.parquet(path)
     note_schema(df.sparkSession, path, df.schema)
 
 
