@@ -186,6 +186,20 @@ def test_readiness_through_many_layers(spark, rows, monkeypatch, small):
     assert got[80] == (None, False, 1, False) and got[81] == (None, False, 2, False)
 
 
+def test_readiness_broadcasts_no_ids_that_were_not_measured(spark, rows, plan, monkeypatch):
+    # all files here are far below Spark's own limit for a broadcast; beyond the measured one none is sent
+    plans, stage = [], dependencies.staged
+    monkeypatch.setattr(dependencies, "broadcast_if_small", lambda frame, **_: frame)
+    monkeypatch.setattr(dependencies, "staged", lambda frame, name: plans.append(plan(frame)) or stage(frame, name))
+    pairs = [(2, 1), (3, 2), (3, 1), (4, 5), (5, 4), (6, 4), (7, 99), (8, 7), (8, 3)]
+    found = dependencies.readiness(spark.range(1, 9).toDF("table_id"), edges_of(spark, pairs), spark.range(2, 9).toDF("table_id"))
+    assert rows(found) == [
+        (1, 0, False, None, True), (2, 1, False, 1, False), (3, 2, False, 1, False), (4, None, True, 1, False),
+        (5, None, True, 1, False), (6, None, False, 1, False), (7, None, False, 1, False), (8, None, False, 2, False),
+    ]
+    assert not [text for text in [*plans, plan(found)] if "Broadcast" in text]
+
+
 def test_edges_are_read_from_the_configuration(spark, rows):
     config = spark.createDataFrame([(1, None), (2, "1, 1,x"), (3, " , ")], "table_id bigint, depends_on_table_ids string")
     assert rows(dependencies.dependency_edges(config)) == sorted([(2, 1), (2, None)], key=repr)

@@ -1,8 +1,9 @@
 """Dependencies of tables over any number of layers.
 
-Each round is a join with the tables that the round before found, written out, so that a
-long chain leaves no long plan.  There are as many rounds as the longest chain has links; rows
-only ever get fewer.
+Each round joins the dependencies with the tables that the round before found, and writes out
+what that reaches, so that a long chain leaves no long plan.  There are as many rounds as the
+longest chain has links.  What is not joined along the dependencies is brought together by
+grouping, and the size of a file of ids never decides on a broadcast: few bytes are many ids.
 """
 
 from __future__ import annotations
@@ -27,30 +28,18 @@ def levels(tables: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     Level 0 needs nothing; any other is one above its highest upstream.  Tables behind a
     cycle, or behind an upstream that is no table, never get one.
     """
-    waiting = staged(edges.select("table_id", "upstream"), "waiting")
-    left = staged(tables.select("table_id").distinct(), "unplaced")
-    found, level = [], 0
-    while True:
-        free = staged(left.join(waiting.select("table_id").distinct(), "table_id", "left_anti"), "free")
-        if free.isEmpty():
-            break
-        found.append(free.withColumn("level", F.lit(level)))
-        free = broadcast_if_small(free)
-        left = staged(left.join(free, "table_id", "left_anti"), "unplaced")
-        done = free.withColumnRenamed("table_id", "upstream")
-        waiting = staged(waiting.join(done, "upstream", "left_anti").select("table_id", "upstream"), "waiting")
-        level += 1
-    placed = union_all(found) if found else left.where("false").withColumn("level", F.lit(0))
-    return placed, waiting
+    tables = staged(tables.select("table_id").distinct(), "tables")
+    marked = staged(_marked(tables, edges), "dependencies")
+    placed = _peeled(*_linked(tables, marked)).where("not lost").select("table_id", "level")
+    done = placed.select(F.col("table_id").alias("upstream")).hint("merge")
+    return placed, marked.join(done, "upstream", "left_anti").select("table_id", "upstream")
 
 
 def cycles(tables: DataFrame, edges: DataFrame) -> DataFrame:
     """``table_id`` of the tables that lie on a cycle, or on a way from one cycle to another."""
-    _, forward = levels(tables, edges.join(tables.select(F.col("table_id").alias("upstream")).distinct(), "upstream", "left_semi"))
-    turned = forward.select(F.col("upstream").alias("table_id"), F.col("table_id").alias("upstream"))
-    ends = turned.select("table_id").union(turned.select("upstream")).distinct()
-    _, kept = levels(ends, turned)
-    return kept.select("table_id").union(kept.select("upstream")).distinct()
+    tables = staged(tables.select("table_id").distinct(), "tables")
+    starts, links = _linked(tables, staged(_marked(tables, edges), "dependencies"))
+    return _circular(tables, links, _peeled(starts, links))
 
 
 def blocked(edges: DataFrame, causes: DataFrame) -> DataFrame:
@@ -60,11 +49,13 @@ def blocked(edges: DataFrame, causes: DataFrame) -> DataFrame:
     cycle ends the search like any other way.
     """
     reached = frontier = staged(causes.select("table_id").distinct().withColumn("hops", F.lit(0)), "blocked")
+    hops = 0
     while not frontier.isEmpty():
-        hops = broadcast_if_small(frontier.select(F.col("table_id").alias("upstream"), (F.col("hops") + 1).alias("hops")))
-        following = edges.join(hops, "upstream").groupBy("table_id").agg(F.min("hops").alias("hops"))
-        frontier = staged(following.join(reached, "table_id", "left_anti"), "frontier")
-        reached = staged(reached.unionByName(frontier), "blocked")
+        hops += 1
+        following = edges.join(_sized(frontier.select(F.col("table_id").alias("upstream"))), "upstream")
+        following = following.select("table_id", F.lit(hops).alias("hops"))
+        reached = staged(reached.unionByName(following).groupBy("table_id").agg(F.min("hops").alias("hops")), "blocked")
+        frontier = reached.where(F.col("hops") == hops)
     return reached
 
 
@@ -76,29 +67,108 @@ def readiness(tables: DataFrame, edges: DataFrame, finished: DataFrame) -> DataF
     that are no table or not readable, and cycles; ``hops_to_cause`` is the number of steps to the nearest
     upstream cause, 1 for a direct one, and ``level`` is null behind a cycle or an unknown id.
     """
-    edges = staged(edges, "dependencies")
     tables = staged(tables.select("table_id").distinct(), "tables")
-    placed, _ = levels(tables, edges)
-    circular = staged(cycles(tables, edges), "cycles").withColumn("in_cycle", F.lit(True))
-    unfinished = tables.join(finished.select("table_id").distinct(), "table_id", "left_anti")
-    unknown = edges.select(F.col("upstream").alias("table_id")).distinct().join(tables, "table_id", "left_anti")
-    causes = unfinished.union(unknown).union(circular.select("table_id"))
-    # an unreadable id joins nothing: its tables are a step from a cause themselves
-    nameless = edges.where(F.col("upstream").isNull()).select("table_id").distinct().withColumn("hops", F.lit(1))
-    direct = staged(causes.where("table_id is not null").distinct(), "causes")
-    first = edges.join(direct.withColumnRenamed("table_id", "upstream"), "upstream", "left_semi")
-    waiting = first.select("table_id").distinct().withColumn("hops", F.lit(1)).unionByName(nameless).distinct()
-    waiting = staged(waiting, "waiting-tables")
-    hops = blocked(edges, waiting.select("table_id")).withColumn("hops", F.col("hops") + 1)
+    marked = staged(_marked(tables, edges), "dependencies")
+    starts, links = _linked(tables, marked)
+    placed = _peeled(starts, links)
+    circular = staged(_circular(tables, links, placed), "cycles")
+    causes = staged(_without(tables, finished).union(circular).distinct(), "causes")
+    direct = marked.join(_sized(causes.withColumnRenamed("table_id", "upstream")), "upstream", "left_semi")
+    # an unknown or unreadable id joins nothing: its tables are a step from a cause themselves
+    waiting = direct.select("table_id").union(marked.where("not known").select("table_id"))
+    hops = blocked(marked, waiting).withColumn("hops", F.col("hops") + 1)
+    found = [
+        tables.withColumn("listed", F.lit(True)),
+        placed.where("not lost").drop("lost"),
+        circular.withColumn("in_cycle", F.lit(True)),
+        hops,
+    ]
     return (
-        tables.join(placed, "table_id", "left")
-        .join(circular, "table_id", "left")
-        .join(hops, "table_id", "left")
-        .select(
-            "table_id",
-            "level",
-            F.coalesce("in_cycle", F.lit(False)).alias("in_cycle"),
-            F.col("hops").alias("hops_to_cause"),
-            F.col("hops").isNull().alias("is_ready"),
+        _stacked(found)
+        .groupBy("table_id")
+        .agg(
+            F.max("level").alias("level"),
+            F.coalesce(F.bool_or("in_cycle"), F.lit(False)).alias("in_cycle"),
+            F.min("hops").alias("hops_to_cause"),
+            F.min("hops").isNull().alias("is_ready"),
+            F.bool_or("listed").alias("listed"),
         )
+        .where("listed")
+        .drop("listed")
+    )
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    """``df`` for a join: broadcast if it measures small, else shuffled, also if its file is small."""
+    checked = broadcast_if_small(df)
+    return df.hint("merge") if checked is df else checked
+
+
+def _stacked(frames: list[DataFrame]) -> DataFrame:
+    """The frames under one another; columns that one has not are null."""
+    stacked = frames[0]
+    for frame in frames[1:]:
+        stacked = stacked.unionByName(frame, allowMissingColumns=True)
+    return stacked
+
+
+def _without(tables: DataFrame, others: DataFrame) -> DataFrame:
+    """``table_id`` of the tables that are not among ``others``, both combined before they are shuffled."""
+    both = tables.select("table_id", F.lit(False).alias("other")).union(others.select("table_id", F.lit(True)))
+    tables_only = F.bool_or("other").alias("other")
+    return both.groupBy("table_id").agg(tables_only).where("not other").select("table_id")
+
+
+def _marked(tables: DataFrame, edges: DataFrame) -> DataFrame:
+    """``table_id, upstream, known``: the edges, and whether the upstream is a table."""
+    upstream = tables.select(F.col("table_id").alias("upstream"), F.lit(True).alias("known"))
+    marked = edges.select("table_id", "upstream").join(_sized(upstream), "upstream", "left")
+    return marked.select("table_id", "upstream", F.col("known").isNotNull().alias("known"))
+
+
+def _linked(tables: DataFrame, marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``table_id, needs, lost`` per table, and these with every edge between two tables.
+
+    ``needs`` counts the edges to tables; ``lost`` says that an upstream is no table.
+    """
+    needs = marked.select("table_id", F.col("known").cast("bigint").alias("needs"), (~F.col("known")).alias("lost"))
+    starts = _stacked([tables.withColumn("listed", F.lit(True)), needs]).groupBy("table_id").agg(
+        F.coalesce(F.sum("needs"), F.lit(0)).alias("needs"),
+        F.coalesce(F.bool_or("lost"), F.lit(False)).alias("lost"),
+        F.bool_or("listed").alias("listed"),
     )
+    starts = staged(starts.where("listed").drop("listed"), "needs")
+    links = marked.where("known").select("table_id", "upstream").join(_sized(starts), "table_id")
+    return starts, staged(links, "links")
+
+
+def _peeled(starts: DataFrame, links: DataFrame) -> DataFrame:
+    """``table_id, level, lost`` of all tables but those behind a cycle.
+
+    A table is found in the round after the last table that it needs; only tables that some
+    but not all are found for are carried along.  ``lost``: an upstream, however far up, is no table.
+    """
+    frontier = starts.where("needs = 0")
+    found, partly, level = [frontier.select("table_id", F.lit(0).alias("level"), "lost")], None, 0
+    while not frontier.isEmpty():
+        free = _sized(frontier.select(F.col("table_id").alias("upstream"), F.col("lost").alias("behind")))
+        had = links.join(free, "upstream").select(
+            "table_id", "needs", F.lit(1).cast("bigint").alias("had"), (F.col("lost") | F.col("behind")).alias("lost")
+        )
+        had = had if partly is None else union_all([had, partly])
+        had = had.groupBy("table_id").agg(
+            F.max("needs").alias("needs"), F.sum("had").alias("had"), F.bool_or("lost").alias("lost")
+        )
+        had = staged(had, "found")
+        frontier, partly = had.where("had = needs"), had.where("had < needs")
+        level += 1
+        found.append(frontier.select("table_id", F.lit(level).alias("level"), "lost"))
+    return union_all(found)
+
+
+def _circular(tables: DataFrame, links: DataFrame, placed: DataFrame) -> DataFrame:
+    """``table_id`` of the tables that are left when those before no cycle are taken off, too."""
+    stuck = staged(_without(tables, placed), "stuck")
+    behind = links.join(_sized(stuck.withColumnRenamed("table_id", "upstream")), "upstream", "left_semi")
+    turned = behind.select(F.col("upstream").alias("table_id"), F.col("table_id").alias("upstream"), F.lit(True).alias("known"))
+    return _without(stuck, _peeled(*_linked(stuck, turned)))
