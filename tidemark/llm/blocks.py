@@ -35,7 +35,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base of the rolling hash, and of its inverse modulo 2**64."""
     global _powers
     if len(_powers[0]) < n:
-        size = max(n, 2 * CHUNK)
+        size = max(n, 2 * len(_powers[0]))
         both = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             row = np.full(size, base, np.uint64)

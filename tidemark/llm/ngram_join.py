@@ -20,6 +20,10 @@ are connected to everything in their tiles need no further product.
 
 Equal sets are one row of the product.  Nothing is capped: a group of any size is the
 same work in more tiles.
+
+*Memory.*  A Python worker holds one Arrow batch and, besides, arrays of bounded size:
+block rows leave it as soon as there are ``HELD`` of them, one bucket of them is matched
+at a time, and the number of buckets follows from the number of n-grams.
 """
 
 from __future__ import annotations
@@ -43,6 +47,9 @@ SPARE = 1
 SKETCH = 1 << 22  # buckets of n-grams that are frequent or not as a whole
 FREQUENT = 0.001  # share of the documents from which a bucket is frequent
 TILE = 1 << 20  # n-grams of a tile of the product
+READ = 1 << 18  # bytes of text that become sets together
+HELD = 1 << 19  # block rows, pairs or n-grams (8 or 16 bytes each) that a worker gathers
+COUNTED = 1 << 22  # n-grams that are counted together
 
 _PACKED = "bucket int, keys binary, docs binary, sizes binary"
 _FOUND = "kind int, a long, b long, n long, s1 long, s2 long"
@@ -88,7 +95,7 @@ class Classes:
 def _set_rows(batch: pa.RecordBatch, width: int):
     """Sets of each chunk of a batch: ``ids, hashes, owner, bounds``."""
     ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    for first, last, data, offsets in blocks.chunks(batch.column(1)):
+    for first, last, data, offsets in blocks.chunks(batch.column(1), READ):
         n = last - first
         hashes, owner, _, _ = blocks.words(data, offsets)
         grams, of = blocks.shingles(hashes, owner, n, width)
@@ -96,38 +103,59 @@ def _set_rows(batch: pa.RecordBatch, width: int):
 
 
 def _frequent_counts(width: int):
-    """How many documents of a batch hold n-grams of a bucket, where that is notable."""
+    """How many documents hold n-grams of a bucket, where that is notable; at -1 all n-grams.
+
+    A batch is counted as a whole, or in parts of ``COUNTED`` n-grams at most; a larger set is one.
+    """
+
+    def counted(grams: np.ndarray, documents: int) -> pa.RecordBatch:
+        grams.sort()
+        least = max(3, int(np.ceil(FREQUENT / 2 * documents)))
+        begins = grams[: max(0, len(grams) - least + 1)] == grams[least - 1 :]
+        begins[1:] &= grams[1 : len(begins)] != grams[: max(0, len(begins) - 1)]
+        begins = np.flatnonzero(begins)
+        n = np.searchsorted(grams, grams[begins], "right") - begins
+        buckets = (grams[begins] % np.uint64(SKETCH)).astype(np.int64)
+        buckets, n = np.append(buckets, -1), np.append(n, len(grams))
+        return pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(n)], names=["bucket", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        space = np.empty(COUNTED, np.uint64)
         for batch in batches:
-            parts = [grams for _, grams, _, _ in _set_rows(batch, width)]
-            if parts:
-                grams, n = np.unique(np.concatenate(parts), return_counts=True)
-                notable = n >= max(3, FREQUENT / 2 * batch.num_rows)
-                buckets = (grams[notable] % np.uint64(SKETCH)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(n[notable])], names=["bucket", "n"])
+            documents = held = 0
+            for ids, grams, _, _ in _set_rows(batch, width):
+                if held + len(grams) > len(space):
+                    yield counted(space[:held], documents)
+                    documents = held = 0
+                if len(grams) > len(space):
+                    yield counted(grams, len(ids))
+                    continue
+                space[held : held + len(grams)] = grams
+                documents, held = documents + len(ids), held + len(grams)
+            if documents:
+                yield counted(space[:held], documents)
 
     return run
 
 
-def frequent_buckets(docs: DataFrame, width: int) -> np.ndarray:
+def frequent_buckets(docs: DataFrame, width: int) -> tuple[np.ndarray, int]:
     """A bit per bucket: whether a notable share of the documents hold n-grams of it.
 
     Of fixed size whatever the input.  It steers which columns the blocks leave out and
-    has no influence on the result.
+    has no influence on the result.  Also the number of n-grams of all documents.
     """
     least = max(8, int(FREQUENT * docs.count()))
     found = (
         docs.mapInArrow(_frequent_counts(width), "bucket long, n long")
         .groupBy("bucket")
         .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= least)
-        .select("bucket")
+        .filter((F.col("n") >= least) | (F.col("bucket") < 0))
         .toPandas()
     )
+    bucket, n = (found[c].to_numpy(np.int64) for c in ("bucket", "n"))
     bits = np.zeros(SKETCH, bool)
-    bits[found["bucket"].to_numpy(np.int64)] = True
-    return np.packbits(bits)
+    bits[bucket[bucket >= 0]] = True
+    return np.packbits(bits), int(n[bucket < 0].sum())
 
 
 def _block_rows(grams, owner, bounds, classes: Classes, frequent: np.ndarray):
@@ -183,43 +211,51 @@ def _blocks(grams, owner, sizes, classes: Classes, salt: int):
     return np.concatenate(keys), np.concatenate(docs), full[failed]
 
 
+def _dealt(keys, docs, rows, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Block rows and documents in packed form, dealt into buckets by their hash."""
+    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("sizes", pa.binary())])
+    keys, docs, rows = np.concatenate(keys), np.concatenate(docs), np.concatenate(rows)
+    bucket = (keys % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    keys, docs, bucket = keys[order], docs[order], bucket[order]
+    cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+    home = blocks.mix(rows[:, 0].astype(np.uint64)) % np.uint64(buckets)
+    order = np.argsort(home, kind="stable")
+    rows, home = rows[order], home[order]
+    ends = np.searchsorted(home, np.arange(buckets + 1))
+    full = np.flatnonzero((np.diff(cuts) > 0) | (np.diff(ends) > 0))
+    for part in np.array_split(full, max(1, len(full) // 256)):
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(part, pa.int32()),
+                pa.array([keys[cuts[i] : cuts[i + 1]].tobytes() for i in part], pa.binary()),
+                pa.array([docs[cuts[i] : cuts[i + 1]].tobytes() for i in part], pa.binary()),
+                pa.array([rows[ends[i] : ends[i + 1]].tobytes() for i in part], pa.binary()),
+            ],
+            schema=schema,
+        )
+
+
 def _candidates(width: int, threshold: Fraction, buckets: int, frequent: Broadcast):
-    """Map side: block rows in packed form, dealt into buckets by their hash."""
+    """Map side: block rows in packed form, sent on whenever ``HELD`` of them are gathered."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = Classes(threshold)
-        often = np.unpackbits(frequent.value).astype(bool)
-        schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("sizes", pa.binary())])
+        often = np.unpackbits(frequent.value).view(bool)
+        keys, docs, rows, held = [], [], [], 0
         for batch in batches:
-            keys, docs, rows = [], [], []
             for ids, grams, owner, bounds in _set_rows(batch, width):
                 key, of = _block_rows(grams, owner, bounds, classes, often)
                 keys.append(key)
                 docs.append(ids[of])
                 twice = [blocks.grouped_sums(blocks.mix(grams ^ s), owner, len(ids)) for s in blocks.SALTS[50:52]]
                 rows.append(np.stack([ids, np.diff(bounds), *(x.astype(np.int64) for x in twice)], 1))
-            if not rows:
-                continue
-            keys, docs, rows = np.concatenate(keys), np.concatenate(docs), np.concatenate(rows)
-            bucket = (keys % np.uint64(buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            keys, docs, bucket = keys[order], docs[order], bucket[order]
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-            home = blocks.mix(rows[:, 0].astype(np.uint64)) % np.uint64(buckets)
-            order = np.argsort(home, kind="stable")
-            rows, home = rows[order], home[order]
-            ends = np.searchsorted(home, np.arange(buckets + 1))
-            full = np.flatnonzero((np.diff(cuts) > 0) | (np.diff(ends) > 0))
-            for part in np.array_split(full, max(1, len(full) // 256)):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(part, pa.int32()),
-                        pa.array([keys[cuts[i] : cuts[i + 1]].tobytes() for i in part], pa.binary()),
-                        pa.array([docs[cuts[i] : cuts[i + 1]].tobytes() for i in part], pa.binary()),
-                        pa.array([rows[ends[i] : ends[i + 1]].tobytes() for i in part], pa.binary()),
-                    ],
-                    schema=schema,
-                )
+                held += len(key)
+                if held >= HELD:
+                    yield from _dealt(keys, docs, rows, buckets)
+                    keys, docs, rows, held = [], [], [], 0
+        if rows:
+            yield from _dealt(keys, docs, rows, buckets)
 
     return run
 
@@ -233,57 +269,87 @@ def _found(kind, columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(data, names=["kind", *names])
 
 
+def _tied(keys, docs):
+    """``key, least, pairs``: distinct keys, the smallest document of each, and the others tied to it."""
+    keys, docs = np.concatenate(keys), np.concatenate(docs)
+    order = np.argsort(keys)
+    keys, docs = keys[order], docs[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    first = np.flatnonzero(new)
+    least = np.minimum.reduceat(docs, first) if len(first) else docs
+    of = np.repeat(least, np.diff(np.append(first, len(docs))))
+    apart = of != docs
+    return keys[first], least, np.unique(np.stack([of[apart], docs[apart]], 1), axis=0)
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Reduce side: documents with an equal block row are tied to the smallest of them."""
-    keys, docs = [], []
+    """Reduce side: documents with an equal block row are tied to the smallest of them.
+
+    The partition is sorted by bucket.  Of a bucket of more than ``HELD`` block rows, what is
+    read so far gives way to its distinct keys, each with the smallest document.
+    """
+    now, keys, docs, held, ties, n = None, [], [], 0, [], 0
     for batch in batches:
-        for k, d, s in zip(*(batch.column(i) for i in (1, 2, 3)), strict=True):
+        rows = []
+        for bucket, k, d, s in zip(*batch.columns, strict=True):
+            bucket = bucket.as_py()
+            if bucket != now or held >= HELD:
+                if keys:
+                    key, least, pairs = _tied(keys, docs)
+                    keys, docs = ([key], [least]) if bucket == now else ([], [])
+                    ties.append(pairs)
+                    n += len(pairs)
+                now, held = bucket, 0
+                if n >= HELD:  # the same two documents meet in many buckets
+                    ties = [np.unique(np.concatenate(ties), axis=0)]
+                    n = len(ties[0])
+                    if n > HELD // 2:
+                        yield _found(1, ties[0].T)
+                        ties, n = [], 0
             keys.append(np.frombuffer(k.as_buffer(), np.uint64))
             docs.append(np.frombuffer(d.as_buffer(), np.int64))
-            rows = np.frombuffer(s.as_buffer(), np.int64).reshape(-1, 4)
-            if len(rows):
-                yield _found(0, [rows[:, 0], rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3]])
-    if not keys:
-        return
-    keys, docs = np.concatenate(keys), np.concatenate(docs)
-    if not len(keys):
-        return
-    order = np.argsort(keys)
-    keys, docs = keys[order], docs[order]
-    same = keys[1:] == keys[:-1]
-    keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-    keys, docs = keys[keep], docs[keep]
-    if not len(keys):
-        return
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    least = np.repeat(np.minimum.reduceat(docs, first), np.diff(np.append(first, len(docs))))
-    pairs = np.unique(np.stack([least, docs], 1)[least != docs], axis=0)
-    if len(pairs):
-        yield _found(1, [pairs[:, 0], pairs[:, 1]])
+            held += len(keys[-1])
+            rows.append(np.frombuffer(s.as_buffer(), np.int64).reshape(-1, 4))
+        if rows:
+            keys, docs = [np.concatenate(keys)], [np.concatenate(docs)]  # the batch can go
+            rows = np.concatenate(rows)
+            yield _found(0, [rows[:, 0], rows[:, 0], *rows.T[1:]])
+    if keys:
+        ties.append(_tied(keys, docs)[2])
+    if ties and len(pairs := np.unique(np.concatenate(ties), axis=0)):
+        yield _found(1, pairs.T)
 
 
 def _grams(width: int):
     """The whole set of each candidate, once for every pair of tiles that it is in."""
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+    names = ["group", "tile_a", "tile_b", "side", "doc", "grams"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held = [], 0
+
+        def packed() -> pa.RecordBatch:
+            columns = zip(*out, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
         for batch in batches:
             at = 0
             groups, tiles, tile = (batch.column(i).to_numpy() for i in (2, 3, 4))
             for ids, grams, _, bounds in _set_rows(batch, width):
-                out = [[] for _ in range(6)]
-                for i, doc in enumerate(ids):
-                    mine = int(tile[at + i])
-                    packed = grams[bounds[i] : bounds[i + 1]].tobytes()
-                    for other in range(int(tiles[at + i])):
-                        row = (groups[at + i], min(mine, other), max(mine, other), int(mine > other), doc, packed)
-                        for column, value in zip(out, row, strict=True):
-                            column.append(value)
+                for i, doc in enumerate(ids, at):
+                    mine = int(tile[i])
+                    own = grams[bounds[i - at] : bounds[i - at + 1]]
+                    content = own.tobytes()
+                    for other in range(int(tiles[i])):
+                        out.append((groups[i], min(mine, other), max(mine, other), int(mine > other), doc, content))
+                        held += len(own)
+                        if held >= HELD:
+                            yield packed()
+                            out, held = [], 0
                 at += len(ids)
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
-                    names=["group", "tile_a", "tile_b", "side", "doc", "grams"],
-                )
+        if out:
+            yield packed()
 
     return run
 
@@ -292,11 +358,17 @@ def product_links(docs, sides, sets, threshold: Fraction) -> list[tuple[int, int
     """A spanning forest of the linked pairs of two tiles (or of one with itself)."""
     n = len(docs)
     sizes = np.array([len(s) for s in sets])
-    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    owner = np.repeat(np.arange(n), sizes)
-    order = np.argsort(ids, kind="stable")
-    column, row = ids[order], owner[order]
-    starts = np.searchsorted(column, np.arange(column[-1] + 2))
+    grams = np.concatenate(sets)
+    order = np.argsort(grams, kind="stable")
+    grams = grams[order]
+    new = np.ones(len(grams), bool)
+    new[1:] = grams[1:] != grams[:-1]
+    del grams
+    ids = np.empty(len(order), np.int32)
+    ids[order] = np.cumsum(new, dtype=np.int32) - 1
+    row = np.repeat(np.arange(n, dtype=np.int32), sizes)[order]
+    starts = np.append(np.flatnonzero(new), len(order))
+    del order, new
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     label = np.arange(n)
     p, q = threshold.numerator, threshold.denominator
@@ -363,12 +435,15 @@ def linked_documents(
     """
     spark = docs.sparkSession
     parts = partitions(spark)
-    buckets = max(buckets, 4 * parts)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    often = spark.sparkContext.broadcast(frequent_buckets(docs, width))
+    bits, grams = frequent_buckets(docs, width)
+    often = spark.sparkContext.broadcast(bits)
+    # as many buckets for each partition, and no more than about HELD block rows in one
+    buckets = -(-max(buckets, 4 * parts, grams // HELD) // parts) * parts
     found = staged(
         docs.mapInArrow(_candidates(width, threshold, buckets, often), _PACKED)
-        .repartition(parts, "bucket")
+        .repartitionById(parts, F.col("bucket"))
+        .sortWithinPartitions("bucket")
         .mapInArrow(_meet, _FOUND),
         "ngram-candidates",
     )
